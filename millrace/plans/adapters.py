@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import DATETIME
+from millrace.operators.dims import COUPON_PAID, COUPON_USED, Hop
 from millrace.sources.tables import parquet
 
 DATABASE = "shop"
@@ -88,6 +89,20 @@ def raw_log(events: DataFrame) -> DataFrame:
     return views.select("event_id", whole.alias("_json")).select("event_id", cut.alias("value"))
 
 
+def buyers(orders: DataFrame) -> DataFrame:
+    return orders.select(F.col("o_custkey").alias("user_id"), F.col("o_orderdate").cast("timestamp").alias("ts"))
+
+
+def logins(orders: DataFrame) -> DataFrame:
+    """Orders as page views of a known user; the priority says where the user came from."""
+    priority = F.substring("o_orderpriority", 1, 1)
+    came_from = F.when(priority == "1", None).when(priority == "2", "login").otherwise("home")
+    return orders.select(
+        text("o_custkey").alias("uid"), came_from.alias("last_page_id"),
+        F.col("o_orderdate").cast("timestamp").alias("ts"),
+    )
+
+
 def arrivals(events: DataFrame) -> DataFrame:
     """Events out of order: four sources, each in its own arrival order."""
     place = F.col("event_id") + (F.col("event_id") * 7919) % 37
@@ -98,8 +113,11 @@ def arrivals(events: DataFrame) -> DataFrame:
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_amounts(parquet(spark, sf_dir, "lineitem"))
+
+
+def line_amounts(line: DataFrame) -> DataFrame:
     """Order lines with revisions: a line number can come several times."""
-    line = parquet(spark, sf_dir, "lineitem")
     base = cents("l_extendedprice")
     rate = F.round(F.col("l_discount") * 100).cast("bigint")
     off = F.floor(base * rate / 100).cast("bigint")
@@ -138,6 +156,22 @@ def category_dims(spark: SparkSession, sf_dir: str) -> dict[int, DataFrame]:
     return {3: third, 2: second, 1: first.select("id", F.concat(F.lit("root "), "id").alias("name"))}
 
 
+def sku_hops(spark: SparkSession, sf_dir: str) -> tuple[list[Hop], list[Hop]]:
+    """Lookups that give an item its group keys, and those that only add names."""
+    third, second, first = (category_dims(spark, sf_dir)[n] for n in (3, 2, 1))
+    sku, brand = sku_dim(spark, sf_dir), trademark_dim(spark, sf_dir)
+    keys = [
+        Hop("sku_id", sku, {"sku_name": "sku_name", "trademark_id": "tm_id", "category3_id": "category3_id"}),
+        Hop("category3_id", third, {"category3_name": "name", "category2_id": "category2_id"}),
+        Hop("category2_id", second, {"category2_name": "name", "category1_id": "category1_id"}),
+    ]
+    names = [
+        Hop("category1_id", first, {"category1_name": "name"}),
+        Hop("trademark_id", brand, {"trademark_name": "tm_name"}),
+    ]
+    return keys, names
+
+
 def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Code book from the order priorities; code 5 is left out, so its rows are dropped."""
     names = parquet(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("dic_name")).distinct()
@@ -291,8 +325,6 @@ def dim_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rules(spark: SparkSession) -> DataFrame:
     """Routing rules: two dimension tables and four fact topics."""
-    from millrace.operators.dims import COUPON_PAID, COUPON_USED
-
     rows = [
         ("user_info", "ALL", "dim_user_info", "dim", "id,name,segment", "id", None),
         ("sku_info", "ALL", "dim_sku_info", "dim", "id,name,brand", "id", None),
@@ -328,12 +360,12 @@ def rule_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+def phrases(conversations: DataFrame) -> DataFrame:
     """Conversation turns as phrases typed into a page."""
     seconds = F.lit(1704067200) + F.col("conv_id") * 7 + F.col("turn")
     page = F.when(F.col("turn") % 3 == 0, "search").when(F.col("turn") % 3 == 1, "home").otherwise("other")
     kind = F.when(F.col("role") == "system", "sku").otherwise("keyword")
-    return parquet(spark, sf_dir, "conversations").select(
+    return conversations.select(
         F.col("text").alias("item"), page.alias("last_page_id"), kind.alias("item_type"),
         F.timestamp_seconds(seconds).alias("ts"),
     )

@@ -48,9 +48,7 @@ def show_time(col: str = "ts"):
 
 @query
 def order_window(spark, d):
-    orders = parquet(spark, d, "orders")
-    rows = orders.select(F.col("o_custkey").alias("user_id"), F.col("o_orderdate").cast("timestamp").alias("ts"))
-    return summaries.order_window(rows, DAY)
+    return summaries.order_window(a.buyers(parquet(spark, d, "orders")), DAY)
 
 
 @query
@@ -83,38 +81,17 @@ def home_detail_uv_window(spark, d):
 
 @query
 def login_window(spark, d):
-    priority = F.substring("o_orderpriority", 1, 1)
-    came_from = F.when(priority == "1", None).when(priority == "2", "login").otherwise("home")
-    rows = parquet(spark, d, "orders").select(
-        a.text("o_custkey").alias("uid"), came_from.alias("last_page_id"),
-        F.col("o_orderdate").cast("timestamp").alias("ts"),
-    )
-    return summaries.login_window(rows, DAY)
+    return summaries.login_window(a.logins(parquet(spark, d, "orders")), DAY)
 
 
 @query
 def keyword_window(spark, d):
-    return summaries.keyword_window(a.phrases(spark, d))
-
-
-def sku_hops(spark, d):
-    third, second, first = (a.category_dims(spark, d)[n] for n in (3, 2, 1))
-    sku, brand = a.sku_dim(spark, d), a.trademark_dim(spark, d)
-    keys = [
-        Hop("sku_id", sku, {"sku_name": "sku_name", "trademark_id": "tm_id", "category3_id": "category3_id"}),
-        Hop("category3_id", third, {"category3_name": "name", "category2_id": "category2_id"}),
-        Hop("category2_id", second, {"category2_name": "name", "category1_id": "category1_id"}),
-    ]
-    names = [
-        Hop("category1_id", first, {"category1_name": "name"}),
-        Hop("trademark_id", brand, {"trademark_name": "tm_name"}),
-    ]
-    return keys, names
+    return summaries.keyword_window(a.phrases(parquet(spark, d, "conversations")))
 
 
 @query
 def sku_order_window(spark, d):
-    keys, names = sku_hops(spark, d)
+    keys, names = a.sku_hops(spark, d)
     return summaries.sku_order_window(a.order_lines(spark, d), a.REVISION_ORDER, keys + names, width=DAY)
 
 
@@ -130,7 +107,7 @@ def province_order_window(spark, d):
 
 @query
 def refund_window(spark, d):
-    keys, names = sku_hops(spark, d)
+    keys, names = a.sku_hops(spark, d)
     back = parquet(spark, d, "lineitem").filter("l_returnflag = 'R'").select(
         F.col("l_partkey").alias("sku_id"), F.col("l_suppkey").alias("user_id"),
         F.col("l_orderkey").alias("order_id"), F.col("l_shipdate").cast("timestamp").alias("ts"),
