@@ -1,4 +1,10 @@
-"""Database change records: cleaning, unwrapping and selecting."""
+"""Database change records: cleaning, unwrapping and selecting.
+
+A log comes in one of two forms. In the record form ``data`` and ``old`` are
+maps. A log kept per source table may be flat: the row's columns stand for
+themselves and ``old_x`` holds the former value of ``x``; there Spark can prune
+columns and push filters into the scan, which it cannot do through a map.
+"""
 
 from __future__ import annotations
 
@@ -7,15 +13,21 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import flag
-
 # Status codes of the order life cycle.
 CANCELLED, REFUNDING, REFUNDED = "1003", "1005", "1006"
 REFUND_DONE = "0705"
 
 
+def _new(log: DataFrame, name: str) -> Column:
+    return F.col("data")[name] if "data" in log.columns else F.col(name)
+
+
+def _old(log: DataFrame, name: str) -> Column:
+    return F.col("old")[name] if "data" in log.columns else F.col(f"old_{name}")
+
+
 def clean_changes(df: DataFrame, database: str | None = None) -> DataFrame:
-    """Usable inserts and updates; ``bootstrap-insert`` counts as an insert."""
+    """Usable inserts and updates of a log in record form; ``bootstrap-insert`` is an insert."""
     kind = F.regexp_replace("type", "bootstrap-", "")
     usable = F.col("table").isNotNull() & kind.isin("insert", "update") & (F.size("data") > 0)
     if database is not None:
@@ -52,11 +64,11 @@ def select_changes(
     if types is not None:
         wanted = wanted & F.col("type").isin(*types)
     if changed is not None:
-        wanted = wanted & F.col("old")[changed].isNotNull()
+        wanted = wanted & _old(df, changed).isNotNull()
         if to is not None:
-            wanted = wanted & (F.col("data")[changed] == to)
+            wanted = wanted & (_new(df, changed) == to)
     names = columns if isinstance(columns, Mapping) else {c: c for c in columns}
-    return df.filter(wanted).select(*[F.col("data")[s].alias(n) for n, s in names.items()], *keep)
+    return df.filter(wanted).select(*[_new(df, s).alias(n) for n, s in names.items()], *keep)
 
 
 def status_changes(df: DataFrame, columns, to: str, database: str | None = None) -> DataFrame:
@@ -66,8 +78,7 @@ def status_changes(df: DataFrame, columns, to: str, database: str | None = None)
 
 def cart_additions(df: DataFrame, database: str | None = None) -> DataFrame:
     """Items put into carts: new rows whole, grown rows by the difference."""
-    new = F.col("data")["sku_num"].cast("int")
-    old = F.col("old")["sku_num"].cast("int")
+    new, old = _new(df, "sku_num").cast("int"), _old(df, "sku_num").cast("int")
     grown = (F.col("type") == "update") & old.isNotNull() & (new > old)
     wanted = (F.col("table") == "cart_info") & ((F.col("type") == "insert") | grown)
     if database is not None:
@@ -75,7 +86,7 @@ def cart_additions(df: DataFrame, database: str | None = None) -> DataFrame:
     added = F.when(F.col("type") == "insert", new).otherwise(new - old)
     fields = ("id", "user_id", "sku_id", "cart_price", "source_id", "source_type")
     return df.filter(wanted).select(
-        *[F.col("data")[f].alias(f) for f in fields], added.alias("sku_num"), "ts"
+        *[_new(df, f).alias(f) for f in fields], added.alias("sku_num"), "ts"
     )
 
 
@@ -83,8 +94,3 @@ def prune_columns(data: Column, sink_columns: Column, always: str = "op_type") -
     """Entries of a row map that the rule lists; the operation tag always stays."""
     listed = F.split(sink_columns, ",")
     return F.map_filter(data, lambda k, _: F.array_contains(listed, k) | (k == always))
-
-
-def change_counts(df: DataFrame) -> DataFrame:
-    """Records per table and kind, a small report on a cleaned log."""
-    return df.groupBy("table", "type").agg(F.sum(flag(F.lit(True))).alias("n"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,6 +79,34 @@ def split_logs(df: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def tag_outputs(df: DataFrame) -> DataFrame:
+    """The same split in one pass: ``output`` and the record as JSON text.
+
+    For writing all five outputs at once, partitioned by ``output``; the log is
+    read and parsed a single time.
+    """
+
+    def tagged(output: str, record: Column) -> Column:
+        return F.struct(F.lit(output).alias("output"), F.to_json(record).alias("value"))
+
+    def single(output: str, present: str, *sections: str) -> Column:
+        found = F.when(F.col(present).isNotNull(), F.array(tagged(output, F.struct(*sections, "ts"))))
+        return F.coalesce(found, F.array().cast("array<struct<output:string,value:string>>"))
+
+    def each(output: str, entries: str, stamp: bool) -> Column:
+        time = [F.create_map(F.lit("ts"), F.col("ts").cast("string"))] if stamp else []
+        layers = [F.col("common"), *time, F.col("page")]
+        listed = F.coalesce(entries, F.array().cast("array<map<string,string>>"))
+        return F.transform(listed, lambda e: tagged(output, overlay(e, *layers)))
+
+    other = F.concat(
+        each("display", "displays", True), each("action", "actions", False),
+        single("error", "error", "common", "page", "error"), single("page", "page", "common", "page"),
+    )
+    start = single("start", "start", "common", "start")
+    return df.select(F.inline(F.when(F.col("start").isNotNull(), start).otherwise(other)))
+
+
 def repair_visitors(df: DataFrame, device: str = "mid", is_new: str = "is_new", order=("ts",)) -> DataFrame:
     """Clear the new-visitor flag on days after a device was first seen.
 

@@ -7,12 +7,14 @@ projections in SQL.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import DATETIME
 from millrace.operators.dims import COUPON_PAID, COUPON_USED, Hop
-from millrace.sources.tables import parquet
+from millrace.sources.tables import parquet, spread
 
 DATABASE = "shop"
 
@@ -113,7 +115,7 @@ def arrivals(events: DataFrame) -> DataFrame:
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_amounts(parquet(spark, sf_dir, "lineitem"))
+    return line_amounts(spread(parquet(spark, sf_dir, "lineitem")))
 
 
 def line_amounts(line: DataFrame) -> DataFrame:
@@ -147,13 +149,16 @@ def trademark_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def category_dims(spark: SparkSession, sf_dir: str) -> dict[int, DataFrame]:
     """Three levels over the part types: type, its first letter, and one root per half alphabet."""
-    third = parquet(spark, sf_dir, "part").select(F.col("p_type").alias("id")).distinct()
-    third = third.select("id", F.lower("id").alias("name"), F.substring("id", 1, 1).alias("category2_id"))
-    second = third.select(F.col("category2_id").alias("id")).distinct()
-    half = F.when(F.col("id") < "N", "A-M").otherwise("N-Z")
-    second = second.select("id", F.concat(F.lit("group "), "id").alias("name"), half.alias("category1_id"))
-    first = second.select(F.col("category1_id").alias("id")).distinct()
-    return {3: third, 2: second, 1: first.select("id", F.concat(F.lit("root "), "id").alias("name"))}
+    kind = parquet(spark, sf_dir, "part").select("p_type", F.substring("p_type", 1, 1).alias("letter"))
+    half = F.when(F.col("letter") < "N", "A-M").otherwise("N-Z")
+    third = kind.select(F.col("p_type").alias("id"), F.col("letter").alias("category2_id")).distinct()
+    second = kind.select(F.col("letter").alias("id"), half.alias("category1_id")).distinct()
+    first = kind.select(half.alias("id")).distinct()
+    return {
+        3: third.withColumn("name", F.lower("id")),
+        2: second.withColumn("name", F.concat(F.lit("group "), "id")),
+        1: first.withColumn("name", F.concat(F.lit("root "), "id")),
+    }
 
 
 def sku_hops(spark: SparkSession, sf_dir: str) -> tuple[list[Hop], list[Hop]]:
@@ -178,149 +183,182 @@ def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names.select(F.substring("dic_name", 1, 1).alias("dic_code"), "dic_name").filter("dic_code <> '5'")
 
 
-def _changes(df: DataFrame, table: str, kind: str, ts: str, data: dict, old: dict | None = None) -> DataFrame:
-    def packed(fields):
-        return F.create_map(*[x for k, v in fields.items() for x in (F.lit(k), v)])
+HEAD = ("database", "table", "type", "ts")
+
 
-    before = packed(old) if old else F.lit(None).cast("map<string,string>")
+def _changes(df: DataFrame, table: str, kind: str, ts: str | Column, data: dict, old: dict | None = None) -> DataFrame:
+    """A flat change log: the row's columns as they are, former values as ``old_`` columns."""
+    moment = F.col(ts) if isinstance(ts, str) else ts
     return df.select(
         F.lit(DATABASE).alias("database"), F.lit(table).alias("table"), F.lit(kind).alias("type"),
-        text(F.unix_seconds(F.col(ts).cast("timestamp"))).alias("ts"),
-        packed(data).alias("data"), before.alias("old"),
+        text(F.unix_seconds(moment.cast("timestamp"))).alias("ts"),
+        *[v.alias(k) for k, v in data.items()],
+        *[v.cast("string").alias(f"old_{k}") for k, v in (old or {}).items()],
     )
 
 
+def as_records(log: DataFrame) -> DataFrame:
+    """A flat log in the record form, with ``data`` and ``old`` maps."""
+
+    def packed(names, prefix=""):
+        if not names:
+            return F.lit(None).cast("map<string,string>")
+        whole = F.create_map(*[x for n in names for x in (F.lit(n.removeprefix(prefix)), F.col(n))])
+        return F.map_filter(whole, lambda _, v: v.isNotNull())
+
+    old = [c for c in log.columns if c.startswith("old_")]
+    data = [c for c in log.columns if c not in HEAD and c not in old]
+    former = packed(old, "old_")
+    return log.select(*HEAD, packed(data).alias("data"), F.when(F.size(former) > 0, former).alias("old"))
+
+
 def _moment(ts: str) -> Column:
     return F.date_format(ts, DATETIME)
 
 
 def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as change records: placed, then cancelled (F) or refunded in two steps (P)."""
+    """Orders as a change log: placed, then cancelled (F) or refunded in two steps (P)."""
     orders = parquet(spark, sf_dir, "orders")
 
-    def row(status):
-        return {
+    def step(kind, status, before=None, when=None):
+        row = {
             "id": text("o_orderkey"), "user_id": text("o_custkey"), "province_id": text(F.col("o_custkey") % 25),
             "order_status": F.lit(status), "operate_time": _moment("o_orderdate"),
             "total_amount": money("o_totalprice"),
         }
+        some = orders if when is None else orders.filter(when)
+        return _changes(some, "order_info", kind, "o_orderdate", row, {"order_status": F.lit(before)})
 
-    def moved(status, before, when):
-        old = {"order_status": F.lit(before)}
-        return _changes(orders.filter(when), "order_info", "update", "o_orderdate", row(status), old)
-
-    cancelled, refunded = F.col("o_orderstatus") == "F", F.col("o_orderstatus") == "P"
-    placed = _changes(orders, "order_info", "insert", "o_orderdate", row("1001"))
+    refunded = "o_orderstatus = 'P'"
     return (
-        placed.unionByName(moved("1003", "1001", cancelled))
-        .unionByName(moved("1005", "1002", refunded))
-        .unionByName(moved("1006", "1005", refunded & (F.col("o_orderkey") % 2 == 0)))
+        step("insert", "1001")
+        .unionByName(step("update", "1003", "1001", "o_orderstatus = 'F'"))
+        .unionByName(step("update", "1005", "1002", refunded))
+        .unionByName(step("update", "1006", "1005", f"{refunded} and o_orderkey % 2 = 0"))
     )
 
 
-def line_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines, their activities and coupons, and refunds as change records."""
-    line = parquet(spark, sf_dir, "lineitem").withColumn(
-        "line_id", F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    line_id = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return spread(parquet(spark, sf_dir, "lineitem")).select(
+        "*", line_id.alias("line_id"), text("l_orderkey").alias("order_id"), text("l_partkey").alias("sku_id"),
+        text(F.col("l_quantity").cast("bigint")).alias("quantity"), money("l_extendedprice").alias("amount"),
+        *[text(F.col(c) % 5 + 1).alias(n) for n, c in
+          (("code_a", "l_linenumber"), ("code_b", "l_partkey"), ("code_c", "l_suppkey"))],
     )
-    quantity = text(F.col("l_quantity").cast("bigint"))
-    code = {n: text(F.col(c) % 5 + 1) for n, c in (("a", "l_linenumber"), ("b", "l_partkey"), ("c", "l_suppkey"))}
-    ids = {"order_id": text("l_orderkey"), "sku_id": text("l_partkey")}
-    detail = {
-        "id": F.col("line_id"), **ids, "sku_name": F.concat(F.lit("sku "), text("l_partkey")),
-        "create_time": _moment("l_shipdate"), "source_id": text("l_suppkey"), "source_type": code["a"],
-        "sku_num": quantity, "order_price": money("l_extendedprice"),
-        "split_total_amount": money("l_extendedprice"), "split_activity_amount": money("l_discount"),
-        "split_coupon_amount": money("l_tax"),
-    }
-    back = F.col("l_returnflag") == "R"
-    request = {
-        "id": F.col("line_id"), "user_id": text("l_suppkey"), **ids, "refund_type": code["a"],
-        "refund_reason_type": code["b"], "refund_reason_txt": F.concat(F.lit("reason "), code["b"]),
-        "refund_num": quantity, "refund_amount": money("l_extendedprice"), "create_time": _moment("l_shipdate"),
-    }
-    paid = {
-        "id": F.col("line_id"), **ids, "payment_type": code["c"], "callback_time": _moment("l_shipdate"),
-        "total_amount": money("l_extendedprice"), "refund_status": F.lit("0705"),
-    }
-    activity = {
-        "order_detail_id": F.col("line_id"), "activity_id": text(F.col("l_suppkey") % 7),
-        "activity_rule_id": text(F.col("l_suppkey") % 11),
-    }
-    coupon = {"order_detail_id": F.col("line_id"), "coupon_id": text(F.col("l_partkey") % 13)}
-    return (
-        _changes(line, "order_detail", "insert", "l_shipdate", detail)
-        .unionByName(_changes(line.filter("l_discount > 0.05"), "order_detail_activity", "insert", "l_shipdate", activity))
-        .unionByName(_changes(line.filter("l_tax > 0.04"), "order_detail_coupon", "insert", "l_shipdate", coupon))
-        .unionByName(_changes(line.filter(back), "order_refund_info", "insert", "l_shipdate", request))
-        .unionByName(_changes(line.filter(back & (F.col("l_linestatus") == "F")), "refund_payment", "insert", "l_shipdate", paid))
+
+
+def _cols(**names: str | Column) -> dict[str, Column]:
+    return {k: F.col(v) if isinstance(v, str) else v for k, v in names.items()}
+
+
+def detail_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = _cols(
+        id="line_id", order_id="order_id", sku_id="sku_id", sku_name=F.concat(F.lit("sku "), "sku_id"),
+        create_time=_moment("l_shipdate"), source_id=text("l_suppkey"), source_type="code_a", sku_num="quantity",
+        order_price="amount", split_total_amount="amount", split_activity_amount=money("l_discount"),
+        split_coupon_amount=money("l_tax"),
     )
+    return _changes(_lines(spark, sf_dir), "order_detail", "insert", "l_shipdate", data)
+
+
+def activity_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = _cols(
+        order_detail_id="line_id", activity_id=text(F.col("l_suppkey") % 7),
+        activity_rule_id=text(F.col("l_suppkey") % 11),
+    )
+    lines = _lines(spark, sf_dir).filter("l_discount > 0.05")
+    return _changes(lines, "order_detail_activity", "insert", "l_shipdate", data)
+
+
+def line_coupon_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = _cols(order_detail_id="line_id", coupon_id=text(F.col("l_partkey") % 13))
+    lines = _lines(spark, sf_dir).filter("l_tax > 0.04")
+    return _changes(lines, "order_detail_coupon", "insert", "l_shipdate", data)
+
+
+def request_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = _cols(
+        id="line_id", user_id=text("l_suppkey"), order_id="order_id", sku_id="sku_id", refund_type="code_a",
+        refund_reason_type="code_b", refund_reason_txt=F.concat(F.lit("reason "), "code_b"),
+        refund_num="quantity", refund_amount="amount", create_time=_moment("l_shipdate"),
+    )
+    back = _lines(spark, sf_dir).filter("l_returnflag = 'R'")
+    return _changes(back, "order_refund_info", "insert", "l_shipdate", data)
+
+
+def refund_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = _cols(
+        id="line_id", order_id="order_id", sku_id="sku_id", payment_type="code_c",
+        callback_time=_moment("l_shipdate"), total_amount="amount", refund_status=F.lit("0705"),
+    )
+    back = _lines(spark, sf_dir).filter("l_returnflag = 'R' and l_linestatus = 'F'")
+    return _changes(back, "refund_payment", "insert", "l_shipdate", data)
 
 
 def payment_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payments of the orders that were not cancelled."""
     orders = parquet(spark, sf_dir, "orders").filter("o_orderstatus <> 'F'")
-    paid = {
-        "user_id": text("o_custkey"), "order_id": text("o_orderkey"),
-        "payment_type": F.substring("o_orderpriority", 1, 1), "callback_time": _moment("o_orderdate"),
-    }
-    return _changes(orders, "payment_info", "insert", "o_orderdate", paid)
+    data = _cols(
+        user_id=text("o_custkey"), order_id=text("o_orderkey"),
+        payment_type=F.substring("o_orderpriority", 1, 1), callback_time=_moment("o_orderdate"),
+    )
+    return _changes(orders, "payment_info", "insert", "o_orderdate", data)
 
 
 def cart_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as cart records: purchases put items in, clicks change the number."""
+    """Events as cart records: purchases put items in, clicks change the number, views the price."""
     events = event_number(parquet(spark, sf_dir, "events"))
-    data = {
-        "id": text("event_id"), "user_id": text("user_id"), "sku_id": text(F.col("k") * 10),
-        "cart_price": money("value"), "sku_num": text(F.col("k")), "source_id": text(F.col("k") % 7),
-        "source_type": text(F.col("k") % 5 + 1),
-    }
-    old = {"sku_num": text(F.col("event_id") % 100)}
-    price_only = {"cart_price": money("value")}
+    data = _cols(
+        id=text("event_id"), user_id=text("user_id"), sku_id=text(F.col("k") * 10), cart_price=money("value"),
+        sku_num=text("k"), source_id=text(F.col("k") % 7), source_type=text(F.col("k") % 5 + 1),
+    )
+
+    def some(event, kind, number):
+        return _changes(events.filter(F.col("event_type") == event), "cart_info", kind, "ts", data, {"sku_num": number})
+
     return (
-        _changes(events.filter("event_type = 'purchase'"), "cart_info", "insert", "ts", data)
-        .unionByName(_changes(events.filter("event_type = 'click'"), "cart_info", "update", "ts", data, old))
-        .unionByName(_changes(events.filter("event_type = 'view'"), "cart_info", "update", "ts", data, price_only))
+        some("purchase", "insert", F.lit(None))
+        .unionByName(some("click", "update", F.col("event_id") % 100))
+        .unionByName(some("view", "update", F.lit(None)))
     )
 
 
 def coupon_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as coupon records moving through their states."""
-    orders = parquet(spark, sf_dir, "orders")
+    orders = spread(parquet(spark, sf_dir, "orders"))
     state = F.col("o_orderstatus")
     new = F.when(state == "F", "1402").when(state == "P", "1403").otherwise("1401")
     old = F.when(state == "F", "1401").when(state == "P", "1402").otherwise("1400")
-    data = {
-        "id": text("o_orderkey"), "user_id": text("o_custkey"), "coupon_status": new,
-        "used_time": _moment("o_orderdate"), "note": F.col("o_orderpriority"),
-    }
-    return _changes(orders, "coupon_use", "update", "o_orderdate", data, {"coupon_status": old}).unionByName(
-        _changes(orders.filter("o_orderstatus = 'O'"), "coupon_use", "insert", "o_orderdate", data)
+    data = _cols(
+        id=text("o_orderkey"), user_id=text("o_custkey"), coupon_status=new,
+        used_time=_moment("o_orderdate"), note="o_orderpriority",
+    )
+    got = orders.filter("o_orderstatus = 'O'")
+    return as_records(
+        _changes(orders, "coupon_use", "update", "o_orderdate", data, {"coupon_status": old}).unionByName(
+            _changes(got, "coupon_use", "insert", "o_orderdate", data, {"coupon_status": F.lit(None)})
+        )
     )
 
 
 def dim_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers, suppliers and parts as change records of dimension tables."""
-    day = F.lit("2024-01-01 00:00:00")
-    customer = parquet(spark, sf_dir, "customer").withColumn("t", day)
-    supplier = parquet(spark, sf_dir, "supplier").withColumn("t", day)
-    part = parquet(spark, sf_dir, "part").withColumn("t", day)
-    person = {
-        "id": text("c_custkey"), "name": F.col("c_name"), "segment": F.col("c_mktsegment"),
-        "balance": money("c_acctbal"),
-    }
+    customer, supplier, part = (parquet(spark, sf_dir, n) for n in ("customer", "supplier", "part"))
+    day, later = F.lit("2024-01-01 00:00:00"), F.lit("2024-01-02 00:00:00")
+    person = _cols(id=text("c_custkey"), name="c_name", segment="c_mktsegment", balance=money("c_acctbal"))
     moved = {**person, "segment": F.lower("c_mktsegment")}
-    vendor = {"id": text("s_suppkey"), "name": F.col("s_name"), "balance": money("s_acctbal")}
-    item = {"id": text("p_partkey"), "name": F.col("p_name"), "brand": F.col("p_brand"), "size": text("p_size")}
-    later = F.lit("2024-01-02 00:00:00")
-    return (
-        _changes(customer, "user_info", "bootstrap-insert", "t", person)
-        .unionByName(_changes(customer.filter("c_custkey % 3 = 0").withColumn("t", later), "user_info", "update", "t", moved,
-                              {"segment": F.col("c_mktsegment")}))
-        .unionByName(_changes(supplier, "vendor_info", "insert", "t", vendor))
-        .unionByName(_changes(part, "sku_info", "insert", "t", item))
-        .unionByName(_changes(part.filter("p_size > 40"), "sku_info", "delete", "t", item))
-    )
+    vendor = _cols(id=text("s_suppkey"), name="s_name", balance=money("s_acctbal"))
+    item = _cols(id=text("p_partkey"), name="p_name", brand="p_brand", size=text("p_size"))
+    logs = [
+        _changes(customer, "user_info", "bootstrap-insert", day, person),
+        _changes(customer.filter("c_custkey % 3 = 0"), "user_info", "update", later, moved,
+                 {"segment": F.col("c_mktsegment")}),
+        _changes(supplier, "vendor_info", "insert", day, vendor),
+        _changes(part, "sku_info", "insert", day, item),
+        _changes(part.filter("p_size > 40"), "sku_info", "delete", day, item),
+    ]
+    return reduce(DataFrame.unionByName, [as_records(log) for log in logs])
 
 
 def rules(spark: SparkSession) -> DataFrame:

@@ -19,7 +19,7 @@ from millrace.operators.dims import Hop
 from millrace.plans import adapters as a
 from millrace.session import configure, scratch_path
 from millrace.sources.changelog import keyed_topic, read_changes
-from millrace.sources.tables import parquet
+from millrace.sources.tables import parquet, spread
 from millrace.sources.text import sensor_lines, typed
 from millrace.streaming import sinks
 
@@ -86,7 +86,7 @@ def login_window(spark, d):
 
 @query
 def keyword_window(spark, d):
-    return summaries.keyword_window(a.phrases(parquet(spark, d, "conversations")))
+    return summaries.keyword_window(a.phrases(spread(parquet(spark, d, "conversations"))))
 
 
 @query
@@ -108,7 +108,7 @@ def province_order_window(spark, d):
 @query
 def refund_window(spark, d):
     keys, names = a.sku_hops(spark, d)
-    back = parquet(spark, d, "lineitem").filter("l_returnflag = 'R'").select(
+    back = spread(parquet(spark, d, "lineitem")).filter("l_returnflag = 'R'").select(
         F.col("l_partkey").alias("sku_id"), F.col("l_suppkey").alias("user_id"),
         F.col("l_orderkey").alias("order_id"), F.col("l_shipdate").cast("timestamp").alias("ts"),
     )
@@ -183,13 +183,15 @@ def cart_add(spark, d):
 
 
 def detail_fact(spark, d):
-    lines = a.line_changes(spark, d)
-    details = changes.select_changes(lines, "order_detail", facts.DETAIL_COLUMNS)
+    details = changes.select_changes(a.detail_changes(spark, d), "order_detail", facts.DETAIL_COLUMNS)
     orders = changes.select_changes(a.order_changes(spark, d), "order_info", ["id", "user_id", "province_id"], keep=())
     activity = changes.select_changes(
-        lines, "order_detail_activity", ["order_detail_id", "activity_id", "activity_rule_id"], keep=()
+        a.activity_changes(spark, d), "order_detail_activity", ["order_detail_id", "activity_id", "activity_rule_id"],
+        keep=(),
+    )
+    coupon = changes.select_changes(
+        a.line_coupon_changes(spark, d), "order_detail_coupon", ["order_detail_id", "coupon_id"], keep=()
     )
-    coupon = changes.select_changes(lines, "order_detail_coupon", ["order_detail_id", "coupon_id"], keep=())
     return facts.order_detail(details, orders, activity, coupon, a.dictionary(spark, d))
 
 
@@ -222,17 +224,18 @@ REQUEST_COLUMNS = (
 
 @query
 def refund_request_fact(spark, d):
-    requests = changes.select_changes(a.line_changes(spark, d), "order_refund_info", REQUEST_COLUMNS)
+    requests = changes.select_changes(a.request_changes(spark, d), "order_refund_info", REQUEST_COLUMNS)
     orders = changes.status_changes(a.order_changes(spark, d), ["id", "province_id"], changes.REFUNDING)
     return facts.refund_request(requests, orders, a.dictionary(spark, d))
 
 
 @query
 def refund_paid_fact(spark, d):
-    lines = a.line_changes(spark, d)
     columns = ["id", "order_id", "sku_id", "payment_type", "callback_time", "total_amount", "refund_status"]
-    paid = changes.select_changes(lines, "refund_payment", columns, types=None)
-    requests = changes.select_changes(lines, "order_refund_info", ["order_id", "sku_id", "refund_num"], types=None)
+    paid = changes.select_changes(a.refund_changes(spark, d), "refund_payment", columns, types=None)
+    requests = changes.select_changes(
+        a.request_changes(spark, d), "order_refund_info", ["order_id", "sku_id", "refund_num"], types=None
+    )
     orders = changes.status_changes(a.order_changes(spark, d), ["id", "user_id", "province_id"], changes.REFUNDED)
     return facts.refund_paid(paid, requests, orders, a.dictionary(spark, d))
 
@@ -308,7 +311,7 @@ def config_route_transition(spark, d):
 
 @query
 def config_prune(spark, d):
-    cleaned = changes.clean_changes(a.order_changes(spark, d), a.DATABASE)
+    cleaned = changes.clean_changes(a.as_records(spread(a.order_changes(spark, d))), a.DATABASE)
     return dims.route_facts(cleaned, a.rules(spark)).select("sink_table", map_text("data"))
 
 
@@ -322,7 +325,7 @@ def dim_upsert(spark, d):
 @query
 def route_write(spark, d):
     """Written by destination and read back."""
-    log = a.order_changes(spark, d).unionByName(a.coupon_changes(spark, d))
+    log = a.as_records(spread(a.order_changes(spark, d))).unionByName(a.coupon_changes(spark, d))
     routed = dims.route_facts(changes.clean_changes(log, a.DATABASE), a.rules(spark))
     path = scratch_path(spark, "routed")
     sinks.write_routed(routed, path)
@@ -335,7 +338,7 @@ def route_write(spark, d):
 
 
 def raw(spark, d):
-    return a.raw_log(parquet(spark, d, "events"))
+    return a.raw_log(spread(parquet(spark, d, "events")))
 
 
 @query
@@ -346,12 +349,7 @@ def json_valid(spark, d):
 
 @query
 def log_split_counts(spark, d):
-    parts = logs.split_logs(logs.parse_logs(raw(spark, d)))
-    counts = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("output"), "n") for name, df in parts.items()]
-    total = counts[0]
-    for one in counts[1:]:
-        total = total.unionByName(one)
-    return total
+    return logs.tag_outputs(logs.parse_logs(raw(spark, d))).groupBy("output").agg(F.count("*").alias("n"))
 
 
 def entries(spark, d, output, names):
@@ -380,13 +378,13 @@ def visitor_repair(spark, d):
 
 @query
 def keyword_tokens(spark, d):
-    rows = words.explode_words(parquet(spark, d, "documents").select("doc_id", "text"), "text")
+    rows = words.explode_words(spread(parquet(spark, d, "documents")).select("doc_id", "text"), "text")
     return rows.groupBy("keyword").agg(F.count("*").alias("docs"))
 
 
 @query
 def word_count(spark, d):
-    return words.word_count(parquet(spark, d, "conversations"), "text", ",")
+    return words.word_count(spread(parquet(spark, d, "conversations")), "text", ",")
 
 
 # --- arrival order ----------------------------------------------------------
