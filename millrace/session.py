@@ -30,9 +30,11 @@ def configure(spark: SparkSession, time_zone: str = "UTC") -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
+def local_session(
+    cores: int | str = "*", partitions: int = 8, memory: str = "8g", settings: dict[str, str] | None = None
+) -> SparkSession:
     """A single-machine session for tests and the benchmark."""
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("millrace")
         .config("spark.sql.shuffle.partitions", str(partitions))
@@ -40,8 +42,10 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-        .getOrCreate()
     )
+    for key, value in (settings or {}).items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
 

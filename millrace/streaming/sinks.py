@@ -151,7 +151,7 @@ def apply_rules(spark: SparkSession, changes: Iterable[Row]) -> list[str]:
     return touched
 
 
-def dims_to(spark: SparkSession, rules: DataFrame, order: Sequence[str] = ("ts",)) -> BatchWriter:
+def dims_to(rules: DataFrame, order: Sequence[str] = ("ts",)) -> BatchWriter:
     """Upsert each batch of routed records into the dimension tables of the rules.
 
     A table is rewritten only in the partition of the batch at hand.
@@ -162,9 +162,8 @@ def dims_to(spark: SparkSession, rules: DataFrame, order: Sequence[str] = ("ts",
         for rule in targets:
             columns = rule["sink_columns"].split(",")
             rows = dim_rows(batch, rule["sink_table"], columns, order, rule["sink_pk"] or "id")
-            numbered = rows.withColumn(BATCH, F.lit(number).cast("bigint"))
-            writer = numbered.write.option("partitionOverwriteMode", "dynamic").mode("overwrite")
-            writer.insertInto(_name(rule["sink_table"]))
+            target = f"{_name(rule['sink_table'])} partition ({BATCH} = {int(number)})"
+            batch.sparkSession.sql(f"insert overwrite table {target} select * from {{rows}}", rows=rows)
 
     return write
 
