@@ -41,6 +41,11 @@ def stream_page_view_window(spark, d):
     return finished(spark, jobs.page_view_window(rows, HOUR, ("ts", "event_id")), "pages")
 
 
+@query
+def stream_home_detail_uv_window(spark, d):
+    return finished(spark, jobs.home_detail_uv_window(a.page_views(replay(spark, d, "events")), HOUR), "home")
+
+
 @query
 def stream_login_window(spark, d):
     return finished(spark, jobs.login_window(a.logins(replay(spark, d, "orders")), DAY), "logins")
@@ -104,6 +109,9 @@ where edt <= (select strftime(max(t) - interval '3 seconds', {SECONDS}) from ({n
 
 ORACLE["stream_order_window"] = closed(ORACLE["order_window"], "select o_orderdate as t from orders")
 ORACLE["stream_page_view_window"] = closed(ORACLE["page_view_window"], "select ts as t from events")
+ORACLE["stream_home_detail_uv_window"] = closed(
+    ORACLE["home_detail_uv_window"], "select ts as t from events where event_type in ('view', 'click')"
+)
 ORACLE["stream_login_window"] = closed(
     ORACLE["login_window"],
     "select o_orderdate as t from orders where o_orderpriority like '1%' or o_orderpriority like '2%'",

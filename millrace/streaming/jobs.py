@@ -18,7 +18,7 @@ from millrace.operators import summaries as batch
 from millrace.operators.dims import Hop, enrich
 from millrace.operators.windows import DISORDER, WINDOW, stamp, sum_by_window, tumble
 from millrace.streaming.sinks import BatchWriter, append_to
-from millrace.streaming.stateful import day_visits, revision_changes, thin_repeats
+from millrace.streaming.stateful import day_visits, revision_changes
 
 
 def timed(df: DataFrame, delay: str = DISORDER, ts: str = "ts") -> DataFrame:
@@ -39,31 +39,30 @@ def register_window(users: DataFrame, width: str = WINDOW) -> DataFrame:
 
 def page_view_window(pages: DataFrame, width: str = WINDOW, order: Sequence[str] = ("ts",)) -> DataFrame:
     pages = timed(pages)
-    visits = day_visits(pages, "mid", order, ("ts", *batch.PAGE_DIMS), forget=True)
+    visits = day_visits(pages, ["mid"], width, order, batch.PAGE_DIMS, forget=True)
     return sum_by_window(
         batch.page_view_parts(pages, visits), batch.PAGE_DIMS, ["uv_ct", "sv_ct", "pv_ct", "dur_sum"], width
     )
 
 
 def home_detail_uv_window(pages: DataFrame, width: str = WINDOW) -> DataFrame:
-    rows = timed(batch.home_detail_pages(pages)).withColumn("_visitor", F.concat_ws("@", "page_id", "mid"))
-    visits = day_visits(thin_repeats(rows, ["_visitor"], width), "_visitor", carry=("ts", "page_id"), forget=True)
+    visits = day_visits(timed(batch.home_detail_pages(pages)), ["mid", "page_id"], width, forget=True)
     return sum_by_window(batch.home_detail_parts(visits), (), ["home_uv_ct", "good_detail_uv_ct"], width)
 
 
 def login_window(pages: DataFrame, width: str = WINDOW) -> DataFrame:
-    rows = thin_repeats(timed(batch.logins(pages)), ["uid"], width)
-    parts = day_visits(rows, "uid").select("ts", F.col("is_back").alias("back_ct"), _one().alias("uu_ct"))
+    visits = day_visits(timed(batch.logins(pages)), ["uid"], width)
+    parts = visits.select("ts", F.col("is_back").alias("back_ct"), _one().alias("uu_ct"))
     return sum_by_window(parts, (), ["back_ct", "uu_ct"], width)
 
 
 def cart_uu_window(carts: DataFrame, width: str = WINDOW) -> DataFrame:
-    visits = day_visits(thin_repeats(timed(carts), ["user_id"], width), "user_id", forget=True)
+    visits = day_visits(timed(carts), ["user_id"], width, forget=True)
     return stamp(visits.groupBy(tumble("ts", width)).agg(F.count("*").alias("cart_add_uu_ct")))
 
 
 def _unique_and_new(rows: DataFrame, unique: str, new: str, width: str) -> DataFrame:
-    visits = day_visits(thin_repeats(timed(rows), ["user_id"], width), "user_id")
+    visits = day_visits(timed(rows), ["user_id"], width)
     parts = visits.select("ts", _one().alias(unique), F.col("first_ever").alias(new))
     return sum_by_window(parts, (), [unique, new], width)
 

@@ -159,11 +159,15 @@ def dims_to(rules: DataFrame, order: Sequence[str] = ("ts",)) -> BatchWriter:
     targets = _dim_rules(rules)
 
     def write(batch: DataFrame, number: int) -> None:
-        for rule in targets:
-            columns = rule["sink_columns"].split(",")
-            rows = dim_rows(batch, rule["sink_table"], columns, order, rule["sink_pk"] or "id")
-            target = f"{_name(rule['sink_table'])} partition ({BATCH} = {int(number)})"
-            batch.sparkSession.sql(f"insert overwrite table {target} select * from {{rows}}", rows=rows)
+        held = batch.persist()
+        try:
+            for rule in targets:
+                columns = rule["sink_columns"].split(",")
+                rows = dim_rows(held, rule["sink_table"], columns, order, rule["sink_pk"] or "id")
+                target = f"{_name(rule['sink_table'])} partition ({BATCH} = {int(number)})"
+                batch.sparkSession.sql(f"insert overwrite table {target} select * from {{rows}}", rows=rows)
+        finally:
+            held.unpersist()
 
     return write
 

@@ -1,17 +1,18 @@
 """Keyed state on streams: the streaming forms of the per-key batch transforms.
 
-A micro-batch is taken in event-time order per key; across micro-batches the
-order is that of arrival, within the watermark. Groups reach a processor as an
-iterator of Arrow batches and are reduced batch by batch, never held whole.
+Groups reach a processor as an iterator of Arrow batches and are taken batch by
+batch, never held whole. Versions and visits are ordered within a micro-batch;
+across micro-batches the order is that of arrival.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from datetime import date
+from itertools import islice
+from operator import itemgetter
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -19,71 +20,43 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from millrace.functions.columns import flag
 from millrace.operators.users import RETURN_DAYS
 
-_EPOCH = date(1970, 1, 1)
-
-
-def _fields(df: DataFrame, names: Sequence[str]) -> list[T.StructField]:
-    return [df.schema[n] for n in names]
-
-
-def thin_repeats(df: DataFrame, keys: Sequence[str], width: str, ts: str = "ts", salts: int = 16) -> DataFrame:
-    """Keep a few rows per key and window ahead of the keyed state.
-
-    The salt spreads a busy key over tasks and its state leaves with the window.
-    Times become the last instant of their window, which is as good for counts
-    per window.
-    """
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts)).alias("_salt")
-    rest = [c for c in df.columns if c != ts]
-    thinned = df.select(*rest, F.window(ts, width).alias("_win"), salt).dropDuplicates([*keys, "_win", "_salt"])
-    return thinned.select(*rest, F.window_time("_win").alias(ts))
+_EPOCH = pd.Timestamp(0)
+_DAY_MS = 86_400_000
+SORTED_RUN = 10_000
 
 
 class _DayVisits(StatefulProcessor):
-    """Remembers the two newest days of a key; emits the first row of an unseen day."""
+    """Remembers the newest day of a key; emits the first row of a newer day."""
 
-    def __init__(self, order: Sequence[str], carry: Sequence[str], key: str, forget: bool):
-        self.order, self.carry, self.key, self.forget = list(order), list(carry), key, forget
+    def __init__(self, columns: Sequence[str], forget: bool):
+        self.columns, self.forget = list(columns), forget
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.days = handle.getValueState("days", "newest int, before int")
+        self.day = handle.getValueState("day", "day int")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        ts = self.order[0]
-        firsts = None
+        firsts = pd.DataFrame()
         for chunk in rows:
-            seen = chunk if firsts is None else pd.concat([firsts, chunk])
-            seen = seen.sort_values(self.order, kind="stable")
-            firsts = seen[~seen[ts].dt.normalize().duplicated()]
-        newest, before = self.days.get() if self.days.exists() else (None, None)
-        out = []
-        for row in firsts.itertuples(index=False):
-            record = row._asdict()
-            day = (record[ts].date() - _EPOCH).days
-            if newest is not None and (day in (newest, before) or day < (before if before is not None else newest)):
-                continue
-            away = None if newest is None or day < newest else day - newest
-            out.append([key[0], *[record[c] for c in self.carry], newest is None, away])
-            if newest is None or day > newest:
-                newest, before = day, newest
-            else:
-                before = day
-        if not out:
+            seen = pd.concat([firsts, chunk]).sort_values("ts", kind="stable")
+            firsts = seen[~seen["ts"].dt.normalize().duplicated()]
+        days = (firsts["ts"].dt.normalize() - _EPOCH).dt.days
+        last = self.day.get()[0] if self.day.exists() else None
+        if last is not None:
+            firsts, days = firsts[days > last], days[days > last]
+        if firsts.empty:
             return
-        self.days.update((newest, before))
+        before = days.shift(1, fill_value=-1 if last is None else last)
+        newest = int(days.iloc[-1])
+        self.day.update((newest,))
         if self.forget:
-            self.handle.registerTimer((newest + 1) * 86_400_000)
-        names = [self.key, *self.carry, "_first", "_away"]
-        frame = pd.DataFrame(out, columns=names)
-        frame["_away"] = frame["_away"].astype("Int32")
-        yield frame
+            self.handle.registerTimer((newest + 1) * _DAY_MS)
+        away = (days - before).mask((before == -1) & (last is None))
+        yield firsts[self.columns].assign(_away=away.astype("Int32"))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.days.exists():
-            newest, _ = self.days.get()
-            if (newest + 1) * 86_400_000 <= expiredTimerInfo.getExpiryTimeInMs():
-                self.days.clear()
+        if self.day.exists() and (self.day.get()[0] + 1) * _DAY_MS <= expiredTimerInfo.getExpiryTimeInMs():
+            self.day.clear()
         return iter([])
 
     def close(self) -> None:
@@ -91,22 +64,29 @@ class _DayVisits(StatefulProcessor):
 
 
 def day_visits(
-    df: DataFrame, key: str, order: Sequence[str] = ("ts",), carry: Sequence[str] = ("ts",), forget: bool = False
+    df: DataFrame, keys: Sequence[str], width: str, order: Sequence[str] = ("ts",), carry: Sequence[str] = (),
+    forget: bool = False,
 ) -> DataFrame:
     """First row of each key on each day, with ``first_ever`` and ``is_back``.
 
-    ``forget`` lets a key go after its day; leave it off where first-ever or
-    returning keys are asked for.
+    Rows are first reduced to the earliest of each key and window, by an
+    aggregate that starts before the shuffle; the keyed state sees one row per
+    key and window however busy the key is, and sees windows in order. Times
+    become the last instant of their window, which is as good for counts per
+    window. ``forget`` lets a key go after its day; leave it off where
+    first-ever or returning keys are asked for.
     """
-    carry = list(dict.fromkeys((order[0], *carry)))
-    extra = [T.StructField("_first", T.BooleanType()), T.StructField("_away", T.IntegerType())]
-    schema = T.StructType([*_fields(df, [key, *carry]), *extra])
-    rows = df.select(*dict.fromkeys([key, *carry, *order]))
-    visits = rows.groupBy(key).transformWithStateInPandas(
-        _DayVisits(order, carry, key, forget), schema, "Append", "EventTime", eventTimeColumnName=order[0]
+    first = F.min(F.struct(*order, *carry)).alias("_first")
+    reduced = df.groupBy(*keys, F.window(order[0], width).alias("_win")).agg(first)
+    rows = reduced.select(*keys, F.window_time("_win").alias("ts"), *[F.col("_first")[c].alias(c) for c in carry])
+    schema = T.StructType([*rows.schema.fields, T.StructField("_away", T.IntegerType())])
+    visits = rows.groupBy(*keys).transformWithStateInPandas(
+        _DayVisits(rows.columns, forget), schema, "Append", "EventTime", eventTimeColumnName="ts"
     )
     back = F.coalesce(F.col("_away") > RETURN_DAYS, F.lit(False))
-    return visits.select(key, *carry, flag(F.col("_first")).alias("first_ever"), flag(back).alias("is_back"))
+    return visits.select(
+        *rows.columns, flag(F.col("_away").isNull()).alias("first_ever"), flag(back).alias("is_back")
+    )
 
 
 class _FirstDay(StatefulProcessor):
@@ -121,7 +101,7 @@ class _FirstDay(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         first = self.day.get()[0] if self.day.exists() else None
         for chunk in rows:
-            days = (chunk[self.order[0]].dt.normalize() - pd.Timestamp(_EPOCH)).dt.days
+            days = (chunk[self.order[0]].dt.normalize() - _EPOCH).dt.days
             if first is None:
                 opening = chunk.sort_values(self.order, kind="stable").index[0]
                 first = int(days[opening]) - (chunk[self.is_new][opening] != "1")
@@ -142,7 +122,11 @@ def repair_visitors(df: DataFrame, device: str = "mid", is_new: str = "is_new",
 
 
 class _LastVersion(StatefulProcessor):
-    """Remembers the newest version of a key; a new one cancels it."""
+    """Remembers the newest version of a key; a new one cancels it.
+
+    Takes rows one by one: a key has few versions, and building a frame for
+    each key would cost more than the work on it.
+    """
 
     def __init__(self, order: Sequence[str], amounts: Sequence[str], schema: T.StructType):
         self.order, self.amounts, self.schema = list(order), list(amounts), schema
@@ -150,17 +134,21 @@ class _LastVersion(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", self.schema)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         names = self.schema.names
-        held = pd.DataFrame([self.last.get()], columns=names) if self.last.exists() else None
-        for chunk in rows:
-            added = chunk.sort_values(self.order, kind="stable")[names]
-            replaced = added.iloc[:-1] if held is None else pd.concat([held, added.iloc[:-1]])
-            held = added.iloc[-1:]
-            gone = replaced.assign(**{a: -replaced[a] for a in self.amounts}, sign=-1)
-            yield pd.concat([gone, added.assign(sign=1)]) if len(gone) else added.assign(sign=1)
-        self.last.update(tuple(v.to_pydatetime() if isinstance(v, pd.Timestamp) else getattr(v, "item", lambda v=v: v)()
-                               for v in held.iloc[0]))
+        place = itemgetter(*(names.index(c) for c in self.order))
+        amounts = {names.index(c) for c in self.amounts}
+        signed = Row(*names, "sign")
+        held = self.last.get() if self.last.exists() else None
+        rows = iter(rows)
+        while run := sorted(islice(rows, SORTED_RUN), key=place):
+            for row in run:
+                if held is not None:
+                    gone = [-v if i in amounts and v is not None else v for i, v in enumerate(held)]
+                    yield signed(*gone, -1)
+                yield signed(*row, 1)
+                held = tuple(row)
+        self.last.update(held)
 
     def close(self) -> None:
         pass
@@ -169,6 +157,6 @@ class _LastVersion(StatefulProcessor):
 def revision_changes(df: DataFrame, key: str, order: Sequence[str], amounts: Sequence[str], ts: str = "ts") -> DataFrame:
     """Every version, and the negated copy of the version it replaces."""
     schema = T.StructType([*df.schema.fields, T.StructField("sign", T.IntegerType(), False)])
-    return df.groupBy(key).transformWithStateInPandas(
+    return df.groupBy(key).transformWithState(
         _LastVersion(order, amounts, df.schema), schema, "Append", "EventTime", eventTimeColumnName=ts
     )

@@ -73,14 +73,24 @@ def test_forgotten_keys_still_count_each_day(feed, finish, rows):
     assert rows(got, *want.columns) == rows(want)
 
 
-def test_day_visits_emit_a_day_once_when_late(feed, finish, rows):
-    """Day one is seen again after day two, inside the watermark."""
+def test_day_visits_follow_event_time_when_late(feed, finish, rows):
+    """A row of day one comes after day two has begun, inside the watermark."""
     stream, _ = feed(
-        "in", "k string, ts string", [("a", "2024-01-01 23:59:58")], [("a", "2024-01-02 00:00:00")],
-        [("a", "2024-01-01 23:59:59")],
+        "in", "k string, ts string", [("a", "2024-01-02 00:00:00")], [("a", "2024-01-01 23:59:59")],
+        [("a", "2024-01-03 00:00:00")], END, END,
     )
-    got = finish(stateful.day_visits(jobs.timed(at(stream)), "k"))
-    assert rows(got.select(F.date_format("ts", "dd HH:mm:ss"), "first_ever")) == [("01 23:59:58", 1), ("02 00:00:00", 0)]
+    got = finish(stateful.day_visits(jobs.timed(at(stream)), ["k"], "5 seconds"))
+    assert rows(got.filter("k = 'a'").select(F.dayofmonth("ts"), "first_ever")) == [(1, 1), (2, 0), (3, 0)]
+
+
+def test_a_busy_key_reaches_the_state_once_per_window(feed, finish, rows):
+    part = [("hot", f"2024-01-01 00:00:{s:02d}") for s in range(20)] * 50
+    stream, _ = feed("in", "user_id string, ts string", part, END, END)
+    job = jobs.order_window(at(stream))
+    got = finish(job)
+    assert rows(got, "stt", "order_unique_user_count", "order_new_user_count") == [("2024-01-01 00:00:00", 1, 1)]
+    plan = job._jdf.queryExecution().analyzed().toString()
+    assert plan.index("TransformWithState") < plan.rindex("Aggregate")
 
 
 def test_page_views_over_batches(feed, finish, rows):
@@ -134,15 +144,6 @@ def test_late_rows_correct_a_reported_window(spark, feed, tmp_path, rows):
     assert spark.read.parquet(out).filter("stt = '1970-01-01 00:00:00'").count() == 2
 
 
-def test_salted_thinning_keeps_every_window(feed, finish, rows):
-    part = [("hot", f"2024-01-01 00:00:{s:02d}") for s in range(0, 20)] * 3
-    stream, _ = feed("in", "user_id string, ts string", part, END)
-    thin = stateful.thin_repeats(jobs.timed(at(stream)), ["user_id"], "5 seconds", salts=2)
-    got = finish(thin).filter("user_id = 'hot'")
-    wins = rows(got.select(F.window("ts", "5 seconds").start.cast("string")).distinct())
-    assert len(wins) == 4 and got.count() <= 8
-
-
 def test_order_facts_join_on_streams(spark, feed, finish, rows):
     details, _ = feed(
         "d", "id string, order_id string, sku_id string, sku_name string, create_time string, source_id string, "
