@@ -99,7 +99,7 @@ def _with_rule(changes: DataFrame, rules: DataFrame, kind: Column) -> DataFrame:
         "sink_table", "sink_type", "sink_columns", "sink_pk",
     )
     keyed = changes.withColumn("_kind_of", kind)
-    if not rules.isStreaming:
+    if not changes.isStreaming:
         side = broadcast_if_small(side)
     on = (keyed["table"] == side["_table"]) & (keyed["_kind_of"] == side["_kind"])
     tag = F.create_map(F.lit("op_type"), F.col("type"))

@@ -28,13 +28,15 @@ def decode(df: DataFrame, dictionary: DataFrame, code: str, name: str) -> DataFr
     May be applied several times, once per coded column.
     """
     names = dictionary.select(F.col("dic_code").alias("_code"), F.col("dic_name").alias(name))
-    if not dictionary.isStreaming:
+    if not df.isStreaming:  # a stream plans, and sizes, each micro-batch anew
         names = broadcast_if_small(names)
     return df.join(names, df[code] == names["_code"]).drop("_code")
 
 
-def _match(equal: Column, left: str, right: str, within: int | None) -> Column:
+def _match(equal: Column, left: str, right: str, within: int | None, salted: bool = False) -> Column:
     """The equality, with both event times no further apart than ``within`` seconds."""
+    if salted:
+        equal = equal & (F.col(f"{left}._salt") == F.col(f"{right}._salt"))
     if within is None:
         return equal
     span = F.expr(f"interval {within} seconds")
@@ -42,6 +44,16 @@ def _match(equal: Column, left: str, right: str, within: int | None) -> Column:
     return equal & F.col(f"{right}.et").between(early, late)
 
 
+def _salted(many: DataFrame, one: DataFrame, salts: int, row: str) -> tuple[DataFrame, DataFrame]:
+    """Spread a busy join key over ``salts`` tasks: the single row goes to each.
+
+    Stored tables are split at run time and need none of this; stream joins are not.
+    """
+    salt = F.pmod(F.xxhash64(row), F.lit(salts)).cast("int")
+    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    return many.withColumn("_salt", salt), one.withColumn("_salt", copies)
+
+
 def original_amount(quantity: Column, price: Column) -> Column:
     """Quantity times price as text, with the four decimals of the exact product."""
     money = "decimal(16,2)"
@@ -55,12 +67,14 @@ def order_detail(
     coupons: DataFrame,
     dictionary: DataFrame,
     within: int | None = None,
+    salts: int = 1,
 ) -> DataFrame:
     """Order lines with their order, and with activity and coupon where they have one."""
-    d, o, a, c = (x.alias(n) for x, n in ((details, "d"), (orders, "o"), (activities, "a"), (coupons, "c")))
     # The dictionary drops lines, so it goes before the wider joins.
-    d = decode(d, dictionary, "source_type", "source_type_name").alias("d")
-    joined = d.join(o, _match(F.col("d.order_id") == F.col("o.id"), "d", "o", within))
+    d = decode(details, dictionary, "source_type", "source_type_name")
+    d, o = _salted(d, orders, salts, "id") if salts > 1 else (d, orders)
+    d, o, a, c = (x.alias(n) for x, n in ((d, "d"), (o, "o"), (activities, "a"), (coupons, "c")))
+    joined = d.join(o, _match(F.col("d.order_id") == F.col("o.id"), "d", "o", within, salts > 1))
     for side, name in ((a, "a"), (c, "c")):
         on = F.col("d.id") == F.col(f"{name}.order_detail_id")
         joined = joined.join(side, _match(on, "d", name, within), "left")
@@ -77,11 +91,12 @@ def order_detail(
 
 
 def order_cancel(
-    cancelled: DataFrame, details: DataFrame, legacy: bool = False, within: int | None = None
+    cancelled: DataFrame, details: DataFrame, legacy: bool = False, within: int | None = None, salts: int = 1
 ) -> DataFrame:
     """Lines of cancelled orders. ``legacy`` reports the creation time as the cancel time."""
-    c, d = cancelled.alias("c"), details.alias("d")
-    on = _match(F.col("c.id") == F.col("d.order_id"), "c", "d", within)
+    d, c = _salted(details, cancelled, salts, "id") if salts > 1 else (details, cancelled)
+    c, d = c.alias("c"), d.alias("d")
+    on = _match(F.col("c.id") == F.col("d.order_id"), "c", "d", within, salts > 1)
     moment = F.col("d.create_time" if legacy else "c.operate_time")
     return c.join(d, on).select(
         "d.id", "d.order_id", "c.user_id", "d.sku_id", "d.sku_name", "d.province_id", "d.activity_id",
@@ -94,12 +109,13 @@ def order_cancel(
 
 
 def payment(
-    payments: DataFrame, details: DataFrame, dictionary: DataFrame, within: int | None = None
+    payments: DataFrame, details: DataFrame, dictionary: DataFrame, within: int | None = None, salts: int = 1
 ) -> DataFrame:
     """Lines of paid orders, with the payment decoded."""
-    p = decode(payments, dictionary, "payment_type", "payment_type_name").alias("p")
-    d = details.alias("d")
-    on = _match(F.col("p.order_id") == F.col("d.order_id"), "p", "d", within)
+    p = decode(payments, dictionary, "payment_type", "payment_type_name")
+    d, p = _salted(details, p, salts, "id") if salts > 1 else (details, p)
+    p, d = p.alias("p"), d.alias("d")
+    on = _match(F.col("p.order_id") == F.col("d.order_id"), "p", "d", within, salts > 1)
     return p.join(d, on).select(
         F.col("d.id").alias("order_detail_id"), "d.order_id", "d.user_id", "d.sku_id", "d.sku_name",
         "d.province_id", "d.activity_id", "d.activity_rule_id", "d.coupon_id",
@@ -111,13 +127,14 @@ def payment(
 
 
 def refund_request(
-    requests: DataFrame, orders: DataFrame, dictionary: DataFrame, within: int | None = None
+    requests: DataFrame, orders: DataFrame, dictionary: DataFrame, within: int | None = None, salts: int = 1
 ) -> DataFrame:
     """Refund requests whose order moved to refunding, decoded by kind and by reason."""
     r = decode(requests, dictionary, "refund_type", "refund_type_name")
-    r = decode(r, dictionary, "refund_reason_type", "refund_reason_type_name").alias("r")
-    o = orders.alias("o")
-    on = _match(F.col("r.order_id") == F.col("o.id"), "r", "o", within)
+    r = decode(r, dictionary, "refund_reason_type", "refund_reason_type_name")
+    r, o = _salted(r, orders, salts, "id") if salts > 1 else (r, orders)
+    r, o = r.alias("r"), o.alias("o")
+    on = _match(F.col("r.order_id") == F.col("o.id"), "r", "o", within, salts > 1)
     return r.join(o, on).select(
         "r.id", "r.user_id", "r.order_id", "r.sku_id", "o.province_id",
         date_id(F.col("r.create_time")).alias("date_id"), "r.create_time",

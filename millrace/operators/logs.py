@@ -107,18 +107,26 @@ def tag_outputs(df: DataFrame) -> DataFrame:
     return df.select(F.inline(F.when(F.col("start").isNotNull(), start).otherwise(other)))
 
 
-def repair_visitors(df: DataFrame, device: str = "mid", is_new: str = "is_new", order=("ts",)) -> DataFrame:
-    """Clear the new-visitor flag on days after a device was first seen.
+def first_days(df: DataFrame, device: str = "mid", is_new: str = "is_new", order=("ts",)) -> DataFrame:
+    """The day each device counts as new, in ``first_day``.
 
-    The first record decides the first day: its own day if it says new, the day
-    before if it says old. ``ts`` is a timestamp and leads ``order``.
+    The first record decides: its own day if it says new, the day before if it
+    says old. ``order`` leads with a timestamp.
     """
     opening = F.struct(*order, F.col(is_new).alias("_flag"))
     first = df.groupBy(device).agg(F.min(opening).alias("_first"))
     seen = F.to_date(F.col("_first")[order[0]])
     says_new = F.coalesce(F.col("_first._flag") == "1", F.lit(False))
-    first = first.select(device, F.when(says_new, seen).otherwise(F.date_sub(seen, 1)).alias("_first_day"))
-    joined = join_per_key(df, first, [device])
-    wrong = (F.col(is_new) == "1") & (F.to_date(order[0]) != F.col("_first_day"))
-    repaired = F.when(wrong, F.lit("0")).otherwise(F.col(is_new))
-    return joined.withColumn(is_new, repaired).select(*df.columns)
+    return first.select(device, F.when(says_new, seen).otherwise(F.date_sub(seen, 1)).alias("first_day"))
+
+
+def clear_flags(df: DataFrame, days: DataFrame, device: str = "mid", is_new: str = "is_new", ts: str = "ts") -> DataFrame:
+    """Clear the new-visitor flag on days other than the first one known."""
+    joined = join_per_key(df, days.withColumnRenamed("first_day", "_first_day"), [device])
+    wrong = (F.col(is_new) == "1") & (F.to_date(ts) != F.col("_first_day"))
+    return joined.withColumn(is_new, F.when(wrong, F.lit("0")).otherwise(F.col(is_new))).select(*df.columns)
+
+
+def repair_visitors(df: DataFrame, device: str = "mid", is_new: str = "is_new", order=("ts",)) -> DataFrame:
+    """Clear the new-visitor flag on days after a device was first seen."""
+    return clear_flags(df, first_days(df, device, is_new, order), device, is_new, order[0])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -57,24 +57,25 @@ def _scan(
     keys: Sequence[str],
     order: Sequence[str],
     slices: int | None,
-    local: Column,
-    total: Column,
-    carry: Column,
+    weight: Column,
+    combine: Callable[[str], Column],
+    into: str,
 ) -> DataFrame:
-    """Prefix scan in two levels.
+    """Combine the weights of all rows before each row within its keys.
 
-    ``local`` is evaluated within (keys, slice), ``total`` summarises one slice
-    and ``carry`` combines the totals of the earlier slices of the same keys. A
-    key has at most one total per slice, so the carry window stays small.
+    Each slice gets one extra row in front, which carries what the earlier
+    slices of the same keys add up to. A key has at most one total per slice, so
+    the window over totals stays small, and the rows are shuffled once.
     """
-    cut = _ordered_slices(df, keys, order, slices)
-    within = Window.partitionBy(*keys, "_slice").orderBy(*order)
-    rows = cut.withColumn("_local", local.over(within.rowsBetween(Window.unboundedPreceding, -1)))
-    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    totals = cut.groupBy(*keys, "_slice").agg(total.alias("_total"))
-    carried = totals.withColumn("_carry", carry.over(before)).drop("_total")
-    same = [rows[c].eqNullSafe(carried[c]) for c in (*keys, "_slice")]
-    return rows.join(carried, same, "left").select(*[rows[c] for c in rows.columns], carried["_carry"])
+    cut = _ordered_slices(df, keys, order, slices).withColumn("_w", weight)
+    totals = cut.groupBy(*keys, "_slice").agg(combine("_w").alias("_w"))
+    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = totals.withColumn("_w", combine("_w").over(earlier)).filter("_w is not null")
+    rows = cut.withColumn("_row", F.lit(True))
+    rows = rows.unionByName(carried.withColumn("_row", F.lit(False)), allowMissingColumns=True)
+    within = Window.partitionBy(*keys, "_slice").orderBy("_row", *order)
+    scanned = rows.withColumn(into, combine("_w").over(within.rowsBetween(Window.unboundedPreceding, -1)))
+    return scanned.filter("_row").drop("_row", "_w", "_slice")
 
 
 def with_position(
@@ -85,12 +86,8 @@ def with_position(
     With no keys the place is counted over the whole table, without moving the
     table to one task.
     """
-    scanned = _scan(
-        df, keys, order, slices,
-        local=F.count(F.lit(1)), total=F.count(F.lit(1)), carry=F.sum("_total"),
-    )
-    place = F.coalesce("_local", F.lit(0)) + F.coalesce("_carry", F.lit(0))
-    return scanned.withColumn(into, place).drop("_local", "_carry", "_slice")
+    scanned = _scan(df, keys, order, slices, F.lit(1).cast("bigint"), F.sum, into)
+    return scanned.withColumn(into, F.coalesce(into, F.lit(0)).cast("bigint"))
 
 
 def with_running_max(
@@ -102,8 +99,4 @@ def with_running_max(
     slices: int | None = None,
 ) -> DataFrame:
     """Largest ``value`` among the rows that come before each row within its keys."""
-    scanned = _scan(
-        df, keys, order, slices,
-        local=F.max(value), total=F.max(value), carry=F.max("_total"),
-    )
-    return scanned.withColumn(into, F.greatest("_local", "_carry")).drop("_local", "_carry", "_slice")
+    return _scan(df, keys, order, slices, F.col(value), F.max, into)

@@ -130,6 +130,14 @@ def province_parts(details: DataFrame, width: str) -> DataFrame:
     return details.groupBy(*keys).agg(F.sum("order_amount").alias("order_amount"))
 
 
+def province_sums(net: DataFrame, hops: Sequence[Hop] = (), width: str = WINDOW, on_missing: str = "null") -> DataFrame:
+    """Distinct orders and amount per province, from netted order lines."""
+    sums = province_parts(net, width).groupBy("win", "province_id").agg(
+        F.count("*").alias("order_count"), F.sum("order_amount").alias("order_amount")
+    )
+    return enrich(stamp(sums), hops, on_missing)
+
+
 def province_order_window(
     details: DataFrame, order: Sequence[str], hops: Sequence[Hop] = (), width: str = WINDOW,
     on_missing: str = "null",
@@ -139,10 +147,7 @@ def province_order_window(
     Orders are counted where any of their lines was seen, replaced or not.
     """
     net = net_amounts(details, ["order_detail_id"], order, ["order_amount"])
-    sums = province_parts(net, width).groupBy("win", "province_id").agg(
-        F.count("*").alias("order_count"), F.sum("order_amount").alias("order_amount")
-    )
-    return enrich(stamp(sums), hops, on_missing)
+    return province_sums(net, hops, width, on_missing)
 
 
 REFUND_DIMS = ("category3_id", "category2_id", "category1_id", "trademark_id", "user_id")

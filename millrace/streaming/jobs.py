@@ -90,10 +90,7 @@ def province_order_window(
     details: DataFrame, order: Sequence[str], hops: Sequence[Hop] = (), width: str = WINDOW
 ) -> DataFrame:
     net = revision_changes(timed(details), "order_detail_id", order, ["order_amount"])
-    sums = batch.province_parts(net, width).groupBy("win", "province_id").agg(
-        F.count("*").alias("order_count"), F.sum("order_amount").alias("order_amount")
-    )
-    return enrich(stamp(sums), hops)
+    return batch.province_sums(net, hops, width)
 
 
 def refund_window(refunds: DataFrame, before: Sequence[Hop], after: Sequence[Hop] = (), carry=(), width: str = WINDOW):

@@ -6,9 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import facts, summaries, versions
-from millrace.operators.logs import parse_logs, split_logs
+from millrace.operators.changes import select_changes, status_changes
+from millrace.operators.logs import parse_logs, repair_visitors, split_logs
 from millrace.sources.changelog import with_change_time
 from millrace.streaming import jobs, sinks, stateful
+from millrace.streaming.stored import repair_visitors_to, revision_changes_to
 
 
 @pytest.fixture
@@ -167,7 +169,7 @@ def test_order_facts_join_on_streams(spark, feed, finish, rows):
     coupon, _ = feed("c", "order_detail_id string, coupon_id string, ts string", [("2", "cou", "1704067202")], *later)
     names = spark.createDataFrame([("1", "web")], "dic_code string, dic_name string")
     streams = [with_change_time(df) for df in (details, orders, activity, coupon)]
-    fact = facts.order_detail(*streams, names, within=facts.JOIN_STATE_SECONDS)
+    fact = facts.order_detail(*streams, names, within=facts.JOIN_STATE_SECONDS, salts=3)
     got = finish(fact)
     assert rows(got, "id", "user_id", "activity_id", "coupon_id", "split_original_amount") == [
         ("1", "u", "act", None, "10.0000"), ("2", "u", None, "cou", "5.0000")
@@ -208,3 +210,46 @@ def test_keyword_counts_over_batches(feed, finish, rows):
     )
     got = finish(jobs.keyword_window(at(stream)))
     assert rows(got, "keyword", "keyword_count") == [("red", 1), ("shoe", 2)]
+
+
+def test_stored_visitor_state_agrees(spark, feed, tmp_path, rows):
+    stream, stored = feed(
+        "in", "mid string, is_new string, ts string", [("m", "1", "2024-01-06 10:00:00"), ("o", "0", "2024-01-06 10:00:00")],
+        [("m", "1", "2024-01-07 10:00:00"), ("o", "1", "2024-01-07 10:00:00"), (None, "1", "2024-01-07 10:00:00")],
+    )
+    out = str(tmp_path / "out")
+    write = repair_visitors_to(str(tmp_path / "days"), sinks.append_to(out))
+    jobs.run(at(stream), str(tmp_path / "state"), write=write)
+    want = repair_visitors(at(stored))
+    assert rows(spark.read.parquet(out), "mid", "ts", "is_new") == rows(want, "mid", "ts", "is_new")
+    again = at(stored).filter("ts > '2024-01-07'")
+    write(again, 1)
+    assert rows(spark.read.parquet(out), "mid", "ts", "is_new") == rows(want, "mid", "ts", "is_new")
+
+
+def test_stored_revision_state_agrees(spark, feed, tmp_path, rows):
+    stream, stored = feed(
+        "in", "id string, v int, amount bigint", [("1", 1, 100), ("2", 1, 7)], [("1", 2, 101)], [("1", 3, 102), ("1", 4, 103)],
+    )
+    out = str(tmp_path / "out")
+    write = revision_changes_to(str(tmp_path / "last"), sinks.append_to(out), ["id"], ["v"], ["amount"])
+    jobs.run(stream, str(tmp_path / "state"), write=write)
+    want = versions.revision_changes(stored, ["id"], ["v"], ["amount"])
+    got = spark.read.parquet(out)
+    assert rows(got, "id", "v", "amount", "sign") == rows(want, "id", "v", "amount", "sign")
+
+
+@pytest.mark.parametrize("salts", [2, 5])
+def test_salted_joins_give_the_same_facts(spark, tables, rows, salts):
+    from millrace.plans import adapters as a
+    from millrace.plans import catalogue as c
+
+    details = c.detail_fact(spark, tables).persist()
+    cancelled = status_changes(a.order_changes(spark, tables), ["id", "user_id", "operate_time"], "1003")
+    plain, salted = facts.order_cancel(cancelled, details), facts.order_cancel(cancelled, details, salts=salts)
+    assert rows(plain) == rows(salted)
+    paid = select_changes(
+        a.payment_changes(spark, tables), "payment_info", ["user_id", "order_id", "payment_type", "callback_time"]
+    )
+    names = a.dictionary(spark, tables)
+    assert rows(facts.payment(paid, details, names)) == rows(facts.payment(paid, details, names, salts=salts))
