@@ -12,6 +12,14 @@ from millrace.operators.changes import prune_columns
 from millrace.operators.scale import broadcast_if_small, join_per_key
 from millrace.operators.versions import latest_by_key
 
+def read_row(dim: DataFrame, key, id: str = "id"):
+    """The dimension row of one key; a missing row is an error."""
+    found = dim.filter(F.col(id) == F.lit(key)).take(1)
+    if not found:
+        raise LookupError(f"no dimension row for {id}={key}")
+    return found[0]
+
+
 RULE_KEY = ("source_table", "source_type", "sink_extend")
 
 

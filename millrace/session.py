@@ -30,6 +30,15 @@ def configure(spark: SparkSession, time_zone: str = "UTC") -> SparkSession:
     return spark
 
 
+def follow_newest_source(spark: SparkSession) -> None:
+    """Let the fastest of several joined sources set the watermark.
+
+    For jobs whose sources may fall idle. One source needs nothing: its
+    watermark is that of the newest row in any partition.
+    """
+    spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "max")
+
+
 def local_session(
     cores: int | str = "*", partitions: int = 8, memory: str = "8g", settings: dict[str, str] | None = None
 ) -> SparkSession:

@@ -55,3 +55,9 @@ def jdbc(spark: SparkSession, url: str, table: str, style: str | None = None, **
     """A database table; ``style='camel'`` renames its columns. Needs the driver jar."""
     df = spark.read.format("jdbc").options(**jdbc_options(url, table, **options)).load()
     return df if style is None else rename_columns(df, style)
+
+
+def query(spark: SparkSession, sql: str, args: list | dict | None = None, style: str | None = None) -> DataFrame:
+    """Rows of a parameterised query over registered tables; ``style`` as for ``jdbc``."""
+    df = spark.sql(sql, args=args)
+    return df if style is None else rename_columns(df, style)

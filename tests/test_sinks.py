@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import dims
-from millrace.streaming import jobs, sinks
+from millrace.streaming import jobs, loads, sinks
 
 
 def versions(spark, *items):
@@ -122,3 +122,59 @@ def test_start_runs_on_with_a_trigger(spark, tmp_path):
         assert running.isActive and spark.read.parquet(str(tmp_path / "o")).count() == 1
     finally:
         running.stop()
+
+
+def test_log_split_load(spark, rows, tmp_path):
+    lines = [
+        '{"common":{"mid":"m"},"page":{"page_id":"home"},"displays":[{"item":"1"},{"item":"2"}],"ts":1}',
+        '{"common":{"mid":"m"},"start":{"entry":"icon"},"ts":2}', "{bad",
+    ]
+    write = loads.split_logs_to(str(tmp_path / "logs"))
+    write(spark.createDataFrame([(x,) for x in lines], "value string"), 4)
+    got = spark.read.text(str(tmp_path / "logs"))
+    assert rows(got.groupBy("output").count()) == [("display", 2), ("page", 1), ("start", 1)]
+
+
+def test_rules_then_records_then_a_rule_change(spark, rows, tmp_path):
+    """The dimension load end to end, with the rules changing between batches."""
+    rule_path = str(tmp_path / "rules")
+    names = ("op string, seq int, source_table string, source_type string, sink_table string, sink_type string, "
+             "sink_columns string, sink_pk string, sink_extend string")
+
+    def change(number, *items):
+        loads.store_rules_to(rule_path, ["seq"])(spark.createDataFrame(list(items), names), number)
+
+    def records(*items):
+        text = '{"database":"shop","table":"%s","type":"%s","ts":"%d","data":{"id":"%s","name":"%s","x":"y"}}'
+        return spark.createDataFrame([(text % i,) for i in items], "value string")
+
+    spark.sql("drop table if exists dim_city")
+    change(0, ("r", 1, "city", "ALL", "dim_city", "dim", "id,name", "id", None),
+           ("r", 2, "visit", "insert", "dwd_visit", "dwd", "id", None, None))
+    rules = loads.stored_rules(rule_path, ["seq"])
+    load = loads.load_dims(rules, "shop")
+    route = loads.route_facts_to(str(tmp_path / "facts"), rules, "shop")
+    batch = records(("city", "bootstrap-insert", 1, "1", "Rome"), ("city", "update", 2, "1", "Roma"), ("visit", "insert", 3, "7", "v"))
+    load(batch, 0)
+    route(batch, 0)
+    assert rows(sinks.read_dim(spark, "dim_city")) == [("1", "Roma")]
+    assert rows(spark.read.text(str(tmp_path / "facts")), "sink_table", "value") == [("dwd_visit", '{"id":"7","op_type":"insert"}')]
+    change(1, ("d", 3, "city", "ALL", "dim_city", "dim", "id,name", "id", None))
+    assert not spark.catalog.tableExists("dim_city")
+    load(records(("city", "insert", 4, "2", "Bonn")), 1)
+    assert rows(rules(spark), "sink_table") == [("dwd_visit",)]
+
+
+def test_point_read(spark):
+    dim = spark.createDataFrame([("1", "a")], "id string, name string")
+    assert dims.read_row(dim, "1").name == "a"
+    with pytest.raises(LookupError):
+        dims.read_row(dim, "2")
+
+
+def test_parameterised_query(spark):
+    from millrace.sources.tables import query
+
+    spark.createDataFrame([("1", "a"), ("2", "b")], "user_id string, full_name string").createOrReplaceTempView("people")
+    df = query(spark, "select * from people where user_id = ?", ["2"], style="camel")
+    assert [tuple(r) for r in df.collect()] == [("2", "b")] and df.columns == ["userId", "fullName"]
