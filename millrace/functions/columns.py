@@ -29,6 +29,11 @@ def millis_to_datetime(ms) -> Column:
     return F.date_format(millis_to_time(ms), DATETIME)
 
 
+def now_millis() -> Column:
+    """Time of the batch, for version columns."""
+    return F.unix_millis(F.current_timestamp())
+
+
 def date_to_millis(text) -> Column:
     return F.unix_millis(F.to_timestamp(text, DATE))
 

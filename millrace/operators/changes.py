@@ -90,7 +90,7 @@ def cart_additions(df: DataFrame, database: str | None = None) -> DataFrame:
     )
 
 
-def prune_columns(data: Column, sink_columns: Column, always: str = "op_type") -> Column:
-    """Entries of a row map that the rule lists; the operation tag always stays."""
-    listed = F.split(sink_columns, ",")
-    return F.map_filter(data, lambda k, _: F.array_contains(listed, k) | (k == always))
+def prune_columns(data: Column, listed: Column, kind: Column, tag: str = "op_type") -> Column:
+    """Entries of a row map whose names are listed, and the kind of operation as ``tag``."""
+    kept = F.map_filter(data, lambda k, _: F.array_contains(listed, k) & (k != tag))
+    return F.map_concat(kept, F.create_map(F.lit(tag), kind))

@@ -104,18 +104,15 @@ def _with_rule(changes: DataFrame, rules: DataFrame, kind: Column) -> DataFrame:
     rule_key = F.concat_ws("", "source_type", "sink_extend")
     side = rules.select(
         F.col("source_table").alias("_table"), rule_key.alias("_kind"),
-        "sink_table", "sink_type", "sink_columns", "sink_pk",
+        "sink_table", "sink_type", "sink_columns", "sink_pk", F.split("sink_columns", ",").alias("_listed"),
     )
     keyed = changes.withColumn("_kind_of", kind)
     if not changes.isStreaming:
         side = broadcast_if_small(side)
     on = (keyed["table"] == side["_table"]) & (keyed["_kind_of"] == side["_kind"])
-    tag = F.create_map(F.lit("op_type"), F.col("type"))
-    fields = F.map_concat(F.map_filter("data", lambda k, _: k != "op_type"), tag)
-    routed = keyed.join(side, on)
-    return routed.select(
+    return keyed.join(side, on).select(
         "sink_table", "sink_type", "sink_pk", "sink_columns",
-        prune_columns(fields, F.col("sink_columns")).alias("data"), "ts",
+        prune_columns(F.col("data"), F.col("_listed"), F.col("type")).alias("data"), "ts",
     )
 
 

@@ -52,7 +52,7 @@ def page_views(events: DataFrame) -> DataFrame:
 
 
 def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return page_views(parquet(spark, sf_dir, "events"))
+    return page_views(spread(parquet(spark, sf_dir, "events")))
 
 
 def raw_log(events: DataFrame) -> DataFrame:
@@ -198,18 +198,21 @@ def _changes(df: DataFrame, table: str, kind: str, ts: str | Column, data: dict,
 
 
 def as_records(log: DataFrame) -> DataFrame:
-    """A flat log in the record form, with ``data`` and ``old`` maps."""
+    """A flat log in the record form, with ``data`` and ``old`` maps.
+
+    The maps come out of a generator, so that a filter on them does not build
+    them a second time below.
+    """
 
     def packed(names, prefix=""):
         if not names:
             return F.lit(None).cast("map<string,string>")
-        whole = F.create_map(*[x for n in names for x in (F.lit(n.removeprefix(prefix)), F.col(n))])
-        return F.map_filter(whole, lambda _, v: v.isNotNull())
+        return F.create_map(*[x for n in names for x in (F.lit(n.removeprefix(prefix)), F.col(n))])
 
     old = [c for c in log.columns if c.startswith("old_")]
     data = [c for c in log.columns if c not in HEAD and c not in old]
-    former = packed(old, "old_")
-    return log.select(*HEAD, packed(data).alias("data"), F.when(F.size(former) > 0, former).alias("old"))
+    former = F.map_filter(packed(old, "old_"), lambda _, v: v.isNotNull())
+    return log.select(*HEAD, F.inline(F.array(F.struct(packed(data).alias("data"), former.alias("old")))))
 
 
 def _moment(ts: str) -> Column:

@@ -293,7 +293,7 @@ def config_current(spark, d):
 
 
 def map_text(col: str):
-    entries = F.array_sort(F.map_entries(col))
+    entries = F.sort_array(F.map_entries(col))
     return F.array_join(F.transform(entries, lambda e: F.concat_ws("=", e["key"], e["value"])), ";").alias(col)
 
 

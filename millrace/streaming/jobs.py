@@ -78,8 +78,8 @@ def order_window(orders: DataFrame, width: str = WINDOW) -> DataFrame:
 def sku_order_window(
     details: DataFrame, order: Sequence[str], hops: Sequence[Hop] = (), key: str = "sku_id", width: str = WINDOW
 ) -> DataFrame:
-    """A cancelling row whose window is past is dropped as late, and counted as such."""
-    net = revision_changes(timed(details), "order_detail_id", order, batch.SKU_AMOUNTS)
+    """A cancelling row whose window is past is dropped, as the window has been reported."""
+    net = revision_changes(timed(details), "order_detail_id", order, batch.SKU_AMOUNTS, "ts")
     sums = net.groupBy(tumble("ts", width), *dict.fromkeys((key, "sku_id"))).agg(
         *[F.sum(m).alias(m) for m in batch.SKU_AMOUNTS]
     )
@@ -89,7 +89,7 @@ def sku_order_window(
 def province_order_window(
     details: DataFrame, order: Sequence[str], hops: Sequence[Hop] = (), width: str = WINDOW
 ) -> DataFrame:
-    net = revision_changes(timed(details), "order_detail_id", order, ["order_amount"])
+    net = revision_changes(timed(details), "order_detail_id", order, ["order_amount"], "ts")
     return batch.province_sums(net, hops, width)
 
 

@@ -128,8 +128,8 @@ class _LastVersion(StatefulProcessor):
     each key would cost more than the work on it.
     """
 
-    def __init__(self, order: Sequence[str], amounts: Sequence[str], schema: T.StructType):
-        self.order, self.amounts, self.schema = list(order), list(amounts), schema
+    def __init__(self, order: Sequence[str], amounts: Sequence[str], schema: T.StructType, windowed: bool):
+        self.order, self.amounts, self.schema, self.windowed = list(order), list(amounts), schema, windowed
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", self.schema)
@@ -139,11 +139,13 @@ class _LastVersion(StatefulProcessor):
         place = itemgetter(*(names.index(c) for c in self.order))
         amounts = {names.index(c) for c in self.amounts}
         signed = Row(*names, "sign")
+        at = names.index("_ms") if self.windowed else None
+        closed = timerValues.getCurrentWatermarkInMs() if self.windowed else None
         held = self.last.get() if self.last.exists() else None
         rows = iter(rows)
         while run := sorted(islice(rows, SORTED_RUN), key=place):
             for row in run:
-                if held is not None:
+                if held is not None and (at is None or held[at] > closed):
                     gone = [-v if i in amounts and v is not None else v for i, v in enumerate(held)]
                     yield signed(*gone, -1)
                 yield signed(*row, 1)
@@ -154,9 +156,19 @@ class _LastVersion(StatefulProcessor):
         pass
 
 
-def revision_changes(df: DataFrame, key: str, order: Sequence[str], amounts: Sequence[str], ts: str = "ts") -> DataFrame:
-    """Every version, and the negated copy of the version it replaces."""
-    schema = T.StructType([*df.schema.fields, T.StructField("sign", T.IntegerType(), False)])
-    return df.groupBy(key).transformWithState(
-        _LastVersion(order, amounts, df.schema), schema, "Append", "EventTime", eventTimeColumnName=ts
-    )
+def revision_changes(
+    df: DataFrame, key: str, order: Sequence[str], amounts: Sequence[str], windowed: str | None = None
+) -> DataFrame:
+    """Every version, and the negated copy of the version it replaces.
+
+    ``windowed`` names the event time for window sums to follow. A negated copy
+    behind the watermark is then left out: its window has been reported.
+    """
+    rows = df.withColumn("_ms", F.unix_millis(windowed)) if windowed else df
+    schema = T.StructType([*rows.schema.fields, T.StructField("sign", T.IntegerType(), False)])
+    processor = _LastVersion(order, amounts, rows.schema, windowed is not None)
+    grouped = rows.groupBy(key)
+    if windowed:
+        signed = grouped.transformWithState(processor, schema, "Append", "EventTime", eventTimeColumnName=windowed)
+        return signed.drop("_ms")
+    return grouped.transformWithState(processor, schema, "Append", "None")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import facts, summaries, versions
 from millrace.operators.changes import select_changes, status_changes
+from millrace.operators.dims import Hop
 from millrace.operators.logs import parse_logs, repair_visitors, split_logs
 from millrace.sources.changelog import with_change_time
 from millrace.streaming import jobs, sinks, stateful
@@ -253,3 +254,35 @@ def test_salted_joins_give_the_same_facts(spark, tables, rows, salts):
     )
     names = a.dictionary(spark, tables)
     assert rows(facts.payment(paid, details, names)) == rows(facts.payment(paid, details, names, salts=salts))
+
+
+DETAIL = ("order_detail_id string, order_id string, province_id string, sku_id string, order_amount bigint, "
+          "original_amount bigint, activity_amount bigint, coupon_amount bigint, v int, ts string")
+
+
+def detail(line, order, amount, v, second):
+    return (line, order, "p", "s", amount, amount, 0, 0, v, f"2024-01-01 00:00:{second:02d}")
+
+
+def test_netted_sums_over_batches(spark, feed, finish, rows):
+    stream, stored = feed(
+        "in", DETAIL, [detail("1", "o1", 10, 1, 1), detail("2", "o1", 20, 1, 2)], [detail("1", "o1", 11, 2, 3)],
+        [detail("3", "o2", 5, 1, 12)], [detail("9", "o9", 1, 1, 40)], [detail("9", "o8", 1, 1, 59)],
+    )
+    hops = [Hop("province_id", spark.createDataFrame([("p", "North")], "id string, name string"), {"name": "name"})]
+    early = "stt < '2024-01-01 00:00:30'"
+    got = finish(jobs.province_order_window(at(stream), ["v"], hops), "a").filter(early)
+    want = summaries.province_order_window(at(stored), ["v"], hops).filter(early)
+    assert rows(got, *want.columns) == rows(want)
+    got = finish(jobs.sku_order_window(at(stream), ["v"]), "b").filter(early)
+    want = summaries.sku_order_window(at(stored), ["v"]).filter(early)
+    assert rows(got, *want.columns) == rows(want)
+
+
+def test_a_version_after_its_window_leaves_the_old_sum(feed, finish, rows):
+    stream, _ = feed(
+        "in", DETAIL, [detail("1", "o1", 10, 1, 1)], [detail("9", "o9", 1, 1, 20)], [detail("9", "o9", 2, 2, 25)],
+        [detail("1", "o1", 11, 2, 30)], [detail("8", "o8", 1, 1, 59)],
+    )
+    got = finish(jobs.province_order_window(at(stream), ["v"])).filter("stt in ('2024-01-01 00:00:00', '2024-01-01 00:00:30')")
+    assert rows(got, "order_amount") == [(10,), (11,)]
