@@ -76,6 +76,13 @@ def status_changes(df: DataFrame, columns, to: str, database: str | None = None)
     return select_changes(df, "order_info", columns, ("update",), "order_status", to, database)
 
 
+def refund_records(df: DataFrame, table: str, columns, strict: bool = False, database: str | None = None) -> DataFrame:
+    """Refund rows of any kind; ``strict`` takes only those whose refund was completed by an update."""
+    if strict:
+        return select_changes(df, table, columns, ("update",), "refund_status", REFUND_DONE, database)
+    return select_changes(df, table, columns, None, database=database)
+
+
 def cart_additions(df: DataFrame, database: str | None = None) -> DataFrame:
     """Items put into carts: new rows whole, grown rows by the difference."""
     new, old = _new(df, "sku_num").cast("int"), _old(df, "sku_num").cast("int")

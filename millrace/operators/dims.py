@@ -82,7 +82,8 @@ def enrich(df: DataFrame, hops: Sequence[Hop], on_missing: str = "null") -> Data
         if on_missing == "drop":
             df = df.filter("_found")
         elif on_missing == "error":
-            text = F.concat(F.lit(f"no dimension row for {chain.key}="), F.coalesce(F.col(chain.key).cast("string"), F.lit("null")))
+            value = F.coalesce(F.col(chain.key).cast("string"), F.lit("null"))
+            text = F.concat(F.lit(f"no dimension row for {chain.key}="), value)
             checked = F.when(F.coalesce("_found", F.lit(False)), F.col(chain.key)).otherwise(F.raise_error(text))
             df = df.withColumn(chain.key, checked)
         df = df.drop("_found")

@@ -235,9 +235,9 @@ def refund_request_fact(spark, d):
 @query
 def refund_paid_fact(spark, d):
     columns = ["id", "order_id", "sku_id", "payment_type", "callback_time", "total_amount", "refund_status"]
-    paid = changes.select_changes(a.refund_changes(spark, d), "refund_payment", columns, types=None)
-    requests = changes.select_changes(
-        a.request_changes(spark, d), "order_refund_info", ["order_id", "sku_id", "refund_num"], types=None
+    paid = changes.refund_records(a.refund_changes(spark, d), "refund_payment", columns)
+    requests = changes.refund_records(
+        a.request_changes(spark, d), "order_refund_info", ["order_id", "sku_id", "refund_num"]
     )
     orders = changes.status_changes(a.order_changes(spark, d), ["id", "user_id", "province_id"], changes.REFUNDED)
     return facts.refund_paid(paid, requests, orders, a.dictionary(spark, d))

@@ -22,10 +22,16 @@ def replay(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return parquet_stream(spark, sf_dir, name, parquet(spark, sf_dir, name).schema)
 
 
+def per_core(spark: SparkSession) -> int:
+    """State partitions of a replay: a core each, as every one opens a state store."""
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(usual, spark.sparkContext.defaultParallelism)
+
+
 def finished(spark: SparkSession, job: DataFrame, label: str) -> DataFrame:
     """Run the job over the whole table and read what it wrote."""
     path = scratch_path(spark, label)
-    jobs.run(job, f"{path}/state", path=f"{path}/rows")
+    jobs.run(job, f"{path}/state", path=f"{path}/rows", partitions=per_core(spark))
     return spark.read.parquet(f"{path}/rows").drop(sinks.BATCH)
 
 
@@ -97,7 +103,8 @@ def stream_late_refire(spark, d):
     path = scratch_path(spark, "refire")
     keys = ["stt", "edt"]
     job = jobs.refire_counts(rows, width=HOUR)
-    jobs.run(job, f"{path}/state", write=sinks.upsert_to(f"{path}/rows", keys, ["n"]), mode="update")
+    write = sinks.upsert_to(f"{path}/rows", keys, ["n"])
+    jobs.run(job, f"{path}/state", write=write, mode="update", partitions=per_core(spark))
     return sinks.read_upserts(spark, f"{path}/rows", keys)
 
 

@@ -108,15 +108,23 @@ def refire_counts(rows: DataFrame, keys: Sequence[str] = (), width: str = WINDOW
 
 def start(
     df: DataFrame, checkpoint: str, write: BatchWriter | None = None, path: str | None = None,
-    mode: str = "append", every: str | None = None,
+    mode: str = "append", every: str | None = None, partitions: int | None = None,
 ) -> StreamingQuery:
     """Run a job into a batch writer, or into numbered folders below ``path``.
 
     With ``every`` the job runs on; without it takes what is there and ends.
+    ``partitions`` is the number of state partitions, fixed at the first start.
     """
     trigger = {"processingTime": every} if every else {"availableNow": True}
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
-    return writer.foreachBatch(write or append_to(path)).trigger(**trigger).start()
+    writer = writer.foreachBatch(write or append_to(path)).trigger(**trigger)
+    conf, name = df.sparkSession.conf, "spark.sql.shuffle.partitions"
+    usual = conf.get(name)
+    conf.set(name, str(partitions or usual))
+    try:
+        return writer.start()
+    finally:
+        conf.set(name, usual)
 
 
 def run(df: DataFrame, checkpoint: str, **options) -> None:

@@ -164,3 +164,14 @@ def test_cancel_time_by_default_and_legacy(spark):
     old = facts.order_cancel(cancelled, details, legacy=True).first()
     assert (new.cancel_time, new.date_id, new.user_id) == ("2024-01-03 09:00:00", "2024-01-03", "u")
     assert (old.cancel_time, old.date_id) == ("2024-01-01 10:00:00", "2024-01-01")
+
+
+def test_strict_refunds_are_completed_ones(spark, rows):
+    df = log(
+        spark,
+        ("refund_payment", "insert", {"id": "1", "refund_status": "0701"}, None),
+        ("refund_payment", "update", {"id": "2", "refund_status": "0705"}, {"refund_status": "0701"}),
+        ("refund_payment", "update", {"id": "3", "refund_status": "0705"}, {"note": "x"}),
+    )
+    assert rows(changes.refund_records(df, "refund_payment", ["id"]), "id") == [("1",), ("2",), ("3",)]
+    assert rows(changes.refund_records(df, "refund_payment", ["id"], strict=True), "id") == [("2",)]
