@@ -6,13 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import chat_format, decontaminate, licences, mixing, toxicity
+from millrace.llm import chat_format, decontaminate, licences, mixing, token_shards, toxicity
 from millrace.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def byte_tokenizer() -> str:
+    """Place of the byte-level vocabulary on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     QUERIES[fn.__name__] = fn
     return fn
@@ -30,6 +37,12 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens, written to wavelet-matrix shards and read back."""
+    return token_shards.tokenise(table(spark, sf_dir, "documents"), byte_tokenizer())
+
+
 @query
 def op8_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items met in every document with at most 5 % edits."""
