@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import chat_format, decontaminate, licences, mixing, token_shards, toxicity
+from millrace.llm import chat_format, decontaminate, licences, mixing, near_dedup, token_shards, toxicity
 from millrace.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,9 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation formatted, read back and summed up."""
     turns = chat_format.with_control_strings(table(spark, sf_dir, "conversations"))
     return chat_format.read_back(chat_format.format_conversations(turns))
+
+
+@query
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
