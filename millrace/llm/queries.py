@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import chat_format, decontaminate, licences, mixing, near_dedup, suffix_dedup, token_shards, toxicity
+from millrace.llm import chat_format, decontaminate, embedding_dedup, licences, mixing, near_dedup, suffix_dedup, token_shards, toxicity
 from millrace.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,9 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without passages that an earlier one has."""
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate links and component of every vector."""
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
