@@ -80,14 +80,20 @@ def mix(
         F.col("source").isNull().alias("_unnamed"),
         F.coalesce("source", F.lit("")).alias("_source"),
         word_count(F.col("text")).alias("size"),
+        F.xxhash64("doc_id", F.lit(seed)).alias("_key"),
         *keep,
     )
-    rows = settle(rows.withColumn("_key", F.xxhash64("doc_id", F.lit(seed))), "mix")
-    sizes = rows.groupBy(*SOURCE).agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
+    light = settle(rows.drop(*keep), "mix")
+    sizes = light.groupBy(*SOURCE).agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
     targets = settle(source_targets(sizes, weights, share, epochs), "targets")
     place = F.floor((F.col("_key") / 2.0**64 + 0.5) * F.ceil(F.col("n_docs") / SLICE_ROWS))
-    rows = join_per_key(rows, targets, SOURCE).withColumn("_slice", place).drop("n_docs")
-    slices = rows.groupBy(*SOURCE, "_slice").agg(F.sum("size").alias("_sum"))
+
+    def placed(df: DataFrame) -> DataFrame:
+        return join_per_key(df, targets, SOURCE).withColumn("_slice", place).drop("n_docs")
+
+    # Kept columns may be whole texts: they are read again and moved once, with their slice.
+    rows = placed(rows if keep else light)
+    slices = placed(light).groupBy(*SOURCE, "_slice").agg(F.sum("size").alias("_sum"))
     earlier = Window.partitionBy(*SOURCE).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     slices = slices.withColumn("_start", F.coalesce(F.sum("_sum").over(earlier), F.lit(0))).drop("_sum")
     within = Window.partitionBy(*SOURCE, "_slice").orderBy("_key", "doc_id", "size")

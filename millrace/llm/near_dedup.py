@@ -264,8 +264,11 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
 def one_of_each(documents: DataFrame, percent: int = 80) -> DataFrame:
     """The documents without those whose component has a smaller doc_id.
 
-    Repeated rows with the same doc_id are cut to one; rows without doc_id stay.
+    Rows equal in doc_id and text are cut to one. Of rows that share a doc_id but
+    not the text all stay if one does; rows without doc_id stay.
     """
-    gone = near_duplicates(documents, percent).filter("not kept and doc_id is not null").select("doc_id").distinct()
-    named = documents.filter("doc_id is not null").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return named.unionByName(documents.filter("doc_id is null"))
+    decided = near_duplicates(documents, percent).filter("doc_id is not null")
+    gone = decided.groupBy("doc_id").agg(F.max("kept").alias("kept")).filter("not kept").select("doc_id")
+    rows = documents.select("doc_id", F.xxhash64("text").alias("_text"), F.struct(*documents.columns).alias("_row"))
+    named = rows.filter("doc_id is not null").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "_text"])
+    return named.select("_row.*").unionByName(documents.filter("doc_id is null"))

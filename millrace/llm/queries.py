@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import chat_format, decontaminate, embedding_dedup, licences, mixing, near_dedup, suffix_dedup, token_shards, toxicity
+from millrace.llm import chat_format, decontaminate, embedding_dedup, html_extract, licences, mixing, near_dedup, suffix_dedup, token_shards, toxicity
 from millrace.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,9 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate links and component of every vector."""
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op2_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extract.extract(table(spark, sf_dir, "pages"))
