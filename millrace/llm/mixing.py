@@ -12,8 +12,11 @@ equal as a set); an empty table gives an empty mix.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from itertools import islice
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -108,6 +111,17 @@ def mix(
     return rows.select("doc_id", "size", "source_size", "target", taken.cast("bigint").alias("taken"), *keep)
 
 
+def _first_words(texts: pd.Series, counts: pd.Series) -> pd.Series:
+    """The text up to the end of its n-th word."""
+    word = re.compile(ASCII_SPACE)
+
+    def cut(text: str | None, n: int) -> str | None:
+        last = next(islice(word.finditer(text), n - 1, None), None) if text is not None else None
+        return None if last is None else text[: last.end()]
+
+    return pd.Series([cut(t, int(n)) for t, n in zip(texts, counts)], dtype=object)
+
+
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself, with the columns of ``docs``: a row for each time a document is taken.
 
@@ -121,8 +135,6 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
         F.array_repeat(F.lit(-1).cast("bigint"), whole.cast("int")), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<bigint>"))
     )
     copies = drawn.select("_row", F.explode(times).alias("_words"))
-    cut = F.regexp_extract(
-        F.col("_row.text"), F.concat(F.lit(r"^[\x20\x09-\x0D]*(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]*+){"), F.col("_words").cast("string"), F.lit("}")), 0
-    )
+    cut = F.pandas_udf(_first_words, "string")(F.when(F.col("_words") >= 0, F.col("_row.text")), "_words")
     text = F.when(F.col("_words") < 0, F.col("_row.text")).otherwise(cut)
     return copies.select(*[text.alias(c) if c == "text" else F.col(f"_row.{c}").alias(c) for c in docs.columns])
