@@ -83,7 +83,7 @@ NOISE = r"[^A-Za-z0-9\x01]+"
 def sentences(text: Column) -> Column:
     """Normalised sentences in text order."""
     marked = F.regexp_replace(F.regexp_replace(text, ENDS, "\x01"), NOISE, " ")
-    return F.transform(F.split(F.lower(marked), "\x01"), F.trim)
+    return F.transform(F.split(F.lower(marked), "\x01"), lambda s: F.trim(s))
 
 
 def sentence_numbers(text: Column) -> Column:
@@ -127,10 +127,10 @@ def scan_sql() -> str:
     return f"""
 with cut as (
   select doc_id, list_transform(string_split(lower(regexp_replace(regexp_replace(coalesce(text, ''),
-      '[.!?]+[ \\t\\r\\n]|[.!?]+\\z|\\n', chr(1), 'g'), '[^A-Za-z0-9\\x01]+', ' ', 'g')), chr(1)), x -> trim(x)) as parts
+      '[.!?]+[ \\t\\r\\n]|[.!?]+\\z|\\n', chr(1), 'g'), '[^A-Za-z0-9\\x01]+', ' ', 'g')), chr(1)), lambda x: trim(x)) as parts
   from documents),
 ids as (
-  select doc_id, list_filter(list_transform(parts, s -> case {cases} end), x -> x is not null) as found from cut),
+  select doc_id, list_filter(list_transform(parts, lambda s: case {cases} end), lambda x: x is not null) as found from cut),
 lines as (
   select doc_id, len(found)::bigint as n_sentences, coalesce(array_to_string(found, ','), '') as sentence_ids,
     ',' || coalesce(array_to_string(found, ','), '') || ',' as line from ids)
