@@ -48,14 +48,14 @@ def select_changes(
     columns: Sequence[str] | Mapping[str, str],
     types: Sequence[str] | None = ("insert",),
     changed: str | None = None,
-    to: str | None = None,
+    to: str | Sequence[str] | None = None,
     database: str | None = None,
     keep: Sequence[str] = ("ts",),
 ) -> DataFrame:
     """Typed rows of one source table.
 
     ``types=None`` takes every kind. ``changed`` asks for an update that touched
-    the column, ``to`` for the value it ended with. ``columns`` may map the
+    the column, ``to`` for the value (or one of the values) it ended with. ``columns`` may map the
     wanted name to the source name.
     """
     wanted = F.col("table") == table
@@ -66,13 +66,13 @@ def select_changes(
     if changed is not None:
         wanted = wanted & _old(df, changed).isNotNull()
         if to is not None:
-            wanted = wanted & (_new(df, changed) == to)
+            wanted = wanted & _new(df, changed).isin(*([to] if isinstance(to, str) else to))
     names = columns if isinstance(columns, Mapping) else {c: c for c in columns}
     return df.filter(wanted).select(*[_new(df, s).alias(n) for n, s in names.items()], *keep)
 
 
-def status_changes(df: DataFrame, columns, to: str, database: str | None = None) -> DataFrame:
-    """Orders whose status moved to ``to``."""
+def status_changes(df: DataFrame, columns, to: str | Sequence[str], database: str | None = None) -> DataFrame:
+    """Orders whose status moved to ``to``, or to one of them."""
     return select_changes(df, "order_info", columns, ("update",), "order_status", to, database)
 
 

@@ -11,11 +11,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import date_id
-from millrace.operators.scale import broadcast_if_small
 
 # Fixed value: how long join partners are kept, in seconds.
 JOIN_STATE_SECONDS = 1820
 
+# Columns of the order line record that the fact is made of.
 DETAIL_COLUMNS = (
     "id", "order_id", "sku_id", "sku_name", "create_time", "source_id", "source_type",
     "sku_num", "order_price", "split_total_amount", "split_activity_amount", "split_coupon_amount",
@@ -25,14 +25,27 @@ DETAIL_COLUMNS = (
 def decode(df: DataFrame, dictionary: DataFrame, code: str, name: str) -> DataFrame:
     """Add the dictionary name of a code; rows with an unknown code are dropped.
 
-    May be applied several times, once per coded column.
+    May be applied several times, once per coded column. How the dictionary is
+    joined is left to run-time sizes; for a stream over a dictionary that the
+    planner cannot size, pass it through ``code_book`` first.
     """
     names = dictionary.select(F.col("dic_code").alias("_code"), F.col("dic_name").alias(name))
-    if not df.isStreaming:  # a stream plans, and sizes, each micro-batch anew
-        names = broadcast_if_small(names)
     return df.join(names, df[code] == names["_code"]).drop("_code")
 
 
+def code_book(dictionary: DataFrame, max_rows: int = 10_000) -> DataFrame:
+    """The dictionary as literals, of a size that is checked, for a job that starts.
+
+    A stream joins it without a shuffle, so a handful of codes does not put all
+    rows on a handful of tasks. A larger dictionary is returned as it is.
+    """
+    rows = dictionary.select("dic_code", "dic_name").take(max_rows + 1)
+    if len(rows) > max_rows:
+        return dictionary
+    schema = "dic_code string, dic_name string"
+    return F.broadcast(dictionary.sparkSession.createDataFrame([tuple(r) for r in rows], schema))
+
+
 def _match(equal: Column, left: str, right: str, within: int | None, salted: bool = False) -> Column:
     """The equality, with both event times no further apart than ``within`` seconds."""
     if salted:

@@ -6,23 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from millrace.session import checkpoint_root
-
-BROADCAST_ROWS = 100_000
-BROADCAST_BYTES = 16 * 1024 * 1024
-
-
-def broadcast_if_small(
-    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
-    """Hint a broadcast only after measuring the side; otherwise leave it to a shuffle join.
-
-    The measuring job reads at most ``max_rows + 1`` rows.
-    """
-    width = F.length(F.to_json(F.struct("*")))
-    rows, size = df.limit(max_rows + 1).agg(F.count("*"), F.sum(width)).first()
-    return F.broadcast(df) if rows <= max_rows and (size or 0) <= max_bytes else df
+from pyspark.sql import types as T
 
 
 def join_per_key(rows: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -39,17 +23,29 @@ def join_per_key(rows: DataFrame, per_key: DataFrame, keys: Sequence[str], how:
     return joined.drop("_tag")
 
 
+def _number(column: str, kind: T.DataType) -> Column:
+    """A number that rises with the value, for cutting; strings go by their first bytes."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.conv(F.hex(F.rpad(F.substring(F.col(column).cast("binary"), 1, 6), 6, F.lit(b"\0"))), 16, 10).cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(column).cast("double")
+    return F.col(column).cast("double")
+
+
 def _ordered_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int | None) -> DataFrame:
-    """Cut the rows into contiguous, equally large runs of (keys, order).
+    """Cut the rows into contiguous runs of their order: equal ranges of its first column.
 
-    Range bounds come from a sample of the full sort key, so a hot key is spread
-    over many slices. The slice number depends on task placement; the checkpoint
-    freezes it so that later passes and retries agree on it.
+    The ranges lie between the least and the greatest value, which the query
+    itself looks up, so a row's slice is the same in every pass and retry and
+    nothing runs or is written before the query does. A key with very many rows
+    has them in many slices. Values that bunch up make larger slices.
     """
-    checkpoint_root(df.sparkSession)
     count = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(count, *keys, *order)
-    return ranged.withColumn("_slice", F.spark_partition_id()).checkpoint()
+    value = _number(order[0], df.schema[order[0]].dataType)
+    ends = df.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high"))).scalar()
+    place = F.floor((value - ends["low"]) / (ends["high"] - ends["low"]) * count)
+    inside = F.least(F.when(ends["high"] > ends["low"], place).otherwise(0), F.lit(count - 1))
+    return df.withColumn("_slice", F.when(value.isNull(), F.lit(-1)).otherwise(inside).cast("bigint"))
 
 
 def _scan(

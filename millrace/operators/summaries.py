@@ -11,7 +11,7 @@ from millrace.functions.columns import blank, flag
 from millrace.functions.text import explode_words, words
 from millrace.operators.dims import Hop, enrich
 from millrace.operators.users import first_of_day, first_row_of_day, mark_new, mark_returning
-from millrace.operators.versions import net_amounts
+from millrace.operators.versions import sums_of_newest
 from millrace.operators.windows import WINDOW, stamp, sum_by_window, tumble
 
 PAGE_DIMS = ("vc", "ch", "ar", "is_new")
@@ -117,10 +117,9 @@ def sku_order_window(
 
     Names are looked up for the sums, not for the lines.
     """
-    net = net_amounts(details, ["order_detail_id"], order, SKU_AMOUNTS)
-    sums = net.groupBy(tumble("ts", width), *dict.fromkeys((key, "sku_id"))).agg(
-        *[F.sum(m).alias(m) for m in SKU_AMOUNTS]
-    )
+    lines = details.withColumn("win", tumble("ts", width))
+    groups = ["win", *dict.fromkeys((key, "sku_id"))]
+    sums = sums_of_newest(lines, ["order_detail_id"], order, SKU_AMOUNTS, groups)
     return enrich(stamp(sums), hops, on_missing)
 
 
@@ -132,7 +131,12 @@ def province_parts(details: DataFrame, width: str) -> DataFrame:
 
 def province_sums(net: DataFrame, hops: Sequence[Hop] = (), width: str = WINDOW, on_missing: str = "null") -> DataFrame:
     """Distinct orders and amount per province, from netted order lines."""
-    sums = province_parts(net, width).groupBy("win", "province_id").agg(
+    return province_totals(province_parts(net, width), hops, on_missing)
+
+
+def province_totals(orders: DataFrame, hops: Sequence[Hop] = (), on_missing: str = "null") -> DataFrame:
+    """The same from a row per window, province and order: the second step."""
+    sums = orders.groupBy("win", "province_id").agg(
         F.count("*").alias("order_count"), F.sum("order_amount").alias("order_amount")
     )
     return enrich(stamp(sums), hops, on_missing)
@@ -146,8 +150,10 @@ def province_order_window(
 
     Orders are counted where any of their lines was seen, replaced or not.
     """
-    net = net_amounts(details, ["order_detail_id"], order, ["order_amount"])
-    return province_sums(net, hops, width, on_missing)
+    lines = details.withColumn("win", tumble("ts", width))
+    groups = ["win", "province_id", "order_id"]
+    orders = sums_of_newest(lines, ["order_detail_id"], order, ["order_amount"], groups)
+    return province_totals(orders, hops, on_missing)
 
 
 REFUND_DIMS = ("category3_id", "category2_id", "category1_id", "trademark_id", "user_id")

@@ -70,6 +70,24 @@ def net_amounts(
     return marked.select(*keep)
 
 
+def sums_of_newest(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], amounts: Sequence[str], groups: Sequence[str]
+) -> DataFrame:
+    """Sums per group over the newest version of each key.
+
+    Groups that only replaced versions fall into are kept, with zero. The same
+    sums as over ``net_amounts``, without joining every row to its newest
+    version: one narrow row per key is shuffled, and one per group.
+    """
+    narrow = df.select(*dict.fromkeys([*keys, *order, *groups, *amounts]))
+    kinds = {c: narrow.schema[c].dataType for c in amounts}
+    newest = latest_by_key(narrow, keys, order)
+    newest = newest.select(*groups, *[F.coalesce(c, F.lit(0)).cast(k).alias(c) for c, k in kinds.items()])
+    seen = narrow.select(*groups).distinct()
+    seen = seen.select("*", *[F.lit(0).cast(k).alias(c) for c, k in kinds.items()])
+    return newest.unionByName(seen).groupBy(*groups).agg(*[F.sum(c).alias(c) for c in amounts])
+
+
 def compact_summary(df: DataFrame, dims: Sequence[str], version: str = "ts") -> DataFrame:
     """Keep the row with the highest version per window and dimensions."""
     return latest_by_key(df, ["stt", "edt", *dims], [version])

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import DATETIME
 from millrace.operators.dims import COUPON_PAID, COUPON_USED, Hop
-from millrace.sources.tables import parquet, spread
+from millrace.sources.tables import parquet
 
 DATABASE = "shop"
 
@@ -52,7 +52,7 @@ def page_views(events: DataFrame) -> DataFrame:
 
 
 def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return page_views(spread(parquet(spark, sf_dir, "events")))
+    return page_views(parquet(spark, sf_dir, "events"))
 
 
 def raw_log(events: DataFrame) -> DataFrame:
@@ -115,7 +115,7 @@ def arrivals(events: DataFrame) -> DataFrame:
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_amounts(spread(parquet(spark, sf_dir, "lineitem")))
+    return line_amounts(parquet(spark, sf_dir, "lineitem"))
 
 
 def line_amounts(line: DataFrame) -> DataFrame:
@@ -243,7 +243,7 @@ def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     line_id = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return spread(parquet(spark, sf_dir, "lineitem")).select(
+    return parquet(spark, sf_dir, "lineitem").select(
         "*", line_id.alias("line_id"), text("l_orderkey").alias("order_id"), text("l_partkey").alias("sku_id"),
         text(F.col("l_quantity").cast("bigint")).alias("quantity"), money("l_extendedprice").alias("amount"),
         *[text(F.col(c) % 5 + 1).alias(n) for n, c in
@@ -329,7 +329,7 @@ def cart_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def coupon_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as coupon records moving through their states."""
-    orders = spread(parquet(spark, sf_dir, "orders"))
+    orders = parquet(spark, sf_dir, "orders")
     state = F.col("o_orderstatus")
     new = F.when(state == "F", "1402").when(state == "P", "1403").otherwise("1401")
     old = F.when(state == "F", "1401").when(state == "P", "1402").otherwise("1400")

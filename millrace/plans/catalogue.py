@@ -19,7 +19,7 @@ from millrace.operators.dims import Hop
 from millrace.plans import adapters as a
 from millrace.session import configure, scratch_path
 from millrace.sources.changelog import keyed_topic, read_changes
-from millrace.sources.tables import parquet, spread
+from millrace.sources.tables import parquet
 from millrace.sources.text import sensor_lines, typed
 from millrace.streaming import sinks
 
@@ -86,7 +86,7 @@ def login_window(spark, d):
 
 @query
 def keyword_window(spark, d):
-    return summaries.keyword_window(a.phrases(spread(parquet(spark, d, "conversations"))))
+    return summaries.keyword_window(a.phrases(parquet(spark, d, "conversations")))
 
 
 @query
@@ -97,21 +97,24 @@ def sku_order_window(spark, d):
 
 @query
 def province_order_window(spark, d):
-    """Lines are netted while they are narrow; the province comes with their order."""
-    net = versions.net_amounts(a.order_lines(spark, d), ["order_detail_id"], a.REVISION_ORDER, ["order_amount"])
+    """Lines are summed per order while they are narrow; the province comes with the order."""
+    lines = a.order_lines(spark, d).withColumn("win", windows.tumble("ts", DAY))
+    sums = versions.sums_of_newest(
+        lines, ["order_detail_id"], a.REVISION_ORDER, ["order_amount"], ["win", "order_id"]
+    )
     orders, customer = parquet(spark, d, "orders"), parquet(spark, d, "customer")
     placed = orders.join(customer, orders["o_custkey"] == customer["c_custkey"]).select(
         F.col("o_orderkey").alias("order_id"), F.col("c_nationkey").alias("province_id")
     )
     province = parquet(spark, d, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
     hops = [Hop("province_id", province, {"province_name": "name"})]
-    return summaries.province_sums(net.join(placed, "order_id"), hops, DAY)
+    return summaries.province_totals(sums.join(placed, "order_id"), hops)
 
 
 @query
 def refund_window(spark, d):
     keys, names = a.sku_hops(spark, d)
-    back = spread(parquet(spark, d, "lineitem")).filter("l_returnflag = 'R'").select(
+    back = parquet(spark, d, "lineitem").filter("l_returnflag = 'R'").select(
         F.col("l_partkey").alias("sku_id"), F.col("l_suppkey").alias("user_id"),
         F.col("l_orderkey").alias("order_id"), F.col("l_shipdate").cast("timestamp").alias("ts"),
     )
@@ -169,12 +172,8 @@ def change_insert_select(spark, d):
 
 @query
 def status_transition(spark, d):
-    log = a.order_changes(spark, d)
-    moved = [
-        changes.status_changes(log, ["id", "user_id", "order_status"], to, a.DATABASE)
-        for to in (changes.CANCELLED, changes.REFUNDING, changes.REFUNDED)
-    ]
-    return moved[0].unionByName(moved[1]).unionByName(moved[2])
+    kinds = (changes.CANCELLED, changes.REFUNDING, changes.REFUNDED)
+    return changes.status_changes(a.order_changes(spark, d), ["id", "user_id", "order_status"], kinds, a.DATABASE)
 
 
 @query
@@ -219,6 +218,7 @@ def payment_fact(spark, d):
     return facts.payment(paid, detail_fact(spark, d), a.dictionary(spark, d))
 
 
+# Columns of the refund request record.
 REQUEST_COLUMNS = (
     "id", "user_id", "order_id", "sku_id", "refund_type", "refund_num", "refund_amount",
     "refund_reason_type", "refund_reason_txt", "create_time",
@@ -314,7 +314,7 @@ def config_route_transition(spark, d):
 
 @query
 def config_prune(spark, d):
-    cleaned = changes.clean_changes(a.as_records(spread(a.order_changes(spark, d))), a.DATABASE)
+    cleaned = changes.clean_changes(a.as_records(a.order_changes(spark, d)), a.DATABASE)
     return dims.route_facts(cleaned, a.rules(spark)).select("sink_table", map_text("data"))
 
 
@@ -328,7 +328,7 @@ def dim_upsert(spark, d):
 @query
 def route_write(spark, d):
     """Written by destination and read back."""
-    log = a.as_records(spread(a.order_changes(spark, d))).unionByName(a.coupon_changes(spark, d))
+    log = a.as_records(a.order_changes(spark, d)).unionByName(a.coupon_changes(spark, d))
     routed = dims.route_facts(changes.clean_changes(log, a.DATABASE), a.rules(spark))
     path = scratch_path(spark, "routed")
     sinks.write_routed(routed, path)
@@ -341,7 +341,7 @@ def route_write(spark, d):
 
 
 def raw(spark, d):
-    return a.raw_log(spread(parquet(spark, d, "events")))
+    return a.raw_log(parquet(spark, d, "events"))
 
 
 @query
@@ -381,13 +381,13 @@ def visitor_repair(spark, d):
 
 @query
 def keyword_tokens(spark, d):
-    rows = words.explode_words(spread(parquet(spark, d, "documents")).select("doc_id", "text"), "text")
+    rows = words.explode_words(parquet(spark, d, "documents").select("doc_id", "text"), "text")
     return rows.groupBy("keyword").agg(F.count("*").alias("docs"))
 
 
 @query
 def word_count(spark, d):
-    return words.word_count(spread(parquet(spark, d, "conversations")), "text", ",")
+    return words.word_count(parquet(spark, d, "conversations"), "text", ",")
 
 
 # --- arrival order ----------------------------------------------------------

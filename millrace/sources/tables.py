@@ -14,20 +14,6 @@ def parquet(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-SPLIT_BYTES = 256 * 1024
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal out a table that is stored in fewer splits than its size and the cores allow.
-
-    For a small file ahead of heavy work per row. A table with splits enough, so
-    any large one, is returned as it is.
-    """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    wanted = min(df.sparkSession.sparkContext.defaultParallelism, size // SPLIT_BYTES + 1)
-    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
-
-
 def parquet_stream(spark: SparkSession, sf_dir: str, name: str, schema: T.StructType, files: int = 1) -> DataFrame:
     """One stored table as a stream; the pattern matches the single file or folder."""
     pattern = f"{sf_dir}/{name}.parque[t]"

@@ -80,25 +80,6 @@ def test_word_count_splits_on_commas(spark, rows):
     assert rows(text.word_count(df)) == [("a", 2), ("b", 2)]
 
 
-def test_small_tables_are_spread_and_large_ones_left(spark, tables):
-    from millrace.sources.tables import parquet, spread
-
-    tiny = parquet(spark, tables, "nation")
-    assert spread(tiny) is tiny
-    line = parquet(spark, "/root/testdata/sf0.1", "lineitem")
-    assert line.rdd.getNumPartitions() < 4 and spread(line).rdd.getNumPartitions() == 4
-    ready = line.repartition(4)
-    assert spread(ready) is ready
-
-
-def test_spread_keeps_pruning_and_pushdown(spark):
-    from millrace.sources.tables import parquet, spread
-
-    df = spread(parquet(spark, "/root/testdata/sf0.1", "lineitem")).filter("l_quantity > 40").select("l_orderkey")
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThan(l_quantity,40.0)" in plan and "l_comment" not in plan and "l_tax" not in plan
-
-
 def test_checkpoint_folder_is_named_or_local(spark):
     root = session.checkpoint_root(spark)
     assert root == spark.conf.get("spark.checkpoint.dir", root)
