@@ -45,7 +45,8 @@ def source_targets(
     With a common level L each target is min(cap, weight * L); L rises until no
     further source is capped, which takes one small aggregate per step.
     """
-    ranked = with_position(sizes, [], SOURCE, into="_rank")
+    name = F.concat(F.when(F.col("_unnamed"), "1").otherwise("0"), F.col("_source"))
+    ranked = with_position(sizes.withColumn("_name", name), [], ["_name"], into="_rank")
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("_rank") % len(weights) + 1).cast("int"))
     ranked = settle(
         ranked.withColumn("_weight", weight).withColumn("_cap", F.col("source_size") * float(epochs)), "sources"
