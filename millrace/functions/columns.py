@@ -59,9 +59,9 @@ def flag(condition: Column) -> Column:
     return F.when(condition, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
 
 
-def overlay(*maps: Column) -> Column:
+def overlay(*maps: Column, kind: str = "map<string,string>") -> Column:
     """Merge maps left to right; where a key repeats, the later map wins."""
-    empty = F.create_map().cast("map<string,string>")
+    empty = F.create_map().cast(kind)
 
     def put(lower: Column, upper: Column) -> Column:
         return F.map_concat(F.map_filter(lower, lambda k, _: ~F.map_contains_key(upper, k)), upper)

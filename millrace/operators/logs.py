@@ -1,18 +1,28 @@
-"""Raw page logs: validation, the five-way split and the new-visitor repair."""
+"""Raw page logs: validation, the five-way split and the new-visitor repair.
+
+Records are read as variants: values keep their types, unknown keys stay, and of
+a repeated key the last value counts (``spark.sql.variant.allowDuplicateKeys``,
+set by ``configure``).
+"""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from millrace.functions.columns import overlay
 from millrace.operators.scale import join_per_key
-from millrace.schemas import LOG, PAGE_VIEW
+from millrace.schemas import PAGE_VIEW
+
+FIELDS = "map<string,variant>"
+SECTIONS = ("common", "page", "start", "error")
+LISTS = ("displays", "actions")
 
 
 def _is_object(value: str):
-    return F.coalesce(F.schema_of_variant(F.try_parse_json(value)).startswith("OBJECT"), F.lit(False))
+    return F.coalesce(F.col(value).rlike(r"^\s*\{") & F.try_parse_json(value).isNotNull(), F.lit(False))
 
 
 def valid_json(df: DataFrame, mode: str = "drop", value: str = "value") -> DataFrame:
@@ -28,38 +38,70 @@ def valid_json(df: DataFrame, mode: str = "drop", value: str = "value") -> DataF
     return df.filter(_is_object(value) if mode == "drop" else ~_is_object(value))
 
 
-def _parse(df: DataFrame, schema: T.StructType, value: str) -> DataFrame:
-    """Objects that fit the schema, one row each.
+def _get(path: str, kind: str) -> Column:
+    return F.expr(f"try_variant_get(_rec, '{path}', '{kind}')")
 
-    The generator parses a record once; a filter on a parsed column would be
-    pushed below the projection and parse it a second time.
+
+def _opened(df: DataFrame, value: str, *keep: str) -> DataFrame:
+    """Each record parsed once, as ``_rec``.
+
+    The generator holds the parse; a filter on a parsed column would be pushed
+    below a projection and parse the record a second time.
     """
-    full = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
-    text = F.when(F.ltrim(value).startswith("{"), F.col(value))
-    parsed = F.from_json(text, full, {"columnNameOfCorruptRecord": "_bad"})
-    good = F.filter(F.array(parsed), lambda r: r.isNotNull() & r["_bad"].isNull())
-    return df.select(F.inline(good)).drop("_bad")
+    return df.select(*keep, F.col(value).alias("_raw"), F.inline(F.array(F.struct(F.try_parse_json(value).alias("_rec")))))
+
+
+def _sectioned(df: DataFrame, value: str, *keep: str) -> DataFrame:
+    """Log sections of every record, and why it does not fit (``_reason``, null if it does)."""
+    kinds = {**{s: FIELDS for s in SECTIONS}, **{s: f"array<{FIELDS}>" for s in LISTS}, "ts": "bigint"}
+    rows = _opened(df, value, *keep).select(
+        *keep, "_raw", _get("$", FIELDS).alias("fields"), *[_get(f"$.{s}", k).alias(s) for s, k in kinds.items()]
+    )
+    reason = F.when(F.col("fields").isNull(), "not an object")
+    for name in kinds:
+        given = F.col("fields")[name]
+        reason = reason.when(given.isNotNull() & ~F.is_variant_null(given) & F.col(name).isNull(), name)
+    return rows.withColumn("_reason", reason)
 
 
 def parse_logs(df: DataFrame, value: str = "value") -> DataFrame:
-    """Valid records as log sections; every key of a section is kept."""
-    return _parse(df, LOG, value)
+    """Records that fit, as log sections, with all their ``fields``."""
+    return _sectioned(df, value).filter("_reason is null").drop("_raw", "_reason")
+
 
+def rejected_logs(df: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """The other records: their text, and the first section that does not fit."""
+    rows = _sectioned(df, value, *keep).filter("_reason is not null")
+    return rows.select(*keep, F.col("_raw").alias("value"), F.col("_reason").alias("reason"))
 
-def parse_page_views(df: DataFrame, value: str = "value") -> DataFrame:
-    """Valid page records as the flat columns the summaries read."""
-    rows = _parse(df, PAGE_VIEW, value).filter(F.col("page").isNotNull())
-    return rows.select("common.*", "page.*", F.timestamp_millis("ts").alias("ts"))
+
+def parse_page_views(df: DataFrame, value: str = "value", extra: Mapping[str, tuple[str, str]] | None = None) -> DataFrame:
+    """Page records as the flat columns the summaries read.
+
+    Values are converted where they can be (a number may come as text) and null
+    where they cannot; a record needs a page section and a time. ``extra`` names
+    further columns with their path and type.
+    """
+    names = {f.name: (f"$.{s.name}.{f.name}", f.dataType.simpleString()) for s in PAGE_VIEW.fields if s.name != "ts" for f in s.dataType.fields}
+    rows = _opened(df, value).select(
+        *[_get(path, kind).alias(n) for n, (path, kind) in {**names, **(extra or {})}.items()],
+        F.timestamp_millis(_get("$.ts", "bigint")).alias("ts"), _get("$.page", FIELDS).isNotNull().alias("_page"),
+    )
+    return rows.filter("_page and ts is not null").drop("_page")
+
+
+def _time() -> Column:
+    """The record's time as an entry, where it has one."""
+    empty = F.create_map().cast(FIELDS)
+    return F.when(F.col("ts").isNotNull(), F.create_map(F.lit("ts"), F.col("ts").cast("variant"))).otherwise(empty)
 
 
 def _spread(df: DataFrame, entries: str, own_time: bool):
     """One row per array entry, overlaid by the common and then the page section."""
-    entry = F.col("_entry")
-    stamp = F.create_map(F.lit("ts"), F.col("ts").cast("string"))
-    layers = [entry, "common", "page"] if own_time else [entry, "common", stamp, "page"]
-    merged = overlay(*[F.col(c) if isinstance(c, str) else c for c in layers])
+    layers = [F.col("_entry"), F.col("common"), *([] if own_time else [_time()]), F.col("page")]
     rows = df.filter(F.col("start").isNull())
-    return rows.select(F.explode(entries).alias("_entry"), "common", "page", "ts").select(merged.alias("record"))
+    rows = rows.select(F.explode(entries).alias("_entry"), "common", "page", "ts")
+    return rows.select(overlay(*layers, kind=FIELDS).alias("record"))
 
 
 def split_logs(df: DataFrame) -> dict[str, DataFrame]:
@@ -79,32 +121,52 @@ def split_logs(df: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+TAGGED = "array<struct<output:string,value:string>>"
+
+
+def _tagged(output: str, record: Column) -> Column:
+    return F.struct(F.lit(output).alias("output"), F.to_json(record).alias("value"))
+
+
 def tag_outputs(df: DataFrame) -> DataFrame:
     """The same split in one pass: ``output`` and the record as JSON text.
 
-    For writing all five outputs at once, partitioned by ``output``; the log is
-    read and parsed a single time.
+    For writing all outputs at once, partitioned by ``output``; the log is read
+    and parsed a single time. Whole records keep every field they came with.
     """
+    return df.select(F.inline(_outputs()))
 
-    def tagged(output: str, record: Column) -> Column:
-        return F.struct(F.lit(output).alias("output"), F.to_json(record).alias("value"))
 
-    def single(output: str, present: str, *sections: str) -> Column:
-        found = F.when(F.col(present).isNotNull(), F.array(tagged(output, F.struct(*sections, "ts"))))
-        return F.coalesce(found, F.array().cast("array<struct<output:string,value:string>>"))
+def _outputs() -> Column:
+    def single(output: str, present: str, *without: str) -> Column:
+        kept = F.map_filter("fields", lambda k, _: ~k.isin("common", *without))
+        common = F.when(F.col("common").isNotNull(), F.create_map(F.lit("common"), F.to_variant_object("common")))
+        record = F.map_concat(kept, F.coalesce(common, F.create_map().cast(FIELDS)))
+        found = F.when(F.col(present).isNotNull(), F.array(_tagged(output, record)))
+        return F.coalesce(found, F.array().cast(TAGGED))
 
     def each(output: str, entries: str, stamp: bool) -> Column:
-        time = [F.create_map(F.lit("ts"), F.col("ts").cast("string"))] if stamp else []
-        layers = [F.col("common"), *time, F.col("page")]
-        listed = F.coalesce(entries, F.array().cast("array<map<string,string>>"))
-        return F.transform(listed, lambda e: tagged(output, overlay(e, *layers)))
+        layers = [F.col("common"), *([_time()] if stamp else []), F.col("page")]
+        listed = F.coalesce(entries, F.array().cast(f"array<{FIELDS}>"))
+        return F.transform(listed, lambda e: _tagged(output, overlay(e, *layers, kind=FIELDS)))
 
     other = F.concat(
         each("display", "displays", True), each("action", "actions", False),
-        single("error", "error", "common", "page", "error"), single("page", "page", "common", "page"),
+        single("error", "error", *LISTS), single("page", "page", *LISTS, "error"),
     )
-    start = single("start", "start", "common", "start")
-    return df.select(F.inline(F.when(F.col("start").isNotNull(), start).otherwise(other)))
+    return F.when(F.col("start").isNotNull(), single("start", "start")).otherwise(other)
+
+
+def tag_records(df: DataFrame, value: str = "value", repair=None) -> DataFrame:
+    """Raw text to tagged outputs; what does not fit comes out as ``reject``, text and reason.
+
+    ``repair`` may work on the parsed log before it is split.
+    """
+    rows = _sectioned(df, value)
+    rows = repair(rows) if repair else rows
+    told = F.struct(F.col("_raw").alias("value"), F.col("_reason").alias("reason"))
+    reject = F.array(F.struct(F.lit("reject").alias("output"), F.to_json(told).alias("value")))
+    return rows.select(F.inline(F.when(F.col("_reason").isNotNull(), reject).otherwise(_outputs())))
 
 
 def first_days(df: DataFrame, device: str = "mid", is_new: str = "is_new", order=("ts",)) -> DataFrame:

@@ -56,7 +56,11 @@ def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_log(events: DataFrame) -> DataFrame:
-    """Page views packed as JSON text; every tenth record is cut short."""
+    """Page views packed as JSON text.
+
+    Every tenth record is cut short, some give their time as text, and all have
+    a key that no section knows.
+    """
     views = page_views(events)
     ms = F.unix_millis("ts")
     number = F.sequence(F.lit(1), F.greatest(F.col("k") % 4, F.lit(1)))
@@ -79,14 +83,15 @@ def raw_log(events: DataFrame) -> DataFrame:
     record = F.struct(
         F.struct("mid", "uid", "vc", "ch", "ar", "is_new").alias("common"),
         F.when(~starting & ~((F.col("page_id") == "purchase") & (F.col("k") % 10 == 0)),
-               F.struct("page_id", "last_page_id", text("during_time").alias("during_time"))).alias("page"),
+               F.struct("page_id", "last_page_id", "during_time")).alias("page"),
         F.when(~starting & (F.col("k") % 4 > 0), displays).alias("displays"),
         F.when(~starting & (F.col("k") % 3 > 0), actions).alias("actions"),
         F.when(starting, F.struct(F.lit("icon").alias("entry"), text("k").alias("loading_time"))).alias("start"),
         F.when(F.col("page_id") == "error", F.struct(text(F.col("k") + 1000).alias("error_code"))).alias("error"),
-        ms.alias("ts"),
+        F.col("event_id").alias("seq"), ms.alias("ts"),
     )
-    whole = F.to_json(record)
+    number = F.to_json(record)
+    whole = F.when(F.col("k") % 5 == 1, F.regexp_replace(number, '"ts":([0-9]+)}$', '"ts":"$1"}')).otherwise(number)
     cut = F.when(F.col("event_id") % 10 == 9, F.expr("left(_json, length(_json) - 5)")).otherwise(F.col("_json"))
     return views.select("event_id", whole.alias("_json")).select("event_id", cut.alias("value"))
 

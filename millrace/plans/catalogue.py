@@ -357,7 +357,8 @@ def log_split_counts(spark, d):
 
 def entries(spark, d, output, names):
     record = F.col("record")
-    return logs.split_logs(logs.parse_logs(raw(spark, d)))[output].select(*[record[n].alias(n) for n in names])
+    parsed = logs.parse_logs(raw(spark, d))
+    return logs.split_logs(parsed)[output].select(*[record[n].cast("string").alias(n) for n in names])
 
 
 @query
@@ -370,6 +371,40 @@ def explode_action(spark, d):
     return entries(spark, d, "action", ["mid", "page_id", "action_id", "ts"])
 
 
+@query
+def log_reject(spark, d):
+    return logs.rejected_logs(raw(spark, d), keep=("event_id",)).select("event_id", "reason")
+
+
+@query
+def log_outputs(spark, d):
+    """What the text of every output holds, with the types of its values."""
+    found = logs.tag_records(raw(spark, d)).filter("output <> 'reject'")
+    found = found.select("output", F.inline(F.array(F.struct(F.try_parse_json("value").alias("r")))))
+
+    def get(path, kind="string"):
+        return F.expr(f"try_variant_get(r, '$.{path}', '{kind}')")
+
+    def either(name):
+        return F.coalesce(get(f"common.{name}"), get(f"page.{name}"), get(name)).alias(name)
+
+    time = F.expr("schema_of_variant(try_variant_get(r, '$.ts', 'variant'))")
+    spent = F.expr("schema_of_variant(coalesce(try_variant_get(r, '$.page.during_time', 'variant'), try_variant_get(r, '$.during_time', 'variant')))")
+    return found.select(
+        "output", get("seq", "bigint").alias("seq"), *[either(n) for n in ("mid", "vc", "page_id", "last_page_id", "during_time")],
+        *[get(n).alias(n) for n in ("item", "action_id")], get("error.error_code").alias("error_code"), get("start.entry").alias("entry"),
+        get("ts", "bigint").alias("ts"), time.alias("ts_kind"), spent.alias("spent_kind"),
+    )
+
+
+@query
+def page_view_from_log(spark, d):
+    """Raw text, split, page text, summary."""
+    pages = logs.tag_records(raw(spark, d)).filter("output = 'page'")
+    views = logs.parse_page_views(pages, extra={"seq": ("$.seq", "bigint")})
+    return summaries.page_view_window(views, HOUR, ("ts", "seq"))
+
+
 @query
 def visitor_repair(spark, d):
     rows = logs.repair_visitors(a.page_log(spark, d), order=("ts", "event_id"))

@@ -312,6 +312,31 @@ ORACLE["explode_action"] = f"""
 with {LOG}, e as (select *, unnest(range(1, k % 3 + 1)) as i from lg where ok and not starting)
 select mid, case when paged then page_id else 'none' end as page_id, 'act_' || i as action_id,
        cast(epoch_us(ts) // 1000 + i as varchar) as ts from e"""
+ORACLE["log_reject"] = "select event_id, 'not an object' as reason from events where event_id % 10 = 9"
+ORACLE["log_outputs"] = f"""
+with {LOG},
+g as (select *, epoch_us(ts) // 1000 as ms, case when k % 5 = 1 then 'STRING' else 'BIGINT' end as kind,
+             case when paged then last_page_id end as came, case when paged then page_id end as pg,
+             case when paged then cast(during_time as varchar) end as dur, case when paged then 'BIGINT' end as spent
+      from lg where ok)
+select 'start' as output, event_id as seq, mid, vc, cast(null as varchar) as page_id, cast(null as varchar) as last_page_id,
+       cast(null as varchar) as during_time, cast(null as varchar) as item, cast(null as varchar) as action_id,
+       cast(null as varchar) as error_code, 'icon' as entry, ms as ts, kind as ts_kind, cast(null as varchar) as spent_kind
+from g where starting
+union all select 'display', null, mid, vc, coalesce(pg, 'shown'), came, dur, cast(k + i as varchar), null, null, null, ms, 'BIGINT', spent
+from (select *, unnest(range(1, k % 4 + 1)) as i from g where not starting)
+union all select 'action', null, mid, vc, coalesce(pg, 'none'), came, dur, null, 'act_' || i, null, null, ms + i, 'STRING', spent
+from (select *, unnest(range(1, k % 3 + 1)) as i from g where not starting)
+union all select 'error', event_id, mid, vc, pg, came, dur, null, null, cast(k + 1000 as varchar), null, ms, kind, spent
+from g where page_id = 'error'
+union all select 'page', event_id, mid, vc, pg, came, dur, null, null, null, null, ms, kind, spent from g where paged"""
+ORACLE["page_view_from_log"] = f"""
+with {LOG},
+f as (select *, row_number() over (partition by mid, ts::date order by ts, event_id) as n from lg where ok and paged)
+select {bounds('ts', '1 hour')}, vc, ch, ar, is_new, cast(sum(cast(n = 1 as integer)) as bigint) as uv_ct,
+       cast(sum(cast(last_page_id is null as integer)) as bigint) as sv_ct, count(*) as pv_ct,
+       cast(sum(during_time) as bigint) as dur_sum
+from f group by all"""
 ORACLE["visitor_repair"] = f"""
 with {PAGES},
 f as (select *, first_value(is_new) over w as opening, first_value(ts::date) over w as day from pv

@@ -14,6 +14,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Of a key that a JSON object repeats, the last value counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     # A measured build side this small per partition is hashed instead of sorted.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.streaming.stateStore.providerClass": (

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.changes import clean_changes
 from millrace.operators.dims import current_rules, route_dims, route_facts
-from millrace.operators.logs import parse_logs, tag_outputs
+from millrace.operators.logs import tag_records
 from millrace.sources.changelog import read_changes
 from millrace.streaming.sinks import BATCH, MAX_RULES, BatchWriter, apply_rules, dims_to, write_routed
 
@@ -23,12 +23,12 @@ Rules = Callable[[SparkSession], DataFrame]
 def split_logs_to(path: str, repair: Callable[[DataFrame], DataFrame] | None = None) -> BatchWriter:
     """Raw log text to one folder of JSON lines per output, in one pass.
 
+    Records that do not fit go to the output ``reject`` with the reason.
     ``repair`` may work on the parsed log before it is split.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        parsed = parse_logs(batch)
-        lines = tag_outputs(repair(parsed) if repair else parsed)
+        lines = tag_records(batch, repair=repair)
         lines.write.partitionBy("output").mode("overwrite").text(f"{path}/{BATCH}={number}")
 
     return write

@@ -29,7 +29,42 @@ def test_parse_drops_what_is_not_a_record(spark):
 
 def test_a_record_is_parsed_once(spark):
     df = logs.parse_logs(raw(spark, {"ts": 1})).filter("ts > 0 and page is null")
-    assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1
+
+
+def values(df):
+    """Records of an output as plain values."""
+    return [json.loads(r[0]) for r in df.select(F.to_json("record")).collect()]
+
+
+def test_types_unknown_and_repeated_keys_survive(spark):
+    """Time as text, numbers, a key no section knows, and of a repeated key the last value."""
+    texts = [
+        '{"common":{"mid":"m","mid":"n","v":1.50},"page":{"page_id":"p","during_time":100},"ts":"1704067200000","extra":{"a":[1]},"displays":[{"item":5}]}',
+        '{"common":{"mid":"o"},"page":{"page_id":"p","during_time":"7"},"ts":1704067200001}', '{"common":{"mid":"q"},"page":{"page_id":"r"},"ts":3,"big":12345678901234567890}',
+    ]
+    df = raw(spark, *texts)
+    assert logs.valid_json(df).count() == logs.parse_logs(df).count() == 3
+    tagged = {}
+    for r in logs.tag_records(df).collect():
+        tagged.setdefault(r.output, []).append(json.loads(r.value))
+    assert {k: len(v) for k, v in tagged.items()} == {"page": 3, "display": 1}
+    first = next(p for p in tagged["page"] if "extra" in p)
+    assert first["common"] == {"mid": "n", "v": 1.5} and first["ts"] == "1704067200000" and first["extra"] == {"a": [1]}
+    assert first["page"]["during_time"] == 100 and "displays" not in first
+    assert tagged["display"] == [{"item": 5, "mid": "n", "v": 1.5, "ts": 1704067200000, "page_id": "p", "during_time": 100}]
+    pages = spark.createDataFrame([(json.dumps(p),) for p in tagged["page"]], "value string")
+    got = {r.mid: r for r in logs.parse_page_views(pages).collect()}
+    assert {m: r.during_time for m, r in got.items()} == {"n": 100, "o": 7, "q": None}
+    assert next(p for p in tagged["page"] if "big" in p)["big"] == 12345678901234567890
+
+
+def test_misfits_are_rejected_with_a_reason(spark):
+    df = raw(spark, "{bad", '{"common":"text","ts":1}', '{"displays":{"a":1},"ts":2}', '{"ts":"soon"}', '{"ts":5,"page":null}', "[1]")
+    got = sorted((r.reason, r.value) for r in logs.rejected_logs(df).collect())
+    assert [r for r, _ in got] == ["common", "displays", "not an object", "not an object", "ts"]
+    outputs = [r.output for r in logs.tag_records(df).collect()]
+    assert outputs == ["reject"] * 5 and logs.parse_logs(df).count() == 1
 
 
 def test_later_maps_win(spark):
@@ -48,9 +83,9 @@ def full():
 
 def test_split_overlays_in_order(spark):
     parts = logs.split_logs(logs.parse_logs(raw(spark, full())))
-    shown = sorted((r.record for r in parts["display"].collect()), key=lambda r: r["order"])
+    shown = sorted(values(parts["display"]), key=lambda r: r["order"])
     assert shown[0] == {**COMMON, "item": "page item", "page_id": "home", "ts": "7", "order": "1"}
-    acted = parts["action"].first().record
+    acted = values(parts["action"])[0]
     # The page section is applied last, also over the time of the action.
     assert acted["vc"] == "v1" and acted["ts"] == "7" and acted["action_id"] == "a"
     assert parts["error"].columns == ["common", "page", "error", "ts"]
@@ -60,8 +95,8 @@ def test_split_overlays_in_order(spark):
 def test_action_keeps_its_time_without_page(spark):
     record = {"common": COMMON, "ts": 100, "actions": [{"ts": "55"}], "displays": [{"item": "i"}]}
     parts = logs.split_logs(logs.parse_logs(raw(spark, record)))
-    assert parts["action"].first().record["ts"] == "55"
-    assert parts["display"].first().record["ts"] == "100"
+    assert values(parts["action"])[0]["ts"] == "55"
+    assert values(parts["display"])[0]["ts"] == 100
     assert parts["page"].count() == 0
 
 
@@ -78,7 +113,7 @@ def test_single_pass_split_agrees(spark):
     for r in tagged:
         counts[r.output] = counts.get(r.output, 0) + 1
     assert counts == {k: v.count() for k, v in logs.split_logs(df).items()}
-    wanted = sorted(json.dumps(r.record, sort_keys=True) for r in logs.split_logs(df)["display"].collect())
+    wanted = sorted(json.dumps(r, sort_keys=True) for r in values(logs.split_logs(df)["display"]))
     got = sorted(json.dumps(json.loads(r.value), sort_keys=True) for r in tagged if r.output == "display")
     assert got == wanted
     error = json.loads(next(r.value for r in tagged if r.output == "error"))

@@ -132,7 +132,7 @@ def test_log_split_load(spark, rows, tmp_path):
     write = loads.split_logs_to(str(tmp_path / "logs"))
     write(spark.createDataFrame([(x,) for x in lines], "value string"), 4)
     got = spark.read.text(str(tmp_path / "logs"))
-    assert rows(got.groupBy("output").count()) == [("display", 2), ("page", 1), ("start", 1)]
+    assert rows(got.groupBy("output").count()) == [("display", 2), ("page", 1), ("reject", 1), ("start", 1)]
 
 
 def test_rules_then_records_then_a_rule_change(spark, rows, tmp_path):
