@@ -28,6 +28,11 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def text_batches(spark: SparkSession) -> None:
+    """Send texts to Python a thousand at a time: a worker holds one batch and its results."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def task_count(spark: SparkSession, size: float, per_task: float) -> int:
     """Partitions so that each holds about ``per_task`` of ``size``, and every core has one."""
     return max(spark.sparkContext.defaultParallelism, -(-int(size) // int(per_task)), 1)

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import components, settle, words_of
+from millrace.llm.common import components, settle, text_batches, words_of
 from millrace.operators.scale import join_per_key
 
 WORDS = 5
@@ -249,6 +249,7 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
     Documents are linked where 100 * common shingles >= percent * all shingles of
     the two; ``component_id`` is the smallest doc_id that links lead to.
     """
+    text_batches(documents.sparkSession)
     sketched = settle(sketches(documents.select("doc_id", "text")), "sketches")
     joined = components(links(documents, sketched, percent))
     least = sketched.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
