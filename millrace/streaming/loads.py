@@ -15,7 +15,7 @@ from millrace.operators.changes import clean_changes
 from millrace.operators.dims import current_rules, route_dims, route_facts
 from millrace.operators.logs import tag_records
 from millrace.sources.changelog import read_changes
-from millrace.streaming.sinks import BATCH, MAX_RULES, BatchWriter, apply_rules, dims_to, write_routed
+from millrace.streaming.sinks import BATCH, BatchWriter, apply_rules, dims_to, write_routed
 
 Rules = Callable[[SparkSession], DataFrame]
 
@@ -29,7 +29,7 @@ def split_logs_to(path: str, repair: Callable[[DataFrame], DataFrame] | None = N
 
     def write(batch: DataFrame, number: int) -> None:
         lines = tag_records(batch, repair=repair)
-        lines.write.partitionBy("output").mode("overwrite").text(f"{path}/{BATCH}={number}")
+        lines.hint("rebalance", "output").write.partitionBy("output").mode("overwrite").text(f"{path}/{BATCH}={number}")
 
     return write
 
@@ -37,14 +37,12 @@ def split_logs_to(path: str, repair: Callable[[DataFrame], DataFrame] | None = N
 def store_rules_to(path: str, order: Sequence[str]) -> BatchWriter:
     """Captured rule changes: create and drop tables in order, and keep the changes.
 
-    One batch of rule changes is small by nature; its size is checked.
+    Changes reach the driver a partition at a time, for the table statements
+    only. A repeated batch does not touch the tables it has made.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        changes = batch.orderBy(*order).take(MAX_RULES + 1)
-        if len(changes) > MAX_RULES:
-            raise ValueError(f"more than {MAX_RULES} rule changes in one batch")
-        apply_rules(batch.sparkSession, changes)
+        apply_rules(batch.sparkSession, batch.orderBy(*order).toLocalIterator(), number)
         batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={number}")
 
     return write

@@ -7,15 +7,14 @@ from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from millrace.functions.columns import rename_columns
-from millrace.operators.dims import dim_rows
 from millrace.operators.versions import latest_by_key
 
 BatchWriter = Callable[[DataFrame, int], None]
 BATCH = "batch_id"
-MAX_RULES = 10_000
 
 
 def as_text(df: DataFrame, *keep: str) -> DataFrame:
@@ -85,15 +84,21 @@ def upsert_to(path: str, keys: Sequence[str], order: Sequence[str]) -> BatchWrit
     return write
 
 
-def read_upserts(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str] = (), deleted=None) -> DataFrame:
-    """Newest row per key over all batches. Without ``order`` the later batch wins."""
-    stored = spark.read.parquet(path)
+def read_upserts(
+    spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str] = (), deleted=None, schema: T.StructType | None = None
+) -> DataFrame:
+    """Newest row per key over all batches. Without ``order`` the later batch wins.
+
+    With the ``schema`` of the rows no file is opened to find it out.
+    """
+    full = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())]) if schema else None
+    stored = (spark.read.schema(full) if full else spark.read).parquet(path)
     return latest_by_key(stored, keys, [*order, BATCH], deleted).drop(BATCH)
 
 
 def compact_upserts(spark: SparkSession, path: str, target: str, keys: Sequence[str], order: Sequence[str] = ()) -> None:
-    """Write the current rows to a new place, as its first batch."""
-    read_upserts(spark, path, keys, order).write.mode("overwrite").parquet(f"{target}/{BATCH}=0")
+    """Write the current rows to a new place, below the numbers that a new run gives its batches."""
+    read_upserts(spark, path, keys, order).write.mode("overwrite").parquet(f"{target}/{BATCH}=-1")
 
 
 # --- routed outputs ---------------------------------------------------------
@@ -102,7 +107,8 @@ def compact_upserts(spark: SparkSession, path: str, target: str, keys: Sequence[
 def write_routed(routed: DataFrame, path: str) -> None:
     """One folder of JSON lines per destination."""
     lines = routed.select("sink_table", F.to_json("data").alias("value"))
-    lines.write.partitionBy("sink_table").mode("overwrite").text(path)
+    # A destination goes to few tasks, a large one to as many as its size asks for.
+    lines.hint("rebalance", "sink_table").write.partitionBy("sink_table").mode("overwrite").text(path)
 
 
 def route_to(path: str) -> BatchWriter:
@@ -122,48 +128,64 @@ def _name(text: str) -> str:
     return text
 
 
-def _dim_rules(rules: DataFrame) -> list[Row]:
-    """The dimension rules on the driver; a rule set has a checked size."""
-    rows = rules.filter(F.col("sink_type") == "dim").take(MAX_RULES + 1)
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} dimension rules")
-    return rows
+APPLIED = "millrace.rule_batch"
+
+
+def _applied(spark: SparkSession, table: str) -> str | None:
+    """Number of the rule batch that made the table."""
+    if not spark.catalog.tableExists(table):
+        return None
+    found = spark.sql(f"show tblproperties {table}").filter(F.col("key") == APPLIED).take(1)
+    return found[0]["value"] if found else None
 
 
-def apply_rules(spark: SparkSession, changes: Iterable[Row]) -> list[str]:
+def apply_rules(spark: SparkSession, changes: Iterable[Row], number: int | None = None) -> list[str]:
     """Create and drop dimension tables as their rules change.
 
     Operations ``r`` and ``c`` create, ``d`` drops, anything else drops and
     creates. All columns are text; batches are partitions. Returns the tables
-    touched.
+    touched. A table made by rule batch ``number`` is left alone when that batch
+    is repeated, with the rows it has been given since.
     """
-    touched = []
+    touched: list[str] = []
+    done: set[str] = set()
     for rule in changes:
         if rule["sink_type"] != "dim":
             continue
         table = _name(rule["sink_table"])
+        if table not in touched and number is not None and _applied(spark, table) == str(number):
+            done.add(table)
+        touched.append(table)
+        if table in done:
+            continue
         columns = ", ".join(f"{_name(c)} string" for c in rule["sink_columns"].split(","))
         if rule["op"] not in ("r", "c"):
             spark.sql(f"drop table if exists {table}")
         if rule["op"] != "d":
-            spark.sql(f"create table if not exists {table} ({columns}, {BATCH} bigint) using parquet partitioned by ({BATCH})")
-        touched.append(table)
+            spark.sql(f"create table if not exists {table} ({columns}, {BATCH} bigint) using parquet "
+                      f"partitioned by ({BATCH}) tblproperties ('{APPLIED}' = '{number}')")
     return touched
 
 
 def dims_to(rules: DataFrame, order: Sequence[str] = ("ts",)) -> BatchWriter:
     """Upsert each batch of routed records into the dimension tables of the rules.
 
-    A table is rewritten only in the partition of the batch at hand.
+    The batch is reduced to its newest row per table and key in one pass, which
+    also tells the tables it touches; each of those is written in the partition
+    of the batch at hand, from the reduced rows.
     """
-    targets = _dim_rules(rules)
+    targets = rules.filter(F.col("sink_type") == "dim").select("sink_table", "sink_columns", "sink_pk")
 
     def write(batch: DataFrame, number: int) -> None:
-        held = batch.persist()
+        known = targets.select("sink_table", F.coalesce("sink_pk", F.lit("id")).alias("_pk"))
+        keyed = batch.select("sink_table", "data", *order).join(known, "sink_table")
+        keyed = keyed.withColumn("_key", F.element_at("data", F.col("_pk"))).drop("_pk")
+        held = latest_by_key(keyed, ["sink_table", "_key"], order).persist()
         try:
-            for rule in targets:
+            touched = targets.join(held.select("sink_table").distinct(), "sink_table", "left_semi")
+            for rule in touched.toLocalIterator():
                 columns = rule["sink_columns"].split(",")
-                rows = dim_rows(held, rule["sink_table"], columns, order, rule["sink_pk"] or "id")
+                rows = held.filter(F.col("sink_table") == rule["sink_table"]).select(*[F.col("data")[c].alias(c) for c in columns])
                 target = f"{_name(rule['sink_table'])} partition ({BATCH} = {int(number)})"
                 batch.sparkSession.sql(f"insert overwrite table {target} select * from {{rows}}", rows=rows)
         finally:

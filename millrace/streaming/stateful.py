@@ -1,15 +1,15 @@
 """Keyed state on streams: the streaming forms of the per-key batch transforms.
 
-Groups reach a processor as an iterator of Arrow batches and are taken batch by
-batch, never held whole. Versions and visits are ordered within a micro-batch;
-across micro-batches the order is that of arrival.
+Groups reach a processor as an iterator and are taken piece by piece, never held
+whole. Versions and visits are ordered within a micro-batch; across micro-batches
+the order is that of arrival. The repair of visitor flags needs all rows of a
+device before the first goes out, so its streaming form keeps its state in tables
+(``streaming/stored.py``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from itertools import islice
-from operator import itemgetter
 
 import pandas as pd
 from pyspark.sql import DataFrame, Row
@@ -22,7 +22,6 @@ from millrace.operators.users import RETURN_DAYS
 
 _EPOCH = pd.Timestamp(0)
 _DAY_MS = 86_400_000
-SORTED_RUN = 10_000
 
 
 class _DayVisits(StatefulProcessor):
@@ -89,43 +88,13 @@ def day_visits(
     )
 
 
-class _FirstDay(StatefulProcessor):
-    """Remembers the first day of a device; clears the flag on later days."""
-
-    def __init__(self, order: Sequence[str], is_new: str, columns: Sequence[str]):
-        self.order, self.is_new, self.columns = list(order), is_new, list(columns)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.day = handle.getValueState("day", "day int")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        first = self.day.get()[0] if self.day.exists() else None
-        for chunk in rows:
-            days = (chunk[self.order[0]].dt.normalize() - _EPOCH).dt.days
-            if first is None:
-                opening = chunk.sort_values(self.order, kind="stable").index[0]
-                first = int(days[opening]) - (chunk[self.is_new][opening] != "1")
-                self.day.update((first,))
-            wrong = (chunk[self.is_new] == "1") & (days != first)
-            yield chunk.assign(**{self.is_new: chunk[self.is_new].mask(wrong, "0")})[self.columns]
-
-    def close(self) -> None:
-        pass
-
-
-def repair_visitors(df: DataFrame, device: str = "mid", is_new: str = "is_new", order=("ts",)) -> DataFrame:
-    """Clear the new-visitor flag on days after a device was first seen."""
-    processor = _FirstDay(order, is_new, df.columns)
-    return df.groupBy(device).transformWithStateInPandas(
-        processor, df.schema, "Append", "EventTime", eventTimeColumnName=order[0]
-    )
-
-
 class _LastVersion(StatefulProcessor):
     """Remembers the newest version of a key; a new one cancels it.
 
-    Takes rows one by one: a key has few versions, and building a frame for
-    each key would cost more than the work on it.
+    Every row goes out as it comes, and with it the negated copy of whichever
+    of it and the newest so far is older. So each version but the newest is
+    cancelled once, in any order of arrival within the micro-batch, and one row
+    is held however many there are.
     """
 
     def __init__(self, order: Sequence[str], amounts: Sequence[str], schema: T.StructType, windowed: bool):
@@ -136,21 +105,35 @@ class _LastVersion(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         names = self.schema.names
-        place = itemgetter(*(names.index(c) for c in self.order))
+        places = [names.index(c) for c in self.order]
         amounts = {names.index(c) for c in self.amounts}
         signed = Row(*names, "sign")
         at = names.index("_ms") if self.windowed else None
         closed = timerValues.getCurrentWatermarkInMs() if self.windowed else None
-        held = self.last.get() if self.last.exists() else None
-        rows = iter(rows)
-        while run := sorted(islice(rows, SORTED_RUN), key=place):
-            for row in run:
-                if held is not None and (at is None or held[at] > closed):
-                    gone = [-v if i in amounts and v is not None else v for i, v in enumerate(held)]
-                    yield signed(*gone, -1)
-                yield signed(*row, 1)
-                held = tuple(row)
-        self.last.update(held)
+
+        def place(row):
+            return [(row[i] is not None, row[i]) for i in places]
+
+        def cancel(row):
+            if at is None or row[at] > closed:
+                yield signed(*[-v if i in amounts and v is not None else v for i, v in enumerate(row)], -1)
+
+        newest = None
+        for row in rows:
+            yield signed(*row, 1)
+            row = tuple(row)
+            if newest is None:
+                # What earlier micro-batches left is older than all of this one.
+                if self.last.exists():
+                    yield from cancel(self.last.get())
+                newest = row
+            elif place(row) >= place(newest):
+                yield from cancel(newest)
+                newest = row
+            else:
+                yield from cancel(row)
+        if newest is not None:
+            self.last.update(newest)
 
     def close(self) -> None:
         pass

@@ -35,8 +35,13 @@ def test_compaction_keeps_the_current_rows(spark, rows, tmp_path):
     write(versions(spark, ("a", 2, "y")), 1)
     sinks.compact_upserts(spark, path, target, ["id"], ["v"])
     assert spark.read.parquet(target).count() == 1
-    sinks.upsert_to(target, ["id"], ["v"])(versions(spark, ("b", 1, "n")), 1)
+    # A new run starts again at batch 0 and leaves the compacted rows.
+    sinks.upsert_to(target, ["id"], ["v"])(versions(spark, ("b", 1, "n")), 0)
     assert rows(sinks.read_upserts(spark, target, ["id"], ["v"])) == [("a", 2, "y"), ("b", 1, "n")]
+    again = str(tmp_path / "d")
+    sinks.compact_upserts(spark, target, again, ["id"], ["v"])
+    schema = versions(spark, ("a", 1, "x")).schema
+    assert rows(sinks.read_upserts(spark, again, ["id"], ["v"], schema=schema)) == [("a", 2, "y"), ("b", 1, "n")]
 
 
 def test_summary_columns(spark):
@@ -98,6 +103,18 @@ def test_rules_recreate_and_drop_tables(spark, dim_table):
         sinks.apply_rules(spark, rule(spark, ("c", "a; drop", "dim", "id", "id", "x")).collect())
 
 
+def test_a_repeated_rule_batch_keeps_loaded_rows(spark, rows, tmp_path, dim_table):
+    store = loads.store_rules_to(str(tmp_path / "rules"), ["source_table"])
+    change = rule(spark, ("u", "dim_shop", "dim", "id,name", "id", "shop")).withColumn("sink_extend", F.lit(None).cast("string"))
+    store(change, 5)
+    write = sinks.dims_to(rule(spark, ("u", "dim_shop", "dim", "id,name", "id", "shop")))
+    write(routed(spark, ("1", "a", "1")), 0)
+    store(change, 5)
+    assert rows(sinks.read_dim(spark, dim_table)) == [("1", "a")]
+    store(change, 6)
+    assert rows(sinks.read_dim(spark, dim_table)) == []
+
+
 def test_whole_dimension_load(spark, rows, tables, dim_table):
     """Records through cleaning, routing and the table sink."""
     from millrace.operators.changes import clean_changes

@@ -110,12 +110,14 @@ def test_page_views_over_batches(feed, finish, rows):
     assert rows(got, *want.columns) == rows(want)
 
 
-def test_visitor_repair_over_batches(feed, finish, rows):
+def test_visitor_repair_over_batches(spark, feed, tmp_path, rows):
     stream, _ = feed(
         "in", "mid string, is_new string, ts string", [("m", "1", "2024-01-06 10:00:00"), ("o", "0", "2024-01-06 10:00:00")],
         [("m", "1", "2024-01-07 10:00:00"), ("o", "1", "2024-01-07 10:00:00")],
     )
-    got = finish(stateful.repair_visitors(jobs.timed(at(stream))))
+    write = repair_visitors_to(str(tmp_path / "days"), sinks.append_to(str(tmp_path / "out")))
+    jobs.run(at(stream), str(tmp_path / "state"), write=write)
+    got = spark.read.parquet(str(tmp_path / "out"))
     assert rows(got.select("mid", F.dayofmonth("ts"), "is_new")) == [
         ("m", 6, "1"), ("m", 7, "0"), ("o", 6, "0"), ("o", 7, "0")
     ]
@@ -132,6 +134,55 @@ def test_revisions_over_batches(feed, finish, rows):
     assert rows(got.groupBy("id").agg(F.sum("amount"))) == [("1", 103), ("2", 7)]
 
 
+def falling(spark, n):
+    """One key with n versions, the newest first."""
+    return spark.range(n).select(
+        F.lit("k").alias("id"), F.lit("1").alias("is_new"), (F.lit(n) - F.col("id")).alias("v"), (F.lit(n) - F.col("id")).alias("amount"),
+        F.timestamp_seconds(F.lit(1704067200) + (F.lit(n) - F.col("id")) * 60).alias("ts"),
+    )
+
+
+def test_a_busy_key_in_falling_order(spark, finish, tmp_path, rows):
+    """30,001 rows of one key in a single micro-batch, against the batch forms."""
+    source = str(tmp_path / "in")
+    falling(spark, 30_001).coalesce(1).write.parquet(source)
+    stored = spark.read.parquet(source)
+    stream = spark.readStream.schema(stored.schema).parquet(source)
+    got = finish(stateful.revision_changes(jobs.timed(stream), "id", ["v"], ["amount"]))
+    want = versions.revision_changes(stored, ["id"], ["v"], ["amount"])
+    totals = [F.count("*"), F.sum("amount"), F.sum("sign"), F.sum(F.col("v") * F.col("sign"))]
+    assert rows(got.agg(*totals)) == rows(want.agg(*totals)) == [(60_001, 30_001, 1, 30_001)]
+    write = repair_visitors_to(str(tmp_path / "days"), sinks.append_to(str(tmp_path / "fixed")), "id")
+    jobs.run(stream, str(tmp_path / "state"), write=write)
+    fixed = spark.read.parquet(str(tmp_path / "fixed"))
+    assert rows(fixed.groupBy("is_new").count()) == rows(repair_visitors(stored, "id").groupBy("is_new").count())
+
+
+def test_stored_state_is_folded(spark, tmp_path, rows, monkeypatch):
+    """Late batches read no more files than early ones, and see all that came before."""
+    from millrace.streaming import stored
+
+    monkeypatch.setattr(stored, "FOLD", 4)
+    read = {}
+    real = stored._stored
+
+    def counted(session, path, schema, before, fold):
+        df = real(session, path, schema, before, fold)
+        read[before] = len(df.inputFiles())
+        return df
+
+    monkeypatch.setattr(stored, "_stored", counted)
+    write = stored.repair_visitors_to(str(tmp_path / "days"), sinks.append_to(str(tmp_path / "out")))
+    for n in range(19):
+        if n not in (8, 13):
+            day = f"2024-01-{n % 28 + 1:02d} 10:00:00"
+            write(at(spark.createDataFrame([("m", "1", day), (f"d{n}", "1", day)], "mid string, is_new string, ts string")), n)
+    assert read[18] <= read[6] + 4 and max(read.values()) <= 6 * stored.FOLD
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert out.filter("mid <> 'm' and is_new <> '1'").count() == 0
+    assert {r[0] for r in out.filter("mid = 'm' and is_new = '1'").select(F.dayofmonth("ts")).collect()} == {1}
+
+
 def test_late_rows_correct_a_reported_window(spark, feed, tmp_path, rows):
     stream, _ = feed(
         "in", "ts string", [("1970-01-01 00:00:01",)], [("1970-01-01 00:00:09",)], [("1970-01-01 00:00:02",)],
