@@ -1,7 +1,9 @@
 """Registered stream queries: the given tables replayed as streams to their end.
 
-An append-mode window is reported once the watermark has passed it, so the SQL
-of these queries asks for the windows closed by the newest row.
+A table is replayed in several micro-batches, in the order of its times, with
+rows out of order within the disorder that the watermark allows. At its end the
+source sends one row far in the future, as an idle source's heartbeat would, so
+every window is reported and the SQL is that of the batch form.
 """
 
 from __future__ import annotations
@@ -9,17 +11,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators import summaries
+from millrace.operators import changes, summaries
 from millrace.plans import adapters as a
 from millrace.plans.catalogue import DAY, HOUR, query, show_time
-from millrace.plans.oracle import ORACLE, SECONDS, bounds
+from millrace.plans.oracle import LINES, ORACLE, bounds
 from millrace.session import scratch_path
-from millrace.sources.tables import parquet, parquet_stream
+from millrace.sources.tables import parquet
 from millrace.streaming import jobs, sinks, stateful
-
-
-def replay(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return parquet_stream(spark, sf_dir, name, parquet(spark, sf_dir, name).schema)
+from millrace.streaming.loads import split_logs_to
+from millrace.streaming.stored import repair_visitors_to
+
+PARTS = 4
+FAR = "9999-01-01 00:00:00"
+
+
+def replay(spark: SparkSession, rows: DataFrame, disorder: int = 0, last: dict[str, object] | None = None, order: str = "ts") -> DataFrame:
+    """Rows with an event time as a stream of ``PARTS`` micro-batches.
+
+    A row may come up to ``disorder`` seconds before its time's turn. ``last`` are
+    the values of the closing row beside its time; None sends none.
+    """
+    folder = scratch_path(spark, "replay")
+    early = F.pmod(F.xxhash64(*rows.columns), F.lit(disorder * 1_000_000 + 1))
+    when = F.unix_micros(order) - early
+    low, high = rows.agg(F.min(when), F.max(when)).first()
+    files = per_core(spark)
+    if low is not None:
+        turn = F.least(F.floor((when - low) / max(1, high - low) * PARTS), F.lit(PARTS - 1))
+        for part in range(PARTS):
+            rows.filter(turn == part).repartition(files).write.mode("append").parquet(folder)
+    if last is not None or low is None:
+        closing = {**(last or {}), order: FAR}
+        row = [F.lit(closing.get(f.name)).cast(f.dataType).alias(f.name) for f in rows.schema.fields]
+        spark.range(1).select(*row).write.mode("append").parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(folder)
 
 
 def per_core(spark: SparkSession) -> int:
@@ -32,65 +57,108 @@ def finished(spark: SparkSession, job: DataFrame, label: str) -> DataFrame:
     """Run the job over the whole table and read what it wrote."""
     path = scratch_path(spark, label)
     jobs.run(job, f"{path}/state", path=f"{path}/rows", partitions=per_core(spark))
-    return spark.read.parquet(f"{path}/rows").drop(sinks.BATCH)
+    return spark.read.schema(job.schema).parquet(f"{path}/rows").drop(sinks.BATCH)
+
+
+def pages(spark, d) -> DataFrame:
+    """Page views in arrival order."""
+    views = a.page_views(parquet(spark, d, "events"))
+    return replay(spark, views, last={"mid": "-", "page_id": "home", "event_id": -1})
 
 
 @query
 def stream_order_window(spark, d):
-    rows = a.buyers(replay(spark, d, "orders"))
+    rows = replay(spark, a.buyers(parquet(spark, d, "orders")), 3, {"user_id": -1})
     return finished(spark, jobs.order_window(rows, DAY), "orders")
 
 
+@query
+def stream_payment_window(spark, d):
+    paid = parquet(spark, d, "events").filter("event_type = 'purchase'").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    return finished(spark, jobs.payment_window(replay(spark, paid, 3, {"user_id": -1}), HOUR), "payments")
+
+
+@query
+def stream_cart_uu_window(spark, d):
+    added = changes.cart_additions(a.cart_changes(spark, d), a.DATABASE)
+    carts = added.select("user_id", F.timestamp_seconds(F.col("ts").cast("bigint")).alias("ts"))
+    return finished(spark, jobs.cart_uu_window(replay(spark, carts, 3, {"user_id": "-"}), HOUR), "carts")
+
+
 @query
 def stream_page_view_window(spark, d):
-    rows = a.page_views(replay(spark, d, "events"))
-    return finished(spark, jobs.page_view_window(rows, HOUR, ("ts", "event_id")), "pages")
+    return finished(spark, jobs.page_view_window(pages(spark, d), HOUR, ("ts", "event_id")), "pages")
 
 
 @query
 def stream_home_detail_uv_window(spark, d):
-    return finished(spark, jobs.home_detail_uv_window(a.page_views(replay(spark, d, "events")), HOUR), "home")
+    return finished(spark, jobs.home_detail_uv_window(pages(spark, d), HOUR), "home")
 
 
 @query
 def stream_login_window(spark, d):
-    return finished(spark, jobs.login_window(a.logins(replay(spark, d, "orders")), DAY), "logins")
+    rows = replay(spark, a.logins(parquet(spark, d, "orders")), 3, {"uid": "-"})
+    return finished(spark, jobs.login_window(rows, DAY), "logins")
 
 
 @query
 def stream_register_window(spark, d):
-    events = replay(spark, d, "events").filter("event_type = 'signup'")
-    return finished(spark, jobs.register_window(events.select(F.col("ts").cast("timestamp").alias("ts")), HOUR), "users")
+    users = parquet(spark, d, "events").filter("event_type = 'signup'").select(F.col("ts").cast("timestamp").alias("ts"))
+    return finished(spark, jobs.register_window(replay(spark, users, 3, {}), HOUR), "users")
 
 
 @query
 def stream_keyword_window(spark, d):
-    return finished(spark, jobs.keyword_window(a.phrases(replay(spark, d, "conversations"))), "words")
+    typed = a.phrases(parquet(spark, d, "conversations"))
+    rows = replay(spark, typed, 3, {"item": "end", "last_page_id": "home", "item_type": "keyword"})
+    return finished(spark, jobs.keyword_window(rows), "words")
 
 
 @query
 def stream_refund_window(spark, d):
     """Two-step distinct count on a stream, joined to stored dimensions."""
-    line = replay(spark, d, "lineitem").filter("l_returnflag = 'R'")
-    rows = line.select(
+    back = parquet(spark, d, "lineitem").filter("l_returnflag = 'R'").select(
         F.col("l_partkey").alias("sku_id"), F.col("l_suppkey").alias("user_id"),
         F.col("l_orderkey").alias("order_id"), F.col("l_shipdate").cast("timestamp").alias("ts"),
     )
     keys, _ = a.sku_hops(spark, d)
-    return finished(spark, jobs.refund_window(rows, keys, width=DAY), "refunds")
+    return finished(spark, jobs.refund_window(replay(spark, back, 3, {"sku_id": -1}), keys, width=DAY), "refunds")
+
+
+def lines(spark, d, last=None) -> DataFrame:
+    return replay(spark, a.order_lines(spark, d), last=last)
+
+
+@query
+def stream_sku_order_window(spark, d):
+    """Netted by keyed state, windows followed; a version after its window leaves the old sum."""
+    rows = lines(spark, d, {"order_detail_id": "-", "sku_id": -1})
+    return finished(spark, jobs.sku_order_window(rows, a.REVISION_ORDER, width=DAY), "sku")
+
+
+@query
+def stream_province_order_window(spark, d):
+    province = F.pmod(F.col("order_id"), F.lit(25)).alias("province_id")
+    rows = a.order_lines(spark, d).select("*", province)
+    rows = replay(spark, rows, last={"order_detail_id": "-", "province_id": -1})
+    return finished(spark, jobs.province_order_window(rows, a.REVISION_ORDER, width=DAY), "province")
 
 
 @query
 def stream_visitor_repair(spark, d):
-    pages = jobs.timed(a.page_views(replay(spark, d, "events")))
-    fixed = stateful.repair_visitors(pages.select("event_id", "ts", "mid", "is_new"), order=("ts", "event_id"))
-    return finished(spark, fixed.drop("ts"), "visitors")
+    """Flags repaired batch by batch, the first days kept in a table."""
+    views = a.page_views(parquet(spark, d, "events")).select("event_id", "ts", "mid", "is_new")
+    path = scratch_path(spark, "visitors")
+    write = repair_visitors_to(f"{path}/days", sinks.append_to(f"{path}/rows"), order=("ts", "event_id"))
+    jobs.run(replay(spark, views), f"{path}/state", write=write, partitions=per_core(spark))
+    return spark.read.schema(views.schema).parquet(f"{path}/rows").drop("ts", sinks.BATCH)
 
 
 @query
 def stream_revision_netting(spark, d):
-    lines = jobs.timed(a.line_amounts(replay(spark, d, "lineitem")))
-    signed = stateful.revision_changes(lines, "order_detail_id", a.REVISION_ORDER, summaries.SKU_AMOUNTS)
+    """In time order with no disorder allowed: the watermark follows the newest row."""
+    rows = jobs.timed(lines(spark, d), "0 seconds")
+    signed = stateful.revision_changes(rows, "order_detail_id", a.REVISION_ORDER, summaries.SKU_AMOUNTS)
     return finished(spark, signed, "revisions").select(
         "order_detail_id", "sku_id", show_time(), *summaries.SKU_AMOUNTS, "sign"
     )
@@ -99,42 +167,54 @@ def stream_revision_netting(spark, d):
 @query
 def stream_late_refire(spark, d):
     """Window counts in update mode; the last report of each window is kept."""
-    rows = replay(spark, d, "events").select(F.col("ts").cast("timestamp").alias("ts"))
+    events = parquet(spark, d, "events").select(F.col("ts").cast("timestamp").alias("ts"))
     path = scratch_path(spark, "refire")
     keys = ["stt", "edt"]
-    job = jobs.refire_counts(rows, width=HOUR)
+    job = jobs.refire_counts(replay(spark, events, 5), width=HOUR)
     write = sinks.upsert_to(f"{path}/rows", keys, ["n"])
     jobs.run(job, f"{path}/state", write=write, mode="update", partitions=per_core(spark))
-    return sinks.read_upserts(spark, f"{path}/rows", keys)
+    return sinks.read_upserts(spark, f"{path}/rows", keys, schema=job.schema)
 
 
-def closed(sql: str, newest: str) -> str:
-    return f"""
-select * from ({sql})
-where edt <= (select strftime(max(t) - interval '3 seconds', {SECONDS}) from ({newest}))"""
+@query
+def stream_log_split(spark, d):
+    """Raw records split batch by batch into folders, counted by output."""
+    events = a.raw_log(parquet(spark, d, "events")).join(
+        parquet(spark, d, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts")), "event_id"
+    )
+    path = scratch_path(spark, "logs")
+    jobs.run(replay(spark, events).select("value"), f"{path}/state", write=split_logs_to(f"{path}/rows"), partitions=per_core(spark))
+    return spark.read.text(f"{path}/rows").groupBy("output").agg(F.count("*").alias("n"))
 
 
-ORACLE["stream_order_window"] = closed(ORACLE["order_window"], "select o_orderdate as t from orders")
-ORACLE["stream_page_view_window"] = closed(ORACLE["page_view_window"], "select ts as t from events")
-ORACLE["stream_home_detail_uv_window"] = closed(
-    ORACLE["home_detail_uv_window"], "select ts as t from events where event_type in ('view', 'click')"
-)
-ORACLE["stream_login_window"] = closed(
-    ORACLE["login_window"],
-    "select o_orderdate as t from orders where o_orderpriority like '1%' or o_orderpriority like '2%'",
-)
-ORACLE["stream_register_window"] = closed(
-    ORACLE["register_window"], "select ts as t from events where event_type = 'signup'"
-)
-ORACLE["stream_keyword_window"] = closed(
-    ORACLE["keyword_window"],
-    "select to_timestamp(1704067200 + conv_id * 7 + turn)::timestamp as t from conversations "
-    "where turn % 3 in (0, 1) and role <> 'system' and text is not null",
-)
-ORACLE["stream_refund_window"] = closed(
-    f"select * exclude (category1_name, category2_name, category3_name, trademark_name) from ({ORACLE['refund_window']})",
-    "select l_shipdate as t from lineitem where l_returnflag = 'R'",
+for name in ("order", "payment", "cart_uu", "page_view", "home_detail_uv", "login", "register", "keyword"):
+    ORACLE[f"stream_{name}_window"] = ORACLE[f"{name}_window"]
+ORACLE["stream_refund_window"] = (
+    f"select * exclude (category1_name, category2_name, category3_name, trademark_name) from ({ORACLE['refund_window']})"
 )
+ORACLE["stream_log_split"] = f"""
+select * from ({ORACLE['log_split_counts']}) where n > 0
+union all select 'reject', count(*) from events where event_id % 10 = 9 having count(*) > 0"""
 ORACLE["stream_visitor_repair"] = ORACLE["visitor_repair"]
 ORACLE["stream_revision_netting"] = ORACLE["revision_netting"]
+# A version cancels the one before it while that one is ahead of the watermark: within
+# its part of the replay, and over its end for rows of the last three seconds.
+PARTED = f"""
+{LINES},
+ends as (select min(epoch_us(ts)) as low, greatest(1, max(epoch_us(ts)) - min(epoch_us(ts))) as wide from ol),
+pt as (select ol.*, least(floor((epoch_us(ts) - low) / wide * {PARTS}), {PARTS - 1}) as part from ol, ends),
+nw as (select *, row_number() over (partition by order_detail_id, part order by ts desc, l_partkey desc, l_suppkey desc) = 1 as held,
+              max(ts) over (partition by part) as top from pt),
+nx as (select order_detail_id, part, lead(part) over (partition by order_detail_id order by part) as next from nw where held),
+lp as (select nw.*, case when held and not coalesce(next = part + 1 and ts > top - interval 3 second, false) then 1 else 0 end as last
+       from nw join nx using (order_detail_id, part))"""
+ORACLE["stream_sku_order_window"] = f"""
+with {PARTED}
+select {bounds('ts', '1 day')}, sku_id, cast(sum(last * original_amount) as bigint) as original_amount,
+       cast(sum(last * activity_amount) as bigint) as activity_amount, cast(sum(last * coupon_amount) as bigint) as coupon_amount,
+       cast(sum(last * order_amount) as bigint) as order_amount from lp group by all"""
+ORACLE["stream_province_order_window"] = f"""
+with {PARTED}
+select {bounds('ts', '1 day')}, order_id % 25 as province_id, count(distinct order_id) as order_count,
+       cast(sum(last * order_amount) as bigint) as order_amount from lp group by all"""
 ORACLE["stream_late_refire"] = f"select {bounds('ts', '1 hour')}, count(*) as n from events group by all"
