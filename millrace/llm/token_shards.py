@@ -33,13 +33,18 @@ from millrace.llm.common import task_count
 from millrace.session import scratch_path
 
 SHARD_TOKENS = 1 << 20
-MEMO_ENTRIES = 600_000
+MEMO_ENTRIES = 500_000
 MAGIC = b"WMX1"
 BLOCK_BYTES = 64
 
 _BITS_SET = np.array([bin(b).count("1") for b in range(256)], dtype=np.uint8)
+# How a byte-level vocabulary writes bytes: printable ones as they are, the others from 256 on, in order.
+_PLAIN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_SPELLED = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _PLAIN)}
+_BLANK = _SPELLED[32]
+_SPACE = re.compile(r"[\s\u180e\u200b-\u200f\ufeff]")
 # A space between two white-space characters is the one kind that no piece starts or ends at.
-_INNER_SPACE = re.compile(r"[\s᠎​-‏﻿] [\s᠎​-‏﻿]")
+_INNER_SPACE = re.compile(r"[\s\u180e\u200b-\u200f\ufeff] [\s\u180e\u200b-\u200f\ufeff]")
 
 
 class WaveletMatrix:
@@ -189,9 +194,12 @@ class Encoder:
     """The tokenizer, with its results for single words remembered.
 
     A byte-level tokenizer cuts a text before every space that a word follows and
-    after every word that a space follows, so the parts between can be encoded
-    on their own. Texts with a space inside other white space are encoded whole.
-    The memory of words is emptied when it is full.
+    after every word that a space follows, so what stands between two spaces is
+    encoded on its own, with the space before it. Of the words not met before, those
+    of letters alone go straight to the tokenizer's model; the others are encoded
+    together, as one text, and told apart by the bytes that their ids stand for.
+    Texts with a space inside other white space are encoded whole. Two
+    generations of words are kept; the older one goes when the younger is full.
     """
 
     def __init__(self, path: str, entries: int = MEMO_ENTRIES):
@@ -199,40 +207,78 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.entries = entries
-        self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        vocabulary = self.tokenizer.get_vocab()
+        self.kind = "<u2" if len(vocabulary) <= 1 << 16 else "<u4"
+        #: Bytes of text that an id stands for.
+        self.widths = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
+        for token, ident in vocabulary.items():
+            self.widths[ident] = len(token)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype=self.kind).tobytes() for e in found]
+    def _ids(self, text: str) -> np.ndarray:
+        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        return np.array(found, dtype=self.kind)
 
     def encode(self, text: str | None) -> np.ndarray:
         """Ids of the whole text."""
         if not text:
             return np.zeros(0, dtype=self.kind)
-        if _INNER_SPACE.search(text) or "\0" in text:
-            return np.frombuffer(self._encode([text])[0], self.kind)
-        words = text.replace(" ", "\0 ").split("\0")
-        if len(self.known) > self.entries:
-            self.known = {}
-        known = self.known
-        new = set(words).difference(known)
-        if new:
-            rest = []
-            for word in new:
+        if "\0" in text or _INNER_SPACE.search(text):
+            return self._ids(text)
+        words = text.split(" ")
+        # The first word has no space before it; the mark keeps it apart.
+        words[0] = "\0" + words[0]
+        found = list(map(self.known.get, words))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        if missing:
+            new = {words[i] for i in missing}
+            if len(self.known) + len(new) > self.entries:
+                self.older, self.known = self.known, {}
+            self._learn(new)
+            for i in missing:
+                found[i] = self.known[words[i]]
+        return np.frombuffer(b"".join(found), self.kind)
+
+    def _learn(self, new: set[str]) -> None:
+        """Put words into the younger generation."""
+        known, older, rest = self.known, self.older, []
+        for word in new:
+            found = older.get(word)
+            if found is None and word[-1:] in (",", ".") and word[-2:-1].isalpha():
                 # A sign after a letter is a piece of its own.
-                stem = known.get(word[:-1]) if word[-1:] in (",", ".") and word[-2:-1].isalpha() else None
-                if stem is None:
-                    rest.append(word)
-                else:
-                    known[word] = stem + self._sign(word[-1])
-            known.update(zip(rest, self._encode(rest)))
-        return np.frombuffer(b"".join(map(known.__getitem__, words)), self.kind)
+                stem = known.get(word[:-1]) or older.get(word[:-1])
+                found = stem and stem + self._sign(word[-1])
+            if found is None:
+                rest.append(word)
+            else:
+                known[word] = found
+        # A word of letters is one piece: its bytes, as the vocabulary writes them, go to the merges.
+        split, letters, rest = self.tokenizer.model.tokenize, [w for w in rest if w.isalpha()], [w for w in rest if not w.isalpha()]
+        pack = struct.Struct(self.kind[0] + self.kind[1:].replace("u2", "H").replace("u4", "I")).pack
+        for word in letters:
+            spelled = word if word.isascii() else word.encode().decode("latin-1").translate(_SPELLED)
+            known[word] = b"".join([pack(t.id) for t in split(_BLANK + spelled)])
+        joint = [w for w in rest if w and w[0] != "\0" and not _SPACE.match(w)]
+        if joint:
+            ids = self._ids(" " + " ".join(joint))
+            ends = np.cumsum(self.widths[ids])
+            stops = np.cumsum([len(w.encode()) + 1 for w in joint])
+            cuts = np.minimum(np.searchsorted(ends, stops), len(ends) - 1)
+            if (ends[cuts] == stops).all():
+                raw, wide, at = ids.tobytes(), ids.itemsize, 0
+                for word, stop in zip(joint, ((cuts + 1) * wide).tolist()):
+                    known[word] = raw[at:stop]
+                    at = stop
+        for word in rest:
+            if word not in known:
+                known[word] = self._ids(word[1:] if word[:1] == "\0" else " " + word).tobytes()
 
     def _sign(self, sign: str) -> bytes:
-        if sign not in self.known:
-            self.known[sign] = self._encode([sign])[0]
-        return self.known[sign]
+        key = "\0" + sign
+        if key not in self.known:
+            self.known[key] = self._ids(sign).tobytes()
+        return self.known[key]
 
 
 _ENCODERS: dict[str, Encoder] = {}
