@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from millrace.functions.columns import blank, flag
+from millrace.functions.columns import blank, flag, seconds_to_time
 from millrace.functions.text import explode_words, words
 from millrace.operators.dims import Hop, enrich
 from millrace.operators.users import first_of_day, first_row_of_day, mark_new, mark_returning
 from millrace.operators.versions import sums_of_newest
 from millrace.operators.windows import WINDOW, stamp, sum_by_window, tumble
+from millrace.schemas import ORDER_DETAIL_FACT, strings
+from millrace.sources.text import typed
 
 PAGE_DIMS = ("vc", "ch", "ar", "is_new")
 
@@ -109,6 +112,47 @@ def order_window(orders: DataFrame, width: str = WINDOW) -> DataFrame:
 SKU_AMOUNTS = ("original_amount", "activity_amount", "coupon_amount", "order_amount")
 
 
+def _from_text(fact: DataFrame, schema: T.StructType, value: str | None) -> DataFrame:
+    """Fact columns, out of JSON text where ``value`` names it."""
+    return typed(fact, schema, "json", value) if value else fact
+
+
+def _amount(column: str, scale: int = 2, default: bool = True) -> Column:
+    """An exact amount from text; null counts as zero where a default is asked for."""
+    amount = F.col(column).cast(f"decimal(18,{scale})")
+    return F.coalesce(amount, F.lit(0).cast(f"decimal(18,{scale})")) if default else amount
+
+
+def sku_details(fact: DataFrame, value: str | None = None, default_all: bool = False) -> DataFrame:
+    """Typed rows for ``sku_order_window`` from the order detail fact, all text, seconds in ``ts``.
+
+    A missing activity or coupon amount is zero; with ``default_all`` so are the
+    other two, which otherwise stay null.
+    """
+    rows = _from_text(fact, ORDER_DETAIL_FACT, value)
+    return rows.select(
+        F.col("id").alias("order_detail_id"), "sku_id", seconds_to_time("ts").alias("ts"),
+        _amount("split_original_amount", 4, default_all).alias("original_amount"),
+        _amount("split_activity_amount").alias("activity_amount"), _amount("split_coupon_amount").alias("coupon_amount"),
+        _amount("split_total_amount", 2, default_all).alias("order_amount"),
+    )
+
+
+def province_details(fact: DataFrame, value: str | None = None) -> DataFrame:
+    """Typed rows for ``province_order_window`` from the order detail fact."""
+    rows = _from_text(fact, ORDER_DETAIL_FACT, value)
+    return rows.select(
+        F.col("id").alias("order_detail_id"), "order_id", "province_id", seconds_to_time("ts").alias("ts"),
+        _amount("split_total_amount", 2, False).alias("order_amount"),
+    )
+
+
+def refund_details(fact: DataFrame, value: str | None = None) -> DataFrame:
+    """Typed rows for ``refund_window`` from the refund request fact."""
+    rows = _from_text(fact, strings("user_id", "order_id", "sku_id", "ts"), value)
+    return rows.select("user_id", "order_id", "sku_id", seconds_to_time("ts").alias("ts"))
+
+
 def sku_order_window(
     details: DataFrame, order: Sequence[str], hops: Sequence[Hop] = (), key: str = "sku_id",
     width: str = WINDOW, on_missing: str = "null",

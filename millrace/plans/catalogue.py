@@ -17,10 +17,11 @@ from millrace.functions.columns import DATETIME, flag, rename_columns
 from millrace.operators import changes, dims, facts, keyvalue, logs, summaries, versions, windows
 from millrace.operators.dims import Hop
 from millrace.plans import adapters as a
+from millrace.schemas import ORDER_DETAIL_FACT
 from millrace.session import configure, scratch_path
 from millrace.sources.changelog import keyed_topic, read_changes
 from millrace.sources.tables import parquet
-from millrace.sources.text import sensor_lines, typed
+from millrace.sources.text import sensor_lines, text_files, typed
 from millrace.streaming import sinks
 
 HOUR, DAY = "1 hour", "1 day"
@@ -184,8 +185,11 @@ def cart_add(spark, d):
 # --- facts ------------------------------------------------------------------
 
 
-def detail_fact(spark, d):
+def detail_fact(spark, d, wanted=None):
+    """The fact of all order lines, or of the lines of the ``wanted`` orders alone."""
     details = changes.select_changes(a.detail_changes(spark, d), "order_detail", facts.DETAIL_COLUMNS)
+    if wanted is not None:
+        details = details.join(wanted, "order_id", "left_semi")
     orders = changes.select_changes(a.order_changes(spark, d), "order_info", ["id", "user_id", "province_id"], keep=())
     activity = changes.select_changes(
         a.activity_changes(spark, d), "order_detail_activity", ["order_detail_id", "activity_id", "activity_rule_id"],
@@ -207,7 +211,7 @@ def order_cancel_fact(spark, d):
     cancelled = changes.status_changes(
         a.order_changes(spark, d), ["id", "user_id", "province_id", "operate_time"], changes.CANCELLED
     )
-    return facts.order_cancel(cancelled, detail_fact(spark, d))
+    return facts.order_cancel(cancelled, detail_fact(spark, d, cancelled.select(F.col("id").alias("order_id"))))
 
 
 @query
@@ -215,7 +219,59 @@ def payment_fact(spark, d):
     paid = changes.select_changes(
         a.payment_changes(spark, d), "payment_info", ["user_id", "order_id", "payment_type", "callback_time"]
     )
-    return facts.payment(paid, detail_fact(spark, d), a.dictionary(spark, d))
+    return facts.payment(paid, detail_fact(spark, d, paid.select("order_id")), a.dictionary(spark, d))
+
+
+def as_fact_text(fact):
+    """A fact as the layer above reads it."""
+    return sinks.as_text(fact)
+
+
+@query
+def sku_order_from_fact(spark, d):
+    """Fact text to exact decimal sums, as text."""
+    rows = summaries.sku_details(as_fact_text(detail_fact(spark, d)), "value")
+    sums = summaries.sku_order_window(rows, ["ts"], width=DAY)
+    return sums.select("stt", "edt", "sku_id", *[a.text(c).alias(c) for c in summaries.SKU_AMOUNTS])
+
+
+@query
+def province_order_from_fact(spark, d):
+    rows = summaries.province_details(as_fact_text(detail_fact(spark, d)), "value")
+    sums = summaries.province_order_window(rows, ["ts"], width=DAY)
+    return sums.select("stt", "edt", "province_id", "order_count", a.text("order_amount").alias("order_amount"))
+
+
+@query
+def refund_from_fact(spark, d):
+    """Refund requests to distinct orders per item's keys and user."""
+    keys, names = a.sku_hops(spark, d)
+    keys = [Hop(h.key, h.dim.withColumn("id", a.text("id")), h.columns) for h in keys]
+    rows = summaries.refund_details(as_fact_text(refund_requests(spark, d)), "value")
+    return summaries.refund_window(rows, keys, names, ("category2_name", "category3_name"), DAY)
+
+
+def stored_detail(spark, d):
+    """The detail fact as its layer stores it: written as text, read with the declared schema."""
+    path = scratch_path(spark, "detail-fact")
+    as_fact_text(detail_fact(spark, d)).write.text(path)
+    return typed(text_files(spark, path), ORDER_DETAIL_FACT, "json")
+
+
+@query
+def cancel_from_stored_fact(spark, d):
+    cancelled = changes.status_changes(
+        a.order_changes(spark, d), ["id", "user_id", "province_id", "operate_time"], changes.CANCELLED
+    )
+    return facts.order_cancel(cancelled, stored_detail(spark, d))
+
+
+@query
+def payment_from_stored_fact(spark, d):
+    paid = changes.select_changes(
+        a.payment_changes(spark, d), "payment_info", ["user_id", "order_id", "payment_type", "callback_time"]
+    )
+    return facts.payment(paid, stored_detail(spark, d), a.dictionary(spark, d))
 
 
 # Columns of the refund request record.
@@ -225,13 +281,17 @@ REQUEST_COLUMNS = (
 )
 
 
-@query
-def refund_request_fact(spark, d):
+def refund_requests(spark, d):
     requests = changes.select_changes(a.request_changes(spark, d), "order_refund_info", REQUEST_COLUMNS)
     orders = changes.status_changes(a.order_changes(spark, d), ["id", "province_id"], changes.REFUNDING)
     return facts.refund_request(requests, orders, a.dictionary(spark, d))
 
 
+@query
+def refund_request_fact(spark, d):
+    return refund_requests(spark, d)
+
+
 @query
 def refund_paid_fact(spark, d):
     columns = ["id", "order_id", "sku_id", "payment_type", "callback_time", "total_amount", "refund_status"]

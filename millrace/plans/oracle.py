@@ -211,6 +211,21 @@ with {MOVED}
 select cast(o_orderkey as varchar) as id, cast(o_custkey as varchar) as user_id, status as order_status,
        cast(epoch_us(o_orderdate) // 1000000 as varchar) as ts from mv"""
 ORACLE["cart_add"] = f"with {CART} select * from cart"
+FACT = DETAIL + """,
+fx as (select *, cast(create_time as timestamp) as moment from detail)"""
+ORACLE["sku_order_from_fact"] = f"""
+with {FACT}
+select {bounds('moment', '1 day')}, sku_id,
+       cast(sum(cast(split_original_amount as decimal(18,4))) as varchar) as original_amount,
+       cast(sum(cast(split_activity_amount as decimal(18,2))) as varchar) as activity_amount,
+       cast(sum(cast(split_coupon_amount as decimal(18,2))) as varchar) as coupon_amount,
+       cast(sum(cast(split_total_amount as decimal(18,2))) as varchar) as order_amount
+from fx group by all"""
+ORACLE["province_order_from_fact"] = f"""
+with {FACT}
+select {bounds('moment', '1 day')}, province_id, count(distinct order_id) as order_count,
+       cast(sum(cast(split_total_amount as decimal(18,2))) as varchar) as order_amount
+from fx group by all"""
 ORACLE["order_detail_fact"] = f"with {DETAIL} select * from detail"
 ORACLE["order_cancel_fact"] = f"""
 with {DETAIL}, {MOVED}
@@ -245,6 +260,16 @@ select bk.id, bk.user_id, order_id, sku_id, cast(o_custkey % 25 as varchar) as p
        b.dic_name as refund_reason_type_name, 'reason ' || reason as refund_reason_txt, refund_num, refund_amount, ts
 from bk join mv on order_id = cast(o_orderkey as varchar) and status = '1005'
 join dic a on kind = a.dic_code join dic b on reason = b.dic_code"""
+ORACLE["refund_from_fact"] = f"""
+with {DICT}, {MOVED}, {BACK}, {SKU},
+rq as (select order_id, bk.sku_id, bk.user_id, cast(moment as timestamp) as asked
+       from bk join mv on order_id = cast(o_orderkey as varchar) and status = '1005'
+       join dic a on kind = a.dic_code join dic b on reason = b.dic_code)
+select {bounds('asked', '1 day')}, category3_id, category2_id, category1_id, trademark_id, user_id, category2_name, category3_name,
+       count(distinct order_id) as refund_count, category1_name, trademark_name
+from rq left join sku on rq.sku_id = cast(sku.sku_id as varchar) group by all"""
+ORACLE["cancel_from_stored_fact"] = ORACLE["order_cancel_fact"]
+ORACLE["payment_from_stored_fact"] = ORACLE["payment_fact"]
 ORACLE["refund_paid_fact"] = f"""
 with {DICT}, {MOVED}, {BACK}
 select p.id, cast(o_custkey as varchar) as user_id, p.order_id, p.sku_id, cast(o_custkey % 25 as varchar) as province_id,

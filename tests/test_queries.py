@@ -44,7 +44,7 @@ def test_every_query_has_sql():
 def test_column_types_compare_across_engines(spark, database):
     kinds = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR"}
     for name, query in QUERIES.items():
-        if name.startswith("stream_") or name == "route_write":
+        if name.startswith("stream_") or name in ("route_write", "cancel_from_stored_fact", "payment_from_stored_fact"):
             continue
         want = database.sql(entry.oracle_sql()[name])
         types = dict(zip(want.columns, map(str, want.types)))
