@@ -96,7 +96,6 @@ def suffixes(raw: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[np.ndarray,
     Yields (document, first window, last window, anchor hash, stretch hash, hashes
     of those windows in order) with places counted over ``raw``.
     """
-    lengths = np.diff(bounds)
     n = int(bounds[-1])
     if n < LENGTH:
         return
@@ -132,7 +131,6 @@ def suffixes(raw: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[np.ndarray,
         shape = ((at[first] + a - lo) * 64 + (hi - lo)).astype(np.uint64)
         windows = hashes.of(starts - a, starts - a + LENGTH)
         yield doc[first], lo, hi, anchor[at[first]], _mixed(whole + shape, _M1), windows
-    del lengths
 
 
 class Block:
@@ -275,9 +273,6 @@ def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-_PAIR = np.dtype([("a", "<u8"), ("s", "<u8")])
-
-
 def _scan_suffixes(table: pa.Table) -> pa.Table:
     """Codes of the suffixes of one hash range: 1 met in an earlier block, 2 anchor met with other text, 0 neither."""
     rows = sorted(zip(*(table.column(c).to_pylist() for c in ("block", "bucket", "anchors", "stretches"))))
@@ -287,7 +282,6 @@ def _scan_suffixes(table: pa.Table) -> pa.Table:
         # One key of 64 bits orders a suffix: the anchor's low bytes mixed with the stretch.
         a, s = _from_low_bytes(anchors, ANCHOR_BYTES), _from_low_bytes(stretches, STRETCH_BYTES)
         sent.append((a, _mixed(a * _M1 + s, _M2)))
-    every = np.concatenate([a for a, _ in sent])
     met = []
     for a, keys in sent:
         order = np.argsort(keys)
@@ -299,7 +293,6 @@ def _scan_suffixes(table: pa.Table) -> pa.Table:
     fresh = np.concatenate([a[~m] for (a, _), m in zip(sent, met)])
     fresh.sort()
     shared = np.unique(fresh[1:][fresh[1:] == fresh[:-1]])
-    del every
     out = []
     for (number, bucket, _, _), (a, _), found in zip(rows, sent, met):
         codes = np.where(found, 1, 0).astype(np.uint8)
