@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import text as words
-from millrace.functions.columns import DATETIME, flag, rename_columns
+from millrace.functions.columns import (
+    DATETIME, date_to_millis, flag, millis_to_date, millis_to_datetime, now_millis, rename_columns,
+)
 from millrace.operators import changes, dims, facts, keyvalue, logs, summaries, versions, windows
 from millrace.operators.dims import Hop
 from millrace.plans import adapters as a
@@ -561,6 +563,32 @@ def kv_ranked(spark, d):
     return keyvalue.ranked_members(rows, "member", "cents", ["ts", "event_id"])
 
 
+@query
+def time_columns(spark, d):
+    """Milliseconds to day and time text and back, and the version of a run."""
+    events = parquet(spark, d, "events").select("event_id", F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"))
+    day = millis_to_date("ms")
+    return events.select(
+        "event_id", day.alias("day"), millis_to_datetime("ms").alias("at"), date_to_millis(day).alias("day_ms"),
+        flag(now_millis() > F.col("ms")).alias("before_now"),
+    )
+
+
+@query
+def summary_version(spark, d):
+    """Window sums with the version of the run that made them."""
+    rows = parquet(spark, d, "orders").select(F.col("o_orderdate").cast("timestamp").alias("ts"), a.cents("o_totalprice").alias("total"))
+    return windows.sum_by_window(rows, (), ["total"], DAY, run_ts=1704067200000)
+
+
+@query
+def dim_missing_drop(spark, d):
+    """Rows without their dimension are dropped."""
+    vendor = parquet(spark, d, "supplier").filter("s_acctbal >= 0")
+    lines = parquet(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return dims.enrich(lines, [Hop("l_suppkey", vendor, {"vendor": "s_name"}, "s_suppkey")], "drop")
+
+
 @query
 def rename_case(spark, d):
     events = parquet(spark, d, "events").select("event_id", "user_id", "event_type")

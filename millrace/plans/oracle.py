@@ -362,6 +362,15 @@ select {bounds('ts', '1 hour')}, vc, ch, ar, is_new, cast(sum(cast(n = 1 as inte
        cast(sum(cast(last_page_id is null as integer)) as bigint) as sv_ct, count(*) as pv_ct,
        cast(sum(during_time) as bigint) as dur_sum
 from f group by all"""
+ORACLE["time_columns"] = f"""
+select event_id, strftime(ts, '%Y-%m-%d') as day, strftime(ts, {SECONDS}) as at,
+       epoch_us(date_trunc('day', ts)) // 1000 as day_ms, cast(1 as bigint) as before_now from events"""
+ORACLE["summary_version"] = f"""
+select {bounds('o_orderdate', '1 day')}, cast(sum(cast(round(o_totalprice * 100) as bigint)) as bigint) as total,
+       cast(1704067200000 as bigint) as ts from orders group by all"""
+ORACLE["dim_missing_drop"] = """
+select l_orderkey, l_linenumber, l_partkey, l_suppkey, s_name as vendor
+from lineitem join supplier on l_suppkey = s_suppkey where s_acctbal >= 0"""
 ORACLE["visitor_repair"] = f"""
 with {PAGES},
 f as (select *, first_value(is_new) over w as opening, first_value(ts::date) over w as day from pv

@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators import changes, summaries
+from millrace.operators import changes, facts, summaries
 from millrace.plans import adapters as a
-from millrace.plans.catalogue import DAY, HOUR, query, show_time
+from millrace.plans.catalogue import DAY, HOUR, detail_fact, query, show_time
 from millrace.plans.oracle import LINES, ORACLE, bounds
 from millrace.session import scratch_path
 from millrace.sources.tables import parquet
@@ -23,6 +23,8 @@ from millrace.streaming.stored import repair_visitors_to
 
 PARTS = 4
 FAR = "9999-01-01 00:00:00"
+#: Lines are shipped at most this long after their order.
+WITHIN_DAYS = 150
 
 
 def replay(spark: SparkSession, rows: DataFrame, disorder: int = 0, last: dict[str, object] | None = None, order: str = "ts") -> DataFrame:
@@ -176,6 +178,22 @@ def stream_late_refire(spark, d):
     return sinks.read_upserts(spark, f"{path}/rows", keys, schema=job.schema)
 
 
+@query
+def stream_cancel_fact(spark, d):
+    """Two streams joined within a time bound, lines of an order spread over salts."""
+    def timed_replay(rows):
+        timed = rows.withColumn("et", F.timestamp_seconds(F.col("ts").cast("bigint")))
+        return replay(spark, timed, last={}, order="et").withWatermark("et", "3 seconds")
+
+    cancelled = changes.status_changes(
+        a.order_changes(spark, d), ["id", "user_id", "province_id", "operate_time"], changes.CANCELLED
+    )
+    joined = facts.order_cancel(
+        timed_replay(cancelled), timed_replay(detail_fact(spark, d)), within=WITHIN_DAYS * 86_400, salts=3
+    )
+    return finished(spark, joined, "cancels")
+
+
 @query
 def stream_log_split(spark, d):
     """Raw records split batch by batch into folders, counted by output."""
@@ -192,6 +210,9 @@ for name in ("order", "payment", "cart_uu", "page_view", "home_detail_uv", "logi
 ORACLE["stream_refund_window"] = (
     f"select * exclude (category1_name, category2_name, category3_name, trademark_name) from ({ORACLE['refund_window']})"
 )
+ORACLE["stream_cancel_fact"] = f"""
+select f.* from ({ORACLE['order_cancel_fact']}) f
+where abs(cast(f.ts as bigint) - epoch(cast(cancel_time as timestamp))) <= {WITHIN_DAYS * 86_400}"""
 ORACLE["stream_log_split"] = f"""
 select * from ({ORACLE['log_split_counts']}) where n > 0
 union all select 'reject', count(*) from events where event_id % 10 = 9 having count(*) > 0"""
