@@ -87,3 +87,39 @@ def op6_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+REACH = """
+reach(doc, other) as (select doc, doc from nodes union select reach.doc, link.b from reach join link on reach.other = link.a),
+least as (select doc, min(other) as component_id from reach group by doc)"""
+ORACLE["op5_near_duplicates"] = rf"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') as ws from documents),
+s as (select doc_id, unnest(case when len(ws) = 0 then [] when len(ws) < 5 then [array_to_string(ws, ' ')]
+        else list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) end) as sh from w),
+n as (select doc_id, count(*) as n from s group by doc_id),
+c as (select a.doc_id as x, b.doc_id as y, count(*) as k from s a join s b on a.sh = b.sh and a.doc_id < b.doc_id group by all),
+near as (select x, y from c join n p on p.doc_id = x join n q on q.doc_id = y where 100 * k >= 85 * (p.n + q.n - k)),
+link as (select x as a, y as b from near union all select y, x from near),
+nodes as (select distinct doc_id as doc from documents), {REACH}
+select d.doc_id, coalesce(n.n, 0) as n_shingles, component_id, d.doc_id = component_id as kept
+from documents d left join n on n.doc_id = d.doc_id join least on least.doc = d.doc_id"""
+ORACLE["op6_embedding_duplicates"] = f"""
+with recursive v as (select vec_id, label, list_transform(embedding, lambda x: cast(x as double)) as e from embeddings),
+ok as (select * from v where label is not null and e is not null and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0
+         and len(list_filter(e, lambda x: x <> 0)) > 0),
+link as (select p.vec_id as a, q.vec_id as b from ok p join ok q
+         on p.label = q.label and len(p.e) = len(q.e) and p.vec_id <> q.vec_id where list_cosine_similarity(p.e, q.e) >= 0.98),
+nodes as (select distinct vec_id as doc from v), {REACH}
+select vec_id, coalesce(k.n, 0) as n_links, component_id, vec_id = component_id as kept
+from v join least on least.doc = vec_id left join (select a, count(*) as n from link group by a) k on k.a = vec_id"""
+ORACLE["op10_chat_format"] = r"""
+with t as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+           union all select -7, 0, 'user', '</s>[INST] ok [/INST]' union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+a as (select conv_id, count(*) as n_turns, string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text) as said,
+             coalesce(string_agg(case when role = 'assistant' then text end, '' order by turn, role, text), '') as loss,
+             sum(20 + length(regexp_replace(role, '[\\<\[\n]', '..', 'g')) + length(regexp_replace(text, '[\\<\[]', '..', 'g'))) as long
+      from t group by conv_id)
+select conv_id, n_turns, sha256(said) as turns_sha256, length(loss) as loss_chars, sha256(loss) as loss_sha256,
+       cast(long + 4 as bigint) as formatted_chars from a"""

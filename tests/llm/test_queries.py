@@ -1,0 +1,23 @@
+"""Registered queries with SQL, on the smallest tables."""
+
+import glob
+import os
+
+import duckdb
+import pytest
+
+from millrace.llm.queries import ORACLE, QUERIES
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", list(ORACLE))
+def test_matches_sql(spark, name):
+    con = duckdb.connect()
+    for path in glob.glob(f"{SF}/*.parquet"):
+        con.sql(f"create view {os.path.basename(path)[:-8]} as select * from '{path}'")
+    df, want = QUERIES[name](spark, SF), con.sql(ORACLE[name])
+    columns = sorted(want.columns)
+    assert sorted(df.columns) == columns
+    got = sorted(tuple(str(r[c]) for c in columns) for r in df.collect())
+    assert got and got == sorted(tuple(str(v) for _, v in sorted(zip(want.columns, r))) for r in want.fetchall())
