@@ -29,7 +29,6 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import task_count
 from millrace.session import scratch_path
 
 SHARD_TOKENS = 1 << 20
@@ -44,6 +43,7 @@ _SPELLED = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not
 _BLANK = _SPELLED[32]
 _SPACE = re.compile(r"[\s\u180e\u200b-\u200f\ufeff]")
 # A space between two white-space characters is the one kind that no piece starts or ends at.
+_SPACED = re.compile(r" [\s\u180e\u200b-\u200f\ufeff]")
 _INNER_SPACE = re.compile(r"[\s\u180e\u200b-\u200f\ufeff] [\s\u180e\u200b-\u200f\ufeff]")
 
 
@@ -63,12 +63,15 @@ class WaveletMatrix:
         planes = np.zeros((depth, width), dtype=np.uint8)
         zeros = np.zeros(depth, dtype=np.uint64)
         for level in range(depth):
-            ones = ((x >> (depth - 1 - level)) & 1).astype(bool)
+            ones = (x & x.dtype.type(1 << (depth - 1 - level))) != 0
             packed = np.packbits(ones, bitorder="little")
             planes[level, : len(packed)] = packed
-            low = x[~ones]
-            zeros[level] = len(low)
-            x = np.concatenate([low, x[ones]])
+            high = np.flatnonzero(ones)
+            zeros[level] = n - len(high)
+            parted = np.empty_like(x)
+            np.compress(~ones, x, out=parted[: n - len(high)])
+            np.take(x, high, out=parted[n - len(high) :])
+            x = parted
         return cls(n, zeros, planes, cls._ranks(planes))
 
     @staticmethod
@@ -147,8 +150,8 @@ class WaveletMatrix:
             ones = np.unpackbits(self.planes[level], count=self.n, bitorder="little").view(bool)
             before = np.empty_like(x)
             low = int(self.zeros[level])
-            before[~ones] = x[:low]
-            before[ones] = x[low:] | x.dtype.type(1 << (depth - 1 - level))
+            before[np.flatnonzero(~ones)] = x[:low]
+            before[np.flatnonzero(ones)] = x[low:] | x.dtype.type(1 << (depth - 1 - level))
             x = before
         return x
 
@@ -224,7 +227,7 @@ class Encoder:
         """Ids of the whole text."""
         if not text:
             return np.zeros(0, dtype=self.kind)
-        if "\0" in text or _INNER_SPACE.search(text):
+        if "\0" in text or (_SPACED.search(text) and _INNER_SPACE.search(text)):
             return self._ids(text)
         words = text.split(" ")
         # The first word has no space before it; the mark keeps it apart.
@@ -330,7 +333,7 @@ def write_shards(
         if docs:
             yield closed()
 
-    count = parts or max(int(spark.conf.get("spark.sql.shuffle.partitions")), task_count(spark, 0, 1))
+    count = parts or max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     ranged = documents.select("doc_id", "text").repartitionByRange(count, "doc_id").sortWithinPartitions("doc_id", "text")
     ranged.mapInArrow(shards, SHARDS).write.option("compression", "zstd").parquet(path)
 
