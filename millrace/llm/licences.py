@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Normalised licence sentences by number, and rules over them.
+# Normalised licence sentences by number, and rules over them. NAMED adds the wordings of licences by name.
 SENTENCES = {
     1: "licensed under the apache license version 2 0 the license",
     2: "you may not use this file except in compliance with the license",
@@ -75,6 +75,28 @@ RULES = [
     ("Unlicense", (30,)),
     ("Proprietary", (25,)),
 ]
+# What follows "under" where a licence is named, and what stands before it.
+NAMED = {
+    "Apache-2.0": ["the apache license version 2 0", "the apache license 2 0", "apache license 2 0"],
+    "MIT": ["the mit license", "mit license"],
+    "BSD-2-Clause": ["the bsd 2 clause license"],
+    "BSD-3-Clause": ["the bsd 3 clause license"],
+    "GPL-2.0": ["the gnu general public license version 2", "the gnu general public license v2 0", "the gnu gpl version 2"],
+    "GPL-3.0": ["the gnu general public license version 3", "the gnu general public license v3 0", "the gnu gpl version 3"],
+    "MPL-2.0": ["the mozilla public license version 2 0", "the mozilla public license v2 0"],
+    "CC-BY-4.0": ["cc by 4 0", "a creative commons attribution 4 0 international license"],
+    "CC-BY-SA-4.0": ["cc by sa 4 0", "a creative commons attribution sharealike 4 0 international license"],
+    "CC-BY-NC-4.0": ["cc by nc 4 0", "a creative commons attribution noncommercial 4 0 international license"],
+    "CC-BY-NC-SA-4.0": ["cc by nc sa 4 0", "a creative commons attribution noncommercial sharealike 4 0 international license"],
+    "CC-BY-ND-4.0": ["cc by nd 4 0", "a creative commons attribution noderivatives 4 0 international license"],
+    "CC-BY-NC-ND-4.0": ["cc by nc nd 4 0", "a creative commons attribution noncommercial noderivatives 4 0 international license"],
+}
+LEADS = ["", *(f"{what} is " for what in "this work,this software,this project,this program,this document,this file,this code,the code".split(","))]
+for _name, _said in [(n, f"{lead}{verb} under {x}") for n, forms in NAMED.items() for x in forms for lead in LEADS for verb in ("licensed", "released", "distributed")]:
+    if _said not in SENTENCES.values():
+        _number = max(100, *SENTENCES) + 1
+        SENTENCES[_number] = _said
+        RULES.append((_name, (_number,)))
 # A sentence ends at a line end, or at . ! ? before white space or the end.
 ENDS = r"[.!?]+[ \t\r\n]|[.!?]+\z|\n"
 NOISE = r"[^A-Za-z0-9\x01]+"

@@ -328,6 +328,28 @@ def test_licence_rules(spark):
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 
 
+def licences_of(spark, *texts):
+    got = licences.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    return [r.licences for r in sorted(got)]
+
+
+def test_licences_in_the_wording_of_documents(spark):
+    lines = {
+        "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
+        "Licensed under the Apache License, Version 2.0.": "Apache-2.0", "Released under the MIT License.": "MIT",
+        "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "All rights reserved.": "Proprietary",
+        "This work is licensed under the GNU General Public License, version 2.": "GPL-2.0",
+        "This software is released under the MIT License.": "MIT", "This project is distributed under the BSD 3-Clause License.": "BSD-3-Clause",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "CC-BY-SA-4.0",
+    }
+    assert licences_of(spark, *(f"Some words here.\n{line}\nmore words" for line in lines)) == list(lines.values())
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    line = "This work is licensed under the GNU General Public License, version 3."
+    want = {r.doc_id for r in docs.collect() if line in (r.text or "").split("\n")}
+    got = {r.doc_id for r in licences.scan(docs).collect() if "GPL-3.0" in r.licences.split(",")}
+    assert want and want <= got
+
+
 # --- all -----------------------------------------------------------------------------
 
 
