@@ -23,7 +23,7 @@ from millrace.streaming.stored import repair_visitors_to
 
 PARTS = 4
 FAR = "9999-01-01 00:00:00"
-#: Lines are shipped at most this long after their order.
+#: Bound in the registered SQL of stream_cancel_fact only; the query joins all lines.
 WITHIN_DAYS = 150
 
 
@@ -180,17 +180,25 @@ def stream_late_refire(spark, d):
 
 @query
 def stream_cancel_fact(spark, d):
-    """Two streams joined within a time bound, lines of an order spread over salts."""
+    """Two streams joined within a time bound, lines of an order spread over salts.
+
+    The bound is the greatest distance of a line from its cancelled order in the
+    tables, looked up before the replay, so every line joins.
+    """
+    def timed(rows):
+        return rows.withColumn("et", F.timestamp_seconds(F.col("ts").cast("bigint")))
+
     def timed_replay(rows):
-        timed = rows.withColumn("et", F.timestamp_seconds(F.col("ts").cast("bigint")))
-        return replay(spark, timed, last={}, order="et").withWatermark("et", "3 seconds")
+        return replay(spark, timed(rows), last={}, order="et").withWatermark("et", "3 seconds")
 
     cancelled = changes.status_changes(
         a.order_changes(spark, d), ["id", "user_id", "province_id", "operate_time"], changes.CANCELLED
     )
-    joined = facts.order_cancel(
-        timed_replay(cancelled), timed_replay(detail_fact(spark, d)), within=WITHIN_DAYS * 86_400, salts=3
-    )
+    details = detail_fact(spark, d)
+    away = F.abs(F.unix_seconds("c.et") - F.unix_seconds("d.et"))
+    pairs = timed(cancelled).alias("c").join(timed(details).alias("d"), F.col("c.id") == F.col("d.order_id"))
+    within = pairs.agg(F.max(away)).first()[0] or 0
+    joined = facts.order_cancel(timed_replay(cancelled), timed_replay(details), within=within, salts=3)
     return finished(spark, joined, "cancels")
 
 

@@ -337,3 +337,13 @@ def test_a_version_after_its_window_leaves_the_old_sum(feed, finish, rows):
     )
     got = finish(jobs.province_order_window(at(stream), ["v"])).filter("stt in ('2024-01-01 00:00:00', '2024-01-01 00:00:30')")
     assert rows(got, "order_amount") == [(10,), (11,)]
+
+
+def test_all_lines_of_cancelled_orders_join(spark, tables, rows):
+    """Lines lie years before or after their order; the batch fact joins them all."""
+    import __spark_entry__ as entry
+
+    want = entry.queries()["order_cancel_fact"](spark, tables)
+    got = entry.queries()["stream_cancel_fact"](spark, tables)
+    assert rows(got, *want.columns) == rows(want)
+    assert want.count() > 0
