@@ -1,9 +1,10 @@
 """Licence scan by sentence rules, in DataFrame functions only.
 
-A text is cut into sentences, each is normalised (letters and digits in lower
-case, one space between) and looked up among known licence sentences. The
-numbers found, in text order, are matched against licence rules, which are
-ordered runs of sentence numbers.
+A text is normalised (letters and digits in lower case, one space between) with
+marks where sentences end or may end, and known licence sentences are searched
+between the marks, wrapped over lines or not. The numbers found, in text order,
+are matched against licence rules, which are ordered runs of sentence numbers.
+The SQL cuts at every line end and knows single-line sentences only.
 
 Defined cases: a null or empty text has no sentences and no licence; a repeated
 sentence counts each time; a licence is reported once per document, in rule
@@ -12,6 +13,8 @@ order; repeated rows give repeated results; an empty table gives no rows.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -97,22 +100,81 @@ for _name, _said in [(n, f"{lead}{verb} under {x}") for n, forms in NAMED.items(
         _number = max(100, *SENTENCES) + 1
         SENTENCES[_number] = _said
         RULES.append((_name, (_number,)))
-# A sentence ends at a line end, or at . ! ? before white space or the end.
-ENDS = r"[.!?]+[ \t\r\n]|[.!?]+\z|\n"
-NOISE = r"[^A-Za-z0-9\x01]+"
+# Whole sentences of the licence texts themselves, with the numbers they stand for.
+_AS_PUBLISHED = "as published by the free software foundation"
+_UNDER_GPL = "is free software you can redistribute it and or modify it under the terms of the gnu general public license"
+WORDINGS = {
+    "apache license version 2 0 january 2004": [4],
+    "you may obtain a copy of the license at http www apache org licenses license 2 0 unless required by applicable law or agreed to in writing software distributed "
+    "under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied": [3],
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the "
+    "software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software "
+    "and to permit persons to whom the software is furnished to do so subject to the following conditions": [7],
+    "the above copyright notice and this permission notice including the next paragraph shall be included in all copies or substantial portions of the software": [8],
+    "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a "
+    "particular purpose and noninfringement": [9],
+    "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer": [11],
+    "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other "
+    "materials provided with the distribution": [12],
+    "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without "
+    "specific prior written permission": [13],
+    **{
+        f"{what} {_UNDER_GPL}{end}": [14]
+        for what in ("this program", "this software", "this file", "it")
+        for end in (
+            "", f" {_AS_PUBLISHED}",
+            *(x for v in "23" for x in (f" {_AS_PUBLISHED} either version {v} of the license or at your option any later version", f" {_AS_PUBLISHED} version {v} of the license", f" version {v} {_AS_PUBLISHED}", f" {_AS_PUBLISHED} version {v}")),
+        )
+    },
+    "gnu general public license version 2 june 1991": [15],
+    "gnu general public license version 3 29 june 2007": [16],
+    "mozilla public license version 2 0": [17],
+    "spdx license identifier gpl 3 0 or later": [29],
+}
+# A sentence ends at . ! ? before white space or the end, but not in "v. 2.0". It may end
+# at a line end or after : or ; too, but a known sentence may also run on over these.
+ENDS = r"(?!(?<=\b[vV])\.[ \t\r\n]+[0-9])[.!?]+(?:[ \t\r\n]|\z)"
+MAY_END = r"\r?\n|[:;](?=[ \t\r\n])"
+NOISE = r"[^A-Za-z0-9\x01\x02]+"
+GAP = r"[ \x02]{1,3}"
+
+
+def _branches(said: list[list[str]]) -> str:
+    """A pattern for any of the word lists, longer ones first."""
+    tails: dict[str, list[list[str]]] = {}
+    for words in said:
+        if words:
+            tails.setdefault(words[0], []).append(words[1:])
+    found = []
+    for word, rest in tails.items():
+        more = _branches([r for r in rest if r])
+        found.append(word + (f"(?:{GAP}{more})" + ("?" if [] in rest else "") if more else ""))
+    return "(?:" + "|".join(found) + ")" if found else ""
 
 
-def sentences(text: Column) -> Column:
-    """Normalised sentences in text order."""
-    marked = F.regexp_replace(F.regexp_replace(text, ENDS, "\x01"), NOISE, " ")
-    return F.transform(F.split(F.lower(marked), "\x01"), lambda s: F.trim(s))
+def _known() -> dict[str, list[int]]:
+    return {said: [number] for number, said in SENTENCES.items()} | WORDINGS
+
+
+def marked(text: Column) -> Column:
+    """Normalised text: \\x01 where a sentence ends, \\x02 where it may end."""
+    cut = F.regexp_replace(F.regexp_replace(text, ENDS, "\x01"), MAY_END, "\x02")
+    return F.regexp_replace(F.lower(F.regexp_replace(cut, NOISE, " ")), " *([\\x01\\x02]) *", "$1")
 
 
 def sentence_numbers(text: Column) -> Column:
-    """Numbers of the known licence sentences, in text order."""
-    pairs = [F.lit(x) for number, said in SENTENCES.items() for x in (said, number)]
-    known = F.filter(sentences(text), lambda s: s.isin(*SENTENCES.values()))
-    return F.coalesce(F.transform(known, lambda s: F.element_at(F.create_map(*pairs), s)), F.array().cast("array<int>"))
+    """Numbers of the known licence sentences, in text order.
+
+    A known sentence stands between two places where sentences end or may end; it
+    may be wrapped over lines, with comment signs at their beginnings. Of two that
+    begin at the same place the longer one counts.
+    """
+    known = _known()
+    pattern = r"(?:^ ?|(?<=[\x01\x02]))(?:[0-9a-z] )?(" + _branches([said.split() for said in known]) + r")(?= ?(?:[\x01\x02]|\z))"
+    found = F.regexp_extract_all(marked(text), F.lit(pattern), F.lit(1))
+    book = F.from_json(F.lit(json.dumps(known)), "map<string,array<int>>")
+    numbers = F.transform(found, lambda s: F.element_at(book, F.regexp_replace(s, GAP, " ")))
+    return F.coalesce(F.flatten(numbers), F.array().cast("array<int>"))
 
 
 def scan(docs: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -350,6 +351,72 @@ def test_licences_in_the_wording_of_documents(spark):
     assert want and want <= got
 
 
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"."""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at http://mozilla.org/MPL/2.0/."""
+
+
+def test_unmodified_licence_texts(spark):
+    texts = {APACHE: "Apache-2.0", MIT: "MIT", BSD: "BSD-2-Clause,BSD-3-Clause", GPL: "GPL", MPL: "MPL-2.0"}
+    forms = {
+        "wrapped": str, "unwrapped": lambda t: " ".join(t.split()), "one line a paragraph": lambda t: "\n\n".join(" ".join(p.split()) for p in t.split("\n\n")),
+        "comment": lambda t: "\n".join(f" * {line}" for line in t.split("\n")), "windows": lambda t: t.replace("\n", "\r\n"),
+        "within": lambda t: f"Some words.\n\n{t}\n\nOther words: more.",
+        "wrapped elsewhere": lambda t: "\n\n".join(textwrap.fill(" ".join(p.split()), 50) for p in t.split("\n\n")),
+    }
+    got = licences_of(spark, *(made(t) for made in forms.values() for t in texts))
+    for at, form in enumerate(forms):
+        assert got[at * len(texts) : (at + 1) * len(texts)] == list(texts.values()), form
+    assert licences_of(spark, "Nothing of this work is licensed under the MIT License.", "under the terms of the Mozilla Public License, v. 1.1.", "I use the MIT License. 2 cats") == [""] * 3
+
+
 # --- all -----------------------------------------------------------------------------
 
 
