@@ -12,7 +12,9 @@ The trees are trained here, on generated pages with labelled nodes (``training``
 page furniture in many layouts, in semantic and in plain markup.
 
 Defined cases: null or empty html gives empty text; a page without markup is one
-block; unclosed and crossed elements end with the element around them; what
+block; unclosed and crossed elements end with the element around them (head with
+the first text or element that cannot stand in it, other raw elements at the next
+block, script, style, textarea and title with the page); what
 follows an unfinished tag is markup; rows with equal or null page_id stay
 separate; an empty table gives no rows; extra columns are ignored.
 """
@@ -31,6 +33,9 @@ from pyspark.sql import functions as F
 # Elements of the HTML standard by role.
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
 RAW = set("script style textarea title noscript iframe template svg math select button head object audio video canvas".split())
+# To the end of the page if left open; elements that can stand in head, whose end tag may be left out.
+TO_END = set("script style textarea title".split())
+IN_HEAD = set("title meta link base script style noscript template".split())
 BLOCK = set(
     "html body article main section div nav header footer aside form ul ol li dl dt dd p h1 h2 h3 h4 h5 h6 blockquote pre "
     "table thead tbody tfoot tr td th caption figure figcaption details summary fieldset legend address center hr dialog menu".split()
@@ -67,6 +72,43 @@ _MARK = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*
 _ATTRIBUTE = re.compile(r"(class|id|role|style|hidden|aria-label|itemprop|data-y)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 _WORD = re.compile(r"[a-z]+")
 _RAW_END = {tag: re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I) for tag in RAW}
+_TEXT = re.compile(r"[^\s<]")
+
+
+def _raw_end(source: str, tag: str, at: int, around: set[str]) -> int:
+    """Where a raw element that begins before ``at`` ends.
+
+    One without an end tag goes as far as the end of a block ``around`` it or the next
+    of its kind, head as far as body, and ends at the first block on the way, head at
+    the first text or element that cannot stand in it.
+    """
+    if tag in TO_END:
+        end = _RAW_END[tag].search(source, at)
+        return end.end() if end else len(source)
+    opened, misfit, head = [], None, tag == "head"
+    while True:
+        m = _MARK.search(source, at)
+        if head and misfit is None and (said := _TEXT.search(source, at, m.start() if m else len(source))):
+            misfit = said.start()
+        if not m:
+            return len(source) if misfit is None else misfit
+        at, found = m.end(), (m[2] or "").lower()
+        if m[1]:
+            if found == tag:
+                return at
+            if found in opened:
+                del opened[len(opened) - 1 - opened[::-1].index(found) :]
+            elif found in around or found in ("body", "html"):
+                return m.start() if misfit is None else misfit
+        elif found:
+            if found == tag or found == "body":
+                return m.start() if misfit is None else misfit
+            if misfit is None and (found not in IN_HEAD if head else found in BLOCK):
+                misfit = m.start()
+            if found in BLOCK and found not in VOID:
+                opened.append(found)
+            if found in (IN_HEAD & RAW if head else TO_END) and not (m[3] or "").endswith("/"):
+                at = _raw_end(source, found, at, around | {"head"})
 
 
 @dataclass
@@ -127,9 +169,8 @@ def parse(source: str | None) -> Page:
                 depth = 0
             continue
         if tag in RAW:
-            end = _RAW_END[tag].search(source, at)
             if not (m[3] or "").endswith("/"):
-                at = end.end() if end else len(source)
+                at = _raw_end(source, tag, at, {page.tag[i] for i in stack[1:]})
             continue
         if tag == "a":
             depth = 1

@@ -94,6 +94,26 @@ def test_pages(spark, trees):
     assert html_extract.extract(df.limit(0), trees).count() == 0
 
 
+def test_raw_elements_left_open(trees):
+    said = ["Head line of it", "The first words, of an article. They go on for a while.", "The second part, as long as the first. It ends here."]
+    article = f"<article><h1>{said[0]}</h1><p>{said[1]}</p><p>{said[2]}</p></article>"
+
+    def text(source):
+        page = html_extract.parse(source)
+        return html_extract.main_text(page, trees.log_odds(html_extract.features(page)))
+
+    whole = "\n".join(said)
+    assert text(f"<html><head><title>t</title><body>{article}") == whole
+    assert text(f"<html><head><meta charset=x><script>var a = '<p>';</script><noscript><img></noscript>{article}") == whole
+    assert text(f"<html><head><title>t</title><p>no end</head><body>{article}</body></html>") == whole
+    for tag in ("button", "select", "label", "svg", "object", "audio", "video", "canvas", "iframe"):
+        assert text(f"<html><body><div class=nav><{tag}>Press</div>{article}</body></html>") == whole, tag
+        assert text(f"<html><body><{tag}>Press{article}</body></html>") == whole, tag
+        assert text(f"<html><body><div class=nav><{tag}>Press</div>{article}<form><{tag}>Send</{tag}></form></body></html>") == whole, tag
+        assert text(f"<html><body><form><{tag}>a<div>b</div>c</{tag}></form>{article}</body></html>") == whole, tag
+    assert text(f"<html><body>{article}<script>var a = '<p>more</p>'") == whole
+
+
 def test_given_pages(spark, trees):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     got = {r.page_id: r.text for r in html_extract.extract(pages, trees).collect()}
