@@ -242,13 +242,17 @@ ANCHOR_BYTES, STRETCH_BYTES = 5, 6
 
 
 def _load(table: pa.Table) -> Block:
-    """A block from its rows: doc_id and text."""
+    """A block from its rows: doc_id and text, by doc_id and text, so that all passes see one layout."""
     ids = np.array([LAST if d is None else d for d in table.column("doc_id").to_pylist()], dtype=np.int64)
     texts = table.column("text").combine_chunks().cast(pa.large_binary())
     if isinstance(texts, pa.ChunkedArray):
         texts = pa.concat_arrays(texts.chunks) if texts.num_chunks else pa.array([], pa.large_binary())
     order = np.argsort(ids, kind="stable")
-    texts = texts.take(pa.array(order)).fill_null(b"")
+    texts = texts.fill_null(b"")
+    for rows in np.split(order, np.flatnonzero(np.diff(ids[order])) + 1):
+        if len(rows) > 1:
+            rows[:] = sorted(rows.tolist(), key=lambda i: texts[i].as_py())
+    texts = texts.take(pa.array(order))
     offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = texts.buffers()[2]
     raw = np.frombuffer(data, dtype=np.uint8)[offsets[0] : offsets[-1]] if data is not None and len(order) else np.zeros(0, dtype=np.uint8)

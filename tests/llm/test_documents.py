@@ -306,6 +306,18 @@ def test_a_benchmark_in_several_rounds(spark, monkeypatch):
     assert exact == {r[:2] for r in whole if r[2] == 0}
 
 
+def test_blocks_are_one_layout_in_any_row_order():
+    r = np.random.default_rng(3)
+    rows = [(i, f"text {k} " + "ab" * int(r.integers(1, 400))) for i in (None, None, 1, 2, 2, 3) for k in range(40)] + [(None, None), (2, ""), (2, None)]
+    laid = []
+    for _ in range(3):
+        shuffled = [rows[i] for i in r.permutation(len(rows))]
+        table = suffix_dedup.pa.table({"doc_id": suffix_dedup.pa.array([x[0] for x in shuffled], "int64"), "text": suffix_dedup.pa.array([x[1] for x in shuffled], "string")})
+        block = suffix_dedup._load(table)
+        laid.append((block.ids.tolist(), block.raw.tobytes(), block.bounds.tolist()))
+    assert laid[0] == laid[1] == laid[2]
+
+
 # --- licences ------------------------------------------------------------------------
 
 
