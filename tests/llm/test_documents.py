@@ -318,6 +318,16 @@ def test_blocks_are_one_layout_in_any_row_order():
     assert laid[0] == laid[1] == laid[2]
 
 
+def test_rows_without_doc_id_link_others(spark):
+    words = [f"w{i}" for i in range(400)]
+    ends = [words[:370], words[30:]]
+    a, b = (" ".join(w) for w in ends)
+    docs = spark.createDataFrame([(1, a), (None, " ".join(words)), (2, b)], "doc_id bigint, text string")
+    rows = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs, 90).collect()}
+    apart = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs.filter("doc_id is not null"), 90).collect()}
+    assert rows == {1: 1, None: 1, 2: 1} and apart == {1: 1, 2: 2}
+
+
 # --- licences ------------------------------------------------------------------------
 
 
