@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +36,18 @@ def text_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, count: int) -> Iterator[None]:
+    """At most ``count`` rows in a batch for Python, for what is run inside; the setting is put back."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(name)
+    spark.conf.set(name, str(count))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, usual)
+
+
 def task_count(spark: SparkSession, size: float, per_task: float) -> int:
     """Partitions so that each holds about ``per_task`` of ``size``, and every core has one."""
     return max(spark.sparkContext.defaultParallelism, -(-int(size) // int(per_task)), 1)

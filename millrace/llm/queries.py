@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import chat_format, decontaminate, embedding_dedup, html_extract, licences, mixing, near_dedup, suffix_dedup, token_shards, toxicity
+from millrace.llm import chat_format, decontaminate, embedding_dedup, hard_negatives, html_extract, licences, mixing, near_dedup, suffix_dedup, token_shards, toxicity
 from millrace.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,6 +89,12 @@ def op2_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor's first positives."""
+    return hard_negatives.mine(hard_negatives.stirred_labels(table(spark, sf_dir, "embeddings")))
+
+
 REACH = """
 reach(doc, other) as (select doc, doc from nodes union select reach.doc, link.b from reach join link on reach.other = link.a),
 least as (select doc, min(other) as component_id from reach group by doc)"""
@@ -123,3 +129,16 @@ a as (select conv_id, count(*) as n_turns, string_agg(role || chr(10) || text ||
       from t group by conv_id)
 select conv_id, n_turns, sha256(said) as turns_sha256, length(loss) as loss_chars, sha256(loss) as loss_sha256,
        cast(long + 4 as bigint) as formatted_chars from a"""
+ORACLE["op13_hard_negatives"] = """
+with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, embedding,
+                  list_transform(embedding, lambda x: floor(256 * cast(x as double))) as e from embeddings
+           where vec_id is not null and label is not null and embedding is not null
+             and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.vec_id as anchor_id, r.vec_id as other, a.label = r.label as same,
+             cast(list_dot_product(a.e, r.e) as bigint) as score
+      from v a join v r on a.vec_id <> r.vec_id and len(a.e) = len(r.e) where a.vec_id % 50 = 0),
+p as (select * from s where same qualify row_number() over (partition by anchor_id order by score desc, other) <= 5),
+n as (select p.anchor_id, p.other as positive_id, s.other as negative_id, p.score as positive_score, s.score as negative_score,
+             row_number() over (partition by p.anchor_id, p.other order by s.score desc, s.other) as rank
+      from p join s on s.anchor_id = p.anchor_id and not s.same and 100 * s.score between 50 * p.score and 95 * p.score)
+select anchor_id, positive_id, cast(rank as integer) as rank, negative_id, positive_score, negative_score from n where rank <= 3"""
