@@ -96,3 +96,11 @@ def with_running_max(
 ) -> DataFrame:
     """Largest ``value`` among the rows that come before each row within its keys."""
     return _scan(df, keys, order, slices, F.col(value), F.max, into)
+
+
+def with_running(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], weight: Column, combine: Callable[[str], Column], into: str,
+    slices: int | None = None,
+) -> DataFrame:
+    """``combine`` (sum, max, ...) of ``weight`` over the rows before each row within its keys; null for the first."""
+    return _scan(df, keys, order, slices, weight, combine, into)
