@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import chat_format, decontaminate, embedding_dedup, hard_negatives, html_extract, licences, mixing, near_dedup, suffix_dedup, token_shards, toxicity
+from millrace.llm import chat_format, decontaminate, embedding_dedup, hard_negatives, html_extract, licences, mixing, near_dedup, prefix_trie, suffix_dedup, token_shards, toxicity, warc
 from millrace.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,6 +89,19 @@ def op2_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
+@query
+def op11_web_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to web archives and read back."""
+    records = warc.archive(table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every shared beginning of the rebuilt conversations, with totals of what follows it."""
+    return prefix_trie.prefix_trie(prefix_trie.rebuilt(table(spark, sf_dir, "conversations")))
+
+
 @query
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of every anchor's first positives."""
@@ -142,3 +155,39 @@ n as (select p.anchor_id, p.other as positive_id, s.other as negative_id, p.scor
              row_number() over (partition by p.anchor_id, p.other order by s.score desc, s.other) as rank
       from p join s on s.anchor_id = p.anchor_id and not s.same and 100 * s.score between 50 * p.score and 95 * p.score)
 select anchor_id, positive_id, cast(rank as integer) as rank, negative_id, positive_score, negative_score from n where rank <= 3"""
+ORACLE["op11_web_archive"] = """
+with p as (select page_id, coalesce(html, '') as body, sha1(coalesce(html, '')) as sha from pages),
+b as (select *, array_to_string(list_transform(range(1, 41), lambda i: ['0000', '0001', '0010', '0011', '0100', '0101', '0110', '0111',
+        '1000', '1001', '1010', '1011', '1100', '1101', '1110', '1111'][instr('0123456789abcdef', substr(sha, i, 1))]), '') as bits from p),
+f as (select *, min(page_id) over (partition by body) as first from b)
+select page_id, strlen(body) as payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast(1 +
+         16 * cast(substr(bits, 5 * i + 1, 1) as integer) + 8 * cast(substr(bits, 5 * i + 2, 1) as integer) +
+         4 * cast(substr(bits, 5 * i + 3, 1) as integer) + 2 * cast(substr(bits, 5 * i + 4, 1) as integer) +
+         cast(substr(bits, 5 * i + 5, 1) as integer) as integer), 1)), '') as payload_digest,
+       case when page_id = first then 'response' else 'revisit' end as record_type,
+       case when page_id <> first then first end as refers_to from f"""
+ORACLE["op12_prefix_trie"] = """
+with t as (select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+                  row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) - 1 as place
+           from conversations where conv_id is not null),
+c as (select conv_id, conv_id - conv_id % 100 as base, xor(list_reduce(list_concat([4294967295],
+             list_transform(range(1, strlen(cast(conv_id as varchar)) + 1), lambda i: cast(ascii(substr(cast(conv_id as varchar), i, 1)) as bigint))),
+             lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda p, q: xor(p >> 1, (p & 1) * 3988292384))), 4294967295) % 6 as h
+      from (select distinct conv_id from t)),
+r as (select c.conv_id, t.place, t.role, t.text from c join t on t.conv_id = c.base and t.place < h
+      union all select c.conv_id, t.place, t.role, t.text from c join t on t.conv_id = c.conv_id and t.place >= h),
+k as (select conv_id, row_number() over w as depth, string_agg(sha256(length(role) || ':' || role || text), '') over w as node, length(text) as size
+      from r window w as (partition by conv_id order by place)),
+s as (select conv_id, depth, node, size from k union all select conv_id, 0, '', 0 from c),
+l as (select conv_id, max(depth) as last from s group by conv_id),
+n as (select node, min(depth) as depth, min(s.conv_id) as conv_id, count(*) as n_convs, (count(*) - 1) * min(size) as own,
+             coalesce(string_agg(case when depth = last then cast(s.conv_id as varchar) end, ',' order by s.conv_id), '') as ends
+      from s join l on l.conv_id = s.conv_id group by node),
+e as (select n.*, p.conv_id as parent_conv_id from n left join n p on n.depth > 0 and p.node = left(n.node, 64 * (n.depth - 1)) and p.depth = n.depth - 1),
+ch as (select parent_conv_id, depth - 1 as depth, count(*) as n_children from e where depth > 0 group by all),
+f as (select e.*, coalesce(n_children, 0) as n_children from e left join ch on ch.parent_conv_id = e.conv_id and ch.depth = e.depth),
+u as (select s.node, sum(own) as saved, count(*) filter (f.n_children = 0) as n_leaves
+      from f join s on s.conv_id = f.conv_id and s.depth <= f.depth group by s.node)
+select f.conv_id, f.depth, parent_conv_id, n_convs, n_children, n_leaves, cast(saved as bigint) as saved_tokens, sha256(ends) as ends_sha256
+from f join u on u.node = f.node"""
