@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.asof import as_of_join
 from millrace.operators.changes import prune_columns
 from millrace.operators.scale import join_per_key
 from millrace.operators.versions import latest_by_key
@@ -120,6 +121,30 @@ def route_dims(changes: DataFrame, rules: DataFrame) -> DataFrame:
     return _with_rule(changes, rules.withColumn("sink_extend", F.lit(None).cast("string")), F.lit("ALL"))
 
 
+RULE_COLUMNS = ("op", "sink_table", "sink_type", "sink_pk", "sink_columns")
+
+
+def rule_versions(captures: DataFrame, since: str, order: Sequence[str] = ()) -> DataFrame:
+    """Captured rule changes under the key that records are looked up by, with their times."""
+    kind = F.concat_ws("", "source_type", "sink_extend")
+    return captures.select(F.col("source_table").alias("table"), kind.alias("kind"), since, *order, *RULE_COLUMNS)
+
+
+def ruled(joined: DataFrame) -> DataFrame:
+    """Records joined to the rule of their time, in the shape of routed records; a removed rule takes none."""
+    live = joined.filter(F.col("op") != "d")
+    pruned = prune_columns(F.col("data"), F.split("sink_columns", ","), F.col("type")).alias("data")
+    return live.select("sink_table", "sink_type", "sink_pk", "sink_columns", pruned, "ts")
+
+
+def route_as_of(
+    changes: DataFrame, captures: DataFrame, at: str, since: str, order: Sequence[str] = (), kind: Column | None = None
+) -> DataFrame:
+    """Send each record where the rule in force at its own time says, whatever was configured later."""
+    keyed = changes.withColumn("kind", change_kind() if kind is None else kind)
+    return ruled(as_of_join(keyed, rule_versions(captures, since, order), ["table", "kind"], at, since, RULE_COLUMNS, order, "inner"))
+
+
 # Rule suffixes of the two coupon transitions.
 COUPON_USED = '{"data": {"coupon_status": "1402"}, "old": {"coupon_status": "1401"}}'
 COUPON_PAID = '{"data": {"used_time": "not null"}}'

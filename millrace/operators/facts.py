@@ -7,10 +7,13 @@ what lets a stream drop join state; stored tables need no bound.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import date_id
+from millrace.operators.asof import as_of_join
 
 # Fixed value: how long join partners are kept, in seconds.
 JOIN_STATE_SECONDS = 1820
@@ -46,6 +49,18 @@ def code_book(dictionary: DataFrame, max_rows: int = 10_000) -> DataFrame:
     return F.broadcast(dictionary.sparkSession.createDataFrame([tuple(r) for r in rows], schema))
 
 
+def decode_as_of(
+    df: DataFrame, versions: DataFrame, code: str, name: str, at: str, since: str = "since", order: Sequence[str] = ()
+) -> DataFrame:
+    """Add the name a code had at the row's own time; rows whose code was unknown then are dropped.
+
+    ``versions`` holds every name with the time it came into force. May be applied
+    several times, like ``decode``.
+    """
+    names = versions.select(F.col("dic_code").alias(code), F.col("dic_name").alias(name), since, *order)
+    return as_of_join(df, names, [code], at, since, [name], order, "inner")
+
+
 def _match(equal: Column, left: str, right: str, within: int | None, salted: bool = False) -> Column:
     """The equality, with both event times no further apart than ``within`` seconds."""
     if salted:

@@ -22,6 +22,18 @@ def tumble(ts: str | Column = "ts", width: str = WINDOW) -> Column:
     return F.window(ts, width).alias("win")
 
 
+def millis(interval: str) -> Column:
+    """Length of an interval such as '3 seconds'."""
+    start = F.lit("2000-01-01 00:00:00").cast("timestamp")
+    return F.unix_millis(start + F.expr(f"interval {interval}")) - F.unix_millis(start)
+
+
+def window_end(ts: str | Column = "ts", width: str = WINDOW) -> Column:
+    """End of the tumbling window of a time, as a plain expression; null for no time."""
+    wide = millis(width)
+    return F.timestamp_millis(((F.floor(F.unix_millis(ts) / wide) + 1) * wide).cast("bigint"))
+
+
 def stamp(df: DataFrame, run_ts: int | None = None) -> DataFrame:
     """Window bounds as ``stt`` and ``edt`` text; ``run_ts`` adds the version column."""
     rest = [c for c in df.columns if c != "win"]
@@ -42,8 +54,12 @@ def watermark_trace(
     df: DataFrame, source: Sequence[str], arrival: Sequence[str], ts_ms: str, delay_ms: int = 0
 ) -> DataFrame:
     """Watermark each row meets on arrival: largest earlier time, less the delay and 1 ms."""
-    traced = with_running_max(df, source, arrival, ts_ms, "_max")
-    return traced.withColumn("watermark", F.col("_max") - F.lit(delay_ms + 1)).drop("_max")
+    return add_watermark(with_running_max(df, source, arrival, ts_ms, "_max"), delay_ms)
+
+
+def add_watermark(seen: DataFrame, delay_ms: int = 0) -> DataFrame:
+    """The watermark from the largest earlier time in ``_max``."""
+    return seen.withColumn("watermark", F.col("_max") - F.lit(delay_ms + 1)).drop("_max")
 
 
 def mark_late(
@@ -60,7 +76,13 @@ def mark_late(
     The window of a ``refire`` row had already been reported once; a ``late`` row
     comes after the grace as well and belongs to the side output.
     """
-    seen = with_running_max(df, source, arrival, ts_ms, "_max")
+    return add_lateness(with_running_max(df, source, arrival, ts_ms, "_max"), ts_ms, width_ms, disorder_ms, lateness_ms)
+
+
+def add_lateness(
+    seen: DataFrame, ts_ms: str, width_ms: int = 5000, disorder_ms: int = DISORDER_MS, lateness_ms: int = LATENESS_MS
+) -> DataFrame:
+    """``window_end``, ``refire`` and ``late`` from the largest earlier time in ``_max``."""
     end = (F.floor(F.col(ts_ms) / F.lit(width_ms)) + 1) * F.lit(width_ms)
     closed = F.coalesce(F.col("window_end") + disorder_ms <= F.col("_max"), F.lit(False))
     gone = F.coalesce(F.col("window_end") + disorder_ms + lateness_ms <= F.col("_max"), F.lit(False))

@@ -272,7 +272,7 @@ def detail_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def activity_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = _cols(
-        order_detail_id="line_id", activity_id=text(F.col("l_suppkey") % 7),
+        order_detail_id="line_id", order_id="order_id", activity_id=text(F.col("l_suppkey") % 7),
         activity_rule_id=text(F.col("l_suppkey") % 11),
     )
     lines = _lines(spark, sf_dir).filter("l_discount > 0.05")
@@ -280,7 +280,7 @@ def activity_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_coupon_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    data = _cols(order_detail_id="line_id", coupon_id=text(F.col("l_partkey") % 13))
+    data = _cols(order_detail_id="line_id", order_id="order_id", coupon_id=text(F.col("l_partkey") % 13))
     lines = _lines(spark, sf_dir).filter("l_tax > 0.04")
     return _changes(lines, "order_detail_coupon", "insert", "l_shipdate", data)
 
@@ -406,6 +406,28 @@ def rule_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ruled_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as change records of many tables, for the captured rules; ``et`` is their time."""
+    kinds = F.array(*[F.lit(k) for k in ("urgent", "high", "medium", "not specified", "low")])
+    return _lines(spark, sf_dir).select(
+        F.concat(F.lit("table_"), "sku_id").alias("table"), F.element_at(kinds, F.col("l_linenumber") % 5 + 1).alias("type"),
+        F.create_map(F.lit("id"), F.col("line_id"), F.lit("name"), F.col("order_id"), F.lit("note"), F.col("quantity")).alias("data"),
+        text(F.unix_seconds(F.col("l_shipdate").cast("timestamp"))).alias("ts"), F.col("l_shipdate").cast("timestamp").alias("et"),
+    )
+
+
+#: When the names of the first three codes change.
+RENAMED = "1998-06-01 00:00:00"
+
+
+def dictionary_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The code book with times: all codes from the start, three renamed later."""
+    names = dictionary(spark, sf_dir)
+    start, later = (F.lit(x).cast("timestamp") for x in ("1995-01-01 00:00:00", RENAMED))
+    renamed = names.filter("dic_code <= '3'").select("dic_code", F.lower("dic_name").alias("dic_name"), later.alias("since"))
+    return names.select("dic_code", "dic_name", start.alias("since")).unionByName(renamed)
+
+
 def phrases(conversations: DataFrame) -> DataFrame:
     """Conversation turns as phrases typed into a page."""
     seconds = F.lit(1704067200) + F.col("conv_id") * 7 + F.col("turn")

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from millrace.operators import changes, facts, summaries
 from millrace.plans import adapters as a
 from millrace.plans.catalogue import DAY, HOUR, detail_fact, query, show_time
-from millrace.plans.oracle import LINES, ORACLE, bounds
+from millrace.plans.oracle import ORACLE, bounds
 from millrace.session import scratch_path
+from millrace.sources import folders
 from millrace.sources.tables import parquet
 from millrace.streaming import jobs, sinks, stateful
 from millrace.streaming.loads import split_logs_to
@@ -23,8 +24,6 @@ from millrace.streaming.stored import repair_visitors_to
 
 PARTS = 4
 FAR = "9999-01-01 00:00:00"
-#: Bound in the registered SQL of stream_cancel_fact only; the query joins all lines.
-WITHIN_DAYS = 150
 
 
 def replay(spark: SparkSession, rows: DataFrame, disorder: int = 0, last: dict[str, object] | None = None, order: str = "ts") -> DataFrame:
@@ -34,7 +33,7 @@ def replay(spark: SparkSession, rows: DataFrame, disorder: int = 0, last: dict[s
     the values of the closing row beside its time; None sends none.
     """
     folder = scratch_path(spark, "replay")
-    early = F.pmod(F.xxhash64(*rows.columns), F.lit(disorder * 1_000_000 + 1))
+    early = F.pmod(F.xxhash64(*[c for c, kind in rows.dtypes if "map<" not in kind]), F.lit(disorder * 1_000_000 + 1))
     when = F.unix_micros(order) - early
     low, high = rows.agg(F.min(when), F.max(when)).first()
     files = per_core(spark)
@@ -42,6 +41,10 @@ def replay(spark: SparkSession, rows: DataFrame, disorder: int = 0, last: dict[s
         turn = F.least(F.floor((when - low) / max(1, high - low) * PARTS), F.lit(PARTS - 1))
         for part in range(PARTS):
             rows.filter(turn == part).repartition(files).write.mode("append").parquet(folder)
+            # A part of few rows has fewer files; empty ones keep the next part out of its micro-batch.
+            there = sum(name.startswith("part-") for name in folders.names(spark, folder))
+            for _ in range(files * (part + 1) - there):
+                spark.createDataFrame([], rows.schema).coalesce(1).write.mode("append").parquet(folder)
     if last is not None or low is None:
         closing = {**(last or {}), order: FAR}
         row = [F.lit(closing.get(f.name)).cast(f.dataType).alias(f.name) for f in rows.schema.fields]
@@ -62,6 +65,12 @@ def finished(spark: SparkSession, job: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(job.schema).parquet(f"{path}/rows").drop(sinks.BATCH)
 
 
+def finished_by(spark: SparkSession, rows: DataFrame, write: sinks.BatchWriter, path: str, read: bool = True) -> DataFrame | None:
+    """Run a batch writer over the whole stream, and read what it stored in ``rows``."""
+    jobs.run(rows, f"{path}/state", write=write, partitions=per_core(spark))
+    return spark.read.parquet(f"{path}/rows") if read else None
+
+
 def pages(spark, d) -> DataFrame:
     """Page views in arrival order."""
     views = a.page_views(parquet(spark, d, "events"))
@@ -131,21 +140,6 @@ def lines(spark, d, last=None) -> DataFrame:
     return replay(spark, a.order_lines(spark, d), last=last)
 
 
-@query
-def stream_sku_order_window(spark, d):
-    """Netted by keyed state, windows followed; a version after its window leaves the old sum."""
-    rows = lines(spark, d, {"order_detail_id": "-", "sku_id": -1})
-    return finished(spark, jobs.sku_order_window(rows, a.REVISION_ORDER, width=DAY), "sku")
-
-
-@query
-def stream_province_order_window(spark, d):
-    province = F.pmod(F.col("order_id"), F.lit(25)).alias("province_id")
-    rows = a.order_lines(spark, d).select("*", province)
-    rows = replay(spark, rows, last={"order_detail_id": "-", "province_id": -1})
-    return finished(spark, jobs.province_order_window(rows, a.REVISION_ORDER, width=DAY), "province")
-
-
 @query
 def stream_visitor_repair(spark, d):
     """Flags repaired batch by batch, the first days kept in a table."""
@@ -180,25 +174,23 @@ def stream_late_refire(spark, d):
 
 @query
 def stream_cancel_fact(spark, d):
-    """Two streams joined within a time bound, lines of an order spread over salts.
+    """Two streams joined within the time join state is kept, lines of an order spread over salts.
 
-    The bound is the greatest distance of a line from its cancelled order in the
-    tables, looked up before the replay, so every line joins.
+    A line comes within that time of its order's cancellation, as the records of one
+    order do; its own times are those of the fact.
     """
-    def timed(rows):
-        return rows.withColumn("et", F.timestamp_seconds(F.col("ts").cast("bigint")))
-
     def timed_replay(rows):
-        return replay(spark, timed(rows), last={}, order="et").withWatermark("et", "3 seconds")
+        return replay(spark, rows, last={}, order="et").withWatermark("et", "3 seconds")
 
     cancelled = changes.status_changes(
         a.order_changes(spark, d), ["id", "user_id", "province_id", "operate_time"], changes.CANCELLED
     )
-    details = detail_fact(spark, d)
-    away = F.abs(F.unix_seconds("c.et") - F.unix_seconds("d.et"))
-    pairs = timed(cancelled).alias("c").join(timed(details).alias("d"), F.col("c.id") == F.col("d.order_id"))
-    within = pairs.agg(F.max(away)).first()[0] or 0
-    joined = facts.order_cancel(timed_replay(cancelled), timed_replay(details), within=within, salts=3)
+    cancelled = cancelled.withColumn("et", F.timestamp_seconds(F.col("ts").cast("bigint")))
+    orders = cancelled.select(F.col("id").alias("order_id"), F.col("et").alias("_near"))
+    details = detail_fact(spark, d, orders.select("order_id")).join(orders, "order_id")
+    near = F.pmod(F.xxhash64("id"), F.lit(2 * facts.JOIN_STATE_SECONDS)) - facts.JOIN_STATE_SECONDS
+    details = details.withColumn("et", F.timestamp_seconds(F.unix_seconds("_near") + near)).drop("_near")
+    joined = facts.order_cancel(timed_replay(cancelled), timed_replay(details), within=facts.JOIN_STATE_SECONDS, salts=3)
     return finished(spark, joined, "cancels")
 
 
@@ -218,32 +210,10 @@ for name in ("order", "payment", "cart_uu", "page_view", "home_detail_uv", "logi
 ORACLE["stream_refund_window"] = (
     f"select * exclude (category1_name, category2_name, category3_name, trademark_name) from ({ORACLE['refund_window']})"
 )
-ORACLE["stream_cancel_fact"] = f"""
-select f.* from ({ORACLE['order_cancel_fact']}) f
-where abs(cast(f.ts as bigint) - epoch(cast(cancel_time as timestamp))) <= {WITHIN_DAYS * 86_400}"""
+ORACLE["stream_cancel_fact"] = ORACLE["order_cancel_fact"]
 ORACLE["stream_log_split"] = f"""
 select * from ({ORACLE['log_split_counts']}) where n > 0
 union all select 'reject', count(*) from events where event_id % 10 = 9 having count(*) > 0"""
 ORACLE["stream_visitor_repair"] = ORACLE["visitor_repair"]
 ORACLE["stream_revision_netting"] = ORACLE["revision_netting"]
-# A version cancels the one before it while that one is ahead of the watermark: within
-# its part of the replay, and over its end for rows of the last three seconds.
-PARTED = f"""
-{LINES},
-ends as (select min(epoch_us(ts)) as low, greatest(1, max(epoch_us(ts)) - min(epoch_us(ts))) as wide from ol),
-pt as (select ol.*, least(floor((epoch_us(ts) - low) / wide * {PARTS}), {PARTS - 1}) as part from ol, ends),
-nw as (select *, row_number() over (partition by order_detail_id, part order by ts desc, l_partkey desc, l_suppkey desc) = 1 as held,
-              max(ts) over (partition by part) as top from pt),
-nx as (select order_detail_id, part, lead(part) over (partition by order_detail_id order by part) as next from nw where held),
-lp as (select nw.*, case when held and not coalesce(next = part + 1 and ts > top - interval 3 second, false) then 1 else 0 end as last
-       from nw join nx using (order_detail_id, part))"""
-ORACLE["stream_sku_order_window"] = f"""
-with {PARTED}
-select {bounds('ts', '1 day')}, sku_id, cast(sum(last * original_amount) as bigint) as original_amount,
-       cast(sum(last * activity_amount) as bigint) as activity_amount, cast(sum(last * coupon_amount) as bigint) as coupon_amount,
-       cast(sum(last * order_amount) as bigint) as order_amount from lp group by all"""
-ORACLE["stream_province_order_window"] = f"""
-with {PARTED}
-select {bounds('ts', '1 day')}, order_id % 25 as province_id, count(distinct order_id) as order_count,
-       cast(sum(last * order_amount) as bigint) as order_amount from lp group by all"""
 ORACLE["stream_late_refire"] = f"select {bounds('ts', '1 hour')}, count(*) as n from events group by all"
