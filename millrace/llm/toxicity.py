@@ -1,8 +1,8 @@
 """Toxicity by a classifier chain.
 
 Categories are predicted one after the other. Each is a linear (logistic) model
-over the words of a text, their beginnings and a few shape figures; from the
-second on it also sees the probabilities of the categories before it. Those are
+over the shares that words and beginnings of words have in a text, and a few shape
+figures; from the second on it also sees the probabilities of the categories before it. Those are
 out-of-fold predictions while it is trained, so it learns from the errors that
 the earlier models make on unseen texts.
 
@@ -17,6 +17,7 @@ repeated rows are scored alike; extra columns are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -86,6 +87,27 @@ def _predict(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30)))
 
 
+def matrix_of(texts: Sequence[str | None], terms: dict[bytes, int]) -> np.ndarray:
+    """Shape figures and the share of each term among a text's words (log of 1 + per cent), a row per text.
+
+    A share tells a text that keeps using a word from one that happens to hold it.
+    """
+    x = np.zeros((len(texts), 4 + len(terms)))
+    starts = {n: {t[2:]: 4 + c for t, c in terms.items() if t.startswith(b"%d:" % n)} for n in STARTS}
+    for i, text in enumerate(texts):
+        raw = (text or "").encode("utf-8", "replace")
+        words = raw.translate(_FOLD).split()
+        counts = Counter(words)
+        x[i, :4] = shape(raw, words, len(counts))
+        for word in counts.keys() & terms.keys():
+            x[i, 4 + terms[word]] += counts[word]
+        for n, known in starts.items():
+            for word in [w for w in counts if w[:n] in known and len(w) > n]:
+                x[i, known[word[:n]]] += counts[word]
+        x[i, 4:] = np.log1p(x[i, 4:] * (100 / max(1, len(words))))
+    return x
+
+
 @dataclass
 class Chain:
     """Categories in order with their weights over shape, terms and earlier probabilities, and cuts."""
@@ -96,18 +118,7 @@ class Chain:
     cuts: list[float]
 
     def matrix(self, texts: Sequence[str | None]) -> np.ndarray:
-        x = np.zeros((len(texts), 4 + len(self.terms)))
-        starts = [n for n in STARTS if any(t.startswith(b"%d:" % n) for t in self.terms)]
-        for i, text in enumerate(texts):
-            raw = (text or "").encode("utf-8", "replace")
-            words = raw.translate(_FOLD).split()
-            distinct = set(words)
-            x[i, :4] = shape(raw, words, len(distinct))
-            hits = distinct & self.terms.keys()
-            for n in starts:
-                hits |= {b"%d:" % n + s for s in {w[:n] for w in distinct if len(w) > n}} & self.terms.keys()
-            x[i, [4 + self.terms[t] for t in hits]] = 1.0
-        return x
+        return matrix_of(texts, self.terms)
 
     def probabilities(self, x: np.ndarray) -> np.ndarray:
         found = np.zeros((len(x), 0))
@@ -177,7 +188,7 @@ def fit_chain(
         return pd.DataFrame({"shape": [r[0] for r in rows], "terms": [list(r[1]) for r in rows]})
 
     sample = documents.select("doc_id", "text").join(chosen, "doc_id")
-    sample = sample.select("doc_id", *[f"_l{i}" for i in range(len(named))], parse("text").alias("_t"))
+    sample = sample.select("doc_id", "text", *[f"_l{i}" for i in range(len(named))], parse("text").alias("_t"))
     sample = settle(sample.withColumn("_row", F.monotonically_increasing_id()), "labelled")
     marks = [f"_l{i}" for i in range(len(named))]
     sizes = sample.agg(F.count("*"), *[f(m) for m in marks for f in (F.count, F.sum)]).first()
@@ -195,16 +206,18 @@ def fit_chain(
         best = terms.filter(F.col("n") >= MIN_TEXTS).select("term", z.alias("z")).filter(F.col("z") >= MIN_Z)
         for row in best.orderBy(F.desc("z"), "term").limit(TERMS).collect():
             kept.setdefault(bytes(row["term"]), len(kept))
-    names = F.array(*[F.lit(bytearray(t)) for t in kept]) if kept else F.array().cast("array<binary>")
-    picked = sample.select(
-        "doc_id", *marks, "_t.shape", F.array_intersect("_t.terms", names).alias("hits"), F.xxhash64("doc_id", F.lit(7)).alias("fold"), "_row"
-    ).collect()
+
+    @F.pandas_udf("struct<columns:array<int>,values:array<double>>")
+    def counted(texts: pd.Series) -> pd.DataFrame:
+        rows = [matrix_of([t], kept)[0] for t in texts]
+        return pd.DataFrame({"columns": [np.flatnonzero(r) for r in rows], "values": [r[r != 0] for r in rows]})
+
+    picked = sample.select("doc_id", *marks, counted("text").alias("x"), F.xxhash64("doc_id", F.lit(7)).alias("fold"), "_row").collect()
     picked.sort(key=lambda r: (r["doc_id"], r["_row"]))
     x = np.zeros((len(picked), 4 + len(kept)))
     y = np.full((len(picked), len(marks)), np.nan)
     for i, r in enumerate(picked):
-        x[i, :4] = r["shape"]
-        x[i, [4 + kept[bytes(t)] for t in r["hits"]]] = 1.0
+        x[i, r["x"]["columns"]] = r["x"]["values"]
         y[i] = [np.nan if r[m] is None else r[m] for m in marks]
     weights, cuts, _ = fit_chain_arrays(x, y, np.array([r["fold"] % folds for r in picked], dtype=int))
     return Chain(list(categories), kept, weights, cuts)
