@@ -60,13 +60,12 @@ def flag(condition: Column) -> Column:
 
 
 def overlay(*maps: Column, kind: str = "map<string,string>") -> Column:
-    """Merge maps left to right; where a key repeats, the later map wins."""
-    empty = F.create_map().cast(kind)
-
-    def put(lower: Column, upper: Column) -> Column:
-        return F.map_concat(F.map_filter(lower, lambda k, _: ~F.map_contains_key(upper, k)), upper)
+    """Merge maps left to right; where a key repeats, the later map wins.
 
-    return reduce(put, [F.coalesce(m, empty) for m in maps])
+    Needs the session setting of ``configure`` by which the last of equal keys counts.
+    """
+    empty = F.create_map().cast(kind)
+    return F.map_concat(*[F.coalesce(m, empty) for m in maps])
 
 
 def to_snake(name: str) -> str:

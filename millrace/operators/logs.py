@@ -7,12 +7,12 @@ set by ``configure``).
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import overlay
+from millrace.functions.columns import flag, overlay
 from millrace.operators.scale import join_per_key
 from millrace.schemas import PAGE_VIEW
 
@@ -51,17 +51,26 @@ def _opened(df: DataFrame, value: str, *keep: str) -> DataFrame:
     return df.select(*keep, F.col(value).alias("_raw"), F.inline(F.array(F.struct(F.try_parse_json(value).alias("_rec")))))
 
 
+#: An object, whatever it holds: a cast to it opens no fields.
+ANY_OBJECT = "struct<_:variant>"
+
+
 def _sectioned(df: DataFrame, value: str, *keep: str) -> DataFrame:
-    """Log sections of every record, and why it does not fit (``_reason``, null if it does)."""
-    kinds = {**{s: FIELDS for s in SECTIONS}, **{s: f"array<{FIELDS}>" for s in LISTS}, "ts": "bigint"}
-    rows = _opened(df, value, *keep).select(
-        *keep, "_raw", _get("$", FIELDS).alias("fields"), *[_get(f"$.{s}", k).alias(s) for s, k in kinds.items()]
+    """Log sections of every record, and why it does not fit (``_reason``, null if it does).
+
+    Whether a section fits is told without opening it, so a reader of few columns
+    opens only those.
+    """
+    shapes = {**{s: (FIELDS, ANY_OBJECT) for s in SECTIONS}, **{s: (f"array<{FIELDS}>", f"array<{ANY_OBJECT}>") for s in LISTS}, "ts": ("bigint", "bigint")}
+    reason = F.when(_get("$", ANY_OBJECT).isNull(), "not an object")
+    for name, (_, shape) in shapes.items():
+        given = _get(f"$.{name}", "variant")
+        reason = reason.when(given.isNotNull() & ~F.is_variant_null(given) & _get(f"$.{name}", shape).isNull(), name)
+    sizes = [F.size(F.coalesce(_get(f"$.{s}", shapes[s][1]), F.array().cast(shapes[s][1]))).alias(f"n_{s}") for s in LISTS]
+    return _opened(df, value, *keep).select(
+        *keep, "_raw", _get("$", FIELDS).alias("fields"), *[_get(f"$.{s}", kind).alias(s) for s, (kind, _) in shapes.items()], *sizes,
+        reason.alias("_reason"),
     )
-    reason = F.when(F.col("fields").isNull(), "not an object")
-    for name in kinds:
-        given = F.col("fields")[name]
-        reason = reason.when(given.isNotNull() & ~F.is_variant_null(given) & F.col(name).isNull(), name)
-    return rows.withColumn("_reason", reason)
 
 
 def parse_logs(df: DataFrame, value: str = "value") -> DataFrame:
@@ -98,10 +107,16 @@ def _time() -> Column:
 
 def _spread(df: DataFrame, entries: str, own_time: bool):
     """One row per array entry, overlaid by the common and then the page section."""
-    layers = [F.col("_entry"), F.col("common"), *([] if own_time else [_time()]), F.col("page")]
-    rows = df.filter(F.col("start").isNull())
-    rows = rows.select(F.explode(entries).alias("_entry"), "common", "page", "ts")
-    return rows.select(overlay(*layers, kind=FIELDS).alias("record"))
+    above = overlay(F.col("common"), *([] if own_time else [_time()]), F.col("page"), kind=FIELDS)
+    rows = df.filter(F.col("start").isNull()).select(F.explode(entries).alias("_entry"), above.alias("_above"))
+    return rows.select(overlay(F.col("_entry"), F.col("_above"), kind=FIELDS).alias("record"))
+
+
+def _record(*without: str) -> Column:
+    """A record's fields but for some, with the common section as it was read or repaired."""
+    kept = F.map_filter("fields", lambda k, _: ~k.isin("common", *without))
+    common = F.when(F.col("common").isNotNull(), F.create_map(F.lit("common"), F.to_variant_object("common")))
+    return F.map_concat(kept, F.coalesce(common, F.create_map().cast(FIELDS)))
 
 
 def split_logs(df: DataFrame) -> dict[str, DataFrame]:
@@ -109,18 +124,30 @@ def split_logs(df: DataFrame) -> dict[str, DataFrame]:
 
     A start record goes to ``start`` alone. Any other record may feed several of
     ``display`` and ``action`` (one row per entry, as a merged map), ``error``
-    (the record without its entries) and ``page`` (also without the error).
+    (the record without its entries) and ``page`` (also without the error). These two
+    give the sections and, in ``record``, every field the record came with.
     """
     other = df.filter(F.col("start").isNull())
+    error, page = _record(*LISTS).alias("record"), _record(*LISTS, "error").alias("record")
     return {
         "start": df.filter(F.col("start").isNotNull()),
         "display": _spread(df, "displays", own_time=False),
         "action": _spread(df, "actions", own_time=True),
-        "error": other.filter(F.col("error").isNotNull()).select("common", "page", "error", "ts"),
-        "page": other.filter(F.col("page").isNotNull()).select("common", "page", "ts"),
+        "error": other.filter(F.col("error").isNotNull()).select("common", "page", "error", "ts", error),
+        "page": other.filter(F.col("page").isNotNull()).select("common", "page", "ts", page),
     }
 
 
+def output_counts(df: DataFrame) -> DataFrame:
+    """Rows that each output of a parsed log gets, without making them."""
+    whole = {"start": "start", "error": "error", "page": "page"}
+    other = F.col("start").isNull()
+    counts = {o: flag(F.col(c).isNotNull() & (F.lit(True) if o == "start" else other)) for o, c in whole.items()}
+    counts |= {o: F.when(other, F.col(f"n_{s}")).otherwise(0).cast("bigint") for o, s in (("display", "displays"), ("action", "actions"))}
+    each = F.array(*[F.struct(F.lit(o).alias("output"), c.alias("n")) for o, c in counts.items()])
+    return df.select(F.inline(each)).filter("n > 0").groupBy("output").agg(F.sum("n").alias("n"))
+
+
 TAGGED = "array<struct<output:string,value:string>>"
 
 
@@ -134,39 +161,50 @@ def tag_outputs(df: DataFrame) -> DataFrame:
     For writing all outputs at once, partitioned by ``output``; the log is read
     and parsed a single time. Whole records keep every field they came with.
     """
-    return df.select(F.inline(_outputs()))
+    return _with_bases(df).select(F.inline(_outputs()))
+
+
+OUTPUTS = ("start", "display", "action", "error", "page", "reject")
+
 
+def _with_bases(df: DataFrame) -> DataFrame:
+    """What the entries of a record are overlaid by, once per record."""
+    return df.withColumns({
+        "_above_display": overlay(F.col("common"), _time(), F.col("page"), kind=FIELDS),
+        "_above_action": overlay(F.col("common"), F.col("page"), kind=FIELDS),
+    })
+
+
+def _outputs(wanted: Sequence[str] = OUTPUTS) -> Column:
+    none = F.array().cast(TAGGED)
 
-def _outputs() -> Column:
     def single(output: str, present: str, *without: str) -> Column:
-        kept = F.map_filter("fields", lambda k, _: ~k.isin("common", *without))
-        common = F.when(F.col("common").isNotNull(), F.create_map(F.lit("common"), F.to_variant_object("common")))
-        record = F.map_concat(kept, F.coalesce(common, F.create_map().cast(FIELDS)))
-        found = F.when(F.col(present).isNotNull(), F.array(_tagged(output, record)))
-        return F.coalesce(found, F.array().cast(TAGGED))
-
-    def each(output: str, entries: str, stamp: bool) -> Column:
-        layers = [F.col("common"), *([_time()] if stamp else []), F.col("page")]
+        found = F.when(F.col(present).isNotNull(), F.array(_tagged(output, _record(*without))))
+        return F.coalesce(found, none) if output in wanted else none
+
+    def each(output: str, entries: str) -> Column:
         listed = F.coalesce(entries, F.array().cast(f"array<{FIELDS}>"))
-        return F.transform(listed, lambda e: _tagged(output, overlay(e, *layers, kind=FIELDS)))
+        made = F.transform(listed, lambda e: _tagged(output, overlay(e, F.col(f"_above_{output}"), kind=FIELDS)))
+        return made if output in wanted else none
 
     other = F.concat(
-        each("display", "displays", True), each("action", "actions", False),
-        single("error", "error", *LISTS), single("page", "page", *LISTS, "error"),
+        each("display", "displays"), each("action", "actions"), single("error", "error", *LISTS), single("page", "page", *LISTS, "error")
     )
     return F.when(F.col("start").isNotNull(), single("start", "start")).otherwise(other)
 
 
-def tag_records(df: DataFrame, value: str = "value", repair=None) -> DataFrame:
+def tag_records(df: DataFrame, value: str = "value", repair=None, wanted: Sequence[str] = OUTPUTS) -> DataFrame:
     """Raw text to tagged outputs; what does not fit comes out as ``reject``, text and reason.
 
-    ``repair`` may work on the parsed log before it is split.
+    ``repair`` may work on the parsed log before it is split. Outputs that are not
+    ``wanted`` are not made.
     """
     rows = _sectioned(df, value)
     rows = repair(rows) if repair else rows
     told = F.struct(F.col("_raw").alias("value"), F.col("_reason").alias("reason"))
     reject = F.array(F.struct(F.lit("reject").alias("output"), F.to_json(told).alias("value")))
-    return rows.select(F.inline(F.when(F.col("_reason").isNotNull(), reject).otherwise(_outputs())))
+    refused = reject if "reject" in wanted else F.array().cast(TAGGED)
+    return _with_bases(rows).select(F.inline(F.when(F.col("_reason").isNotNull(), refused).otherwise(_outputs(wanted))))
 
 
 def first_days(df: DataFrame, device: str = "mid", is_new: str = "is_new", order=("ts",)) -> DataFrame:

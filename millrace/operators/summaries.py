@@ -49,13 +49,34 @@ def page_view_parts(pages: DataFrame, visits: DataFrame) -> DataFrame:
 def page_view_window(pages: DataFrame, width: str = WINDOW, order: Sequence[str] = ("ts",)) -> DataFrame:
     """Visitors, sessions, views and time per version, channel, area and visitor kind.
 
-    First visits are found by an aggregate over the narrow visit columns and
-    added to the sums, so page rows themselves are never sorted by device.
+    Pages are read once: one aggregate holds the sums per window and, beside them,
+    the first row of each device and day, which is then counted in its window. Both
+    are reduced before the shuffle, and no device's rows are sorted.
     """
-    visits = first_row_of_day(pages, ["mid"], order, PAGE_DIMS)
-    return sum_by_window(
-        page_view_parts(pages, visits), PAGE_DIMS, ["uv_ct", "sv_ct", "pv_ct", "dur_sum"], width
+    timed = pages.withColumn("win", tumble("ts", width))
+    kinds = {c: timed.schema[c].dataType for c in ("win", *PAGE_DIMS, "mid")}
+    own, zero = {c: F.col(c) for c in kinds}, F.lit(0).cast("bigint")
+    none = {c: F.lit(None).cast(k) for c, k in kinds.items()}
+    first = F.struct(*order, "win", *PAGE_DIMS)
+    kind_of_first = timed.select(first.alias("f")).schema["f"].dataType
+
+    def row(visit: bool, keys: dict, device: Column, day: Column, opening: Column, *measures: Column) -> Column:
+        named = [keys[c].alias(c) for c in ("win", *PAGE_DIMS)]
+        sums = [m.alias(n) for n, m in zip(("sv_ct", "pv_ct", "dur_sum"), measures)]
+        return F.struct(F.lit(visit).alias("visit"), *named, device.alias("mid"), day.alias("day"), opening.alias("first"), *sums)
+
+    view = row(
+        False, own, none["mid"], F.lit(None).cast("date"), F.lit(None).cast(kind_of_first),
+        flag(blank(F.col("last_page_id"))), F.lit(1).cast("bigint"), F.coalesce(F.col("during_time").cast("bigint"), zero),
     )
+    visit = row(True, none, own["mid"], F.to_date(order[0]), first, zero, zero, zero)
+    both = timed.select(F.inline(F.array(view, visit)))
+    reduced = both.groupBy("visit", "win", *PAGE_DIMS, "mid", "day").agg(
+        F.min("first").alias("first"), *[F.sum(c).alias(c) for c in ("sv_ct", "pv_ct", "dur_sum")]
+    )
+    placed = [F.when(F.col("visit"), F.col(f"first.{c}")).otherwise(F.col(c)).alias(c) for c in ("win", *PAGE_DIMS)]
+    parts = reduced.select(*placed, flag(F.col("visit")).alias("uv_ct"), "sv_ct", "pv_ct", "dur_sum")
+    return stamp(parts.groupBy("win", *PAGE_DIMS).agg(*[F.sum(c).alias(c) for c in ("uv_ct", "sv_ct", "pv_ct", "dur_sum")]))
 
 
 def home_detail_parts(visits: DataFrame) -> DataFrame:

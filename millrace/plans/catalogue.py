@@ -414,7 +414,7 @@ def json_valid(spark, d):
 
 @query
 def log_split_counts(spark, d):
-    return logs.tag_outputs(logs.parse_logs(raw(spark, d))).groupBy("output").agg(F.count("*").alias("n"))
+    return logs.output_counts(logs.parse_logs(raw(spark, d)))
 
 
 def entries(spark, d, output, names):
@@ -462,7 +462,7 @@ def log_outputs(spark, d):
 @query
 def page_view_from_log(spark, d):
     """Raw text, split, page text, summary."""
-    pages = logs.tag_records(raw(spark, d)).filter("output = 'page'")
+    pages = logs.tag_records(raw(spark, d), wanted=["page"])
     views = logs.parse_page_views(pages, extra={"seq": ("$.seq", "bigint")})
     return summaries.page_view_window(views, HOUR, ("ts", "seq"))
 

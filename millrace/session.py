@@ -16,6 +16,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Of a key that a JSON object repeats, the last value counts.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # Maps are overlaid in order: the last of equal keys counts.
+    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     # A measured build side this small per partition is hashed instead of sorted.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.streaming.stateStore.providerClass": (

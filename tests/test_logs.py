@@ -88,8 +88,23 @@ def test_split_overlays_in_order(spark):
     acted = values(parts["action"])[0]
     # The page section is applied last, also over the time of the action.
     assert acted["vc"] == "v1" and acted["ts"] == "7" and acted["action_id"] == "a"
-    assert parts["error"].columns == ["common", "page", "error", "ts"]
-    assert parts["page"].columns == ["common", "page", "ts"]
+    assert parts["error"].columns == ["common", "page", "error", "ts", "record"]
+    assert parts["page"].columns == ["common", "page", "ts", "record"]
+    assert set(values(parts["error"])[0]) == set(full()) - {"displays", "actions"}
+    assert set(values(parts["page"])[0]) == set(full()) - {"displays", "actions", "error"}
+
+
+def test_whole_records_keep_unknown_keys(spark):
+    record = {**full(), "later": {"a": [1, "x"]}}
+    parts = logs.split_logs(logs.parse_logs(raw(spark, record)))
+    assert values(parts["error"])[0]["later"] == {"a": [1, "x"]} == values(parts["page"])[0]["later"]
+    assert values(parts["page"])[0]["common"] == COMMON
+
+
+def test_output_counts_are_those_of_the_outputs(spark):
+    df = logs.parse_logs(raw(spark, full(), {**full(), "start": {"entry": "icon"}}, {"common": COMMON, "ts": 1, "displays": [], "actions": None}))
+    counts = {r.output: r.n for r in logs.output_counts(df).collect()}
+    assert counts == {k: v.count() for k, v in logs.split_logs(df).items() if v.count()}
 
 
 def test_action_keeps_its_time_without_page(spark):
