@@ -9,14 +9,18 @@ nodes with the greatest sum of log-odds in which no node is kept below one that
 is dropped, so an ancestor and a descendant never contradict each other.
 
 The trees are trained here, on generated pages with labelled nodes (``training``):
-page furniture in many layouts, in semantic and in plain markup.
+page furniture in many layouts, in semantic and in plain markup, with names that
+tell, that tell nothing and that mislead.
 
 Defined cases: null or empty html gives empty text; a page without markup is one
 block; unclosed and crossed elements end with the element around them (head with
 the first text or element that cannot stand in it, other raw elements at the next
 block, script, style, textarea and title with the page); what
 follows an unfinished tag is markup; rows with equal or null page_id stay
-separate; an empty table gives no rows; extra columns are ignored.
+separate; an empty table gives no rows; extra columns are ignored. A quote inside an
+unquoted attribute value is part of it; a quoted value ends at the next quote of its
+kind or, without one, as if it were unquoted. Mathematics and a button inside a
+paragraph are text; other buttons are parts of forms.
 """
 
 from __future__ import annotations
@@ -24,6 +28,7 @@ from __future__ import annotations
 import html
 import re
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -32,7 +37,7 @@ from pyspark.sql import functions as F
 
 # Elements of the HTML standard by role.
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
-RAW = set("script style textarea title noscript iframe template svg math select button head object audio video canvas".split())
+RAW = set("script style textarea title noscript iframe template svg annotation annotation-xml select button head object audio video canvas".split())
 # To the end of the page if left open; elements that can stand in head, whose end tag may be left out.
 TO_END = set("script style textarea title".split())
 IN_HEAD = set("title meta link base script style noscript template".split())
@@ -67,14 +72,28 @@ _FLAG = {word: 1 << i for i, words in enumerate(TOKENS.values()) for word in wor
 _TAG_FLAG = {"nav": "nav", "footer": "foot", "header": "head", "aside": "side", "form": "form", "article": "main", "main": "main"}
 TAG_FLAG = {tag: 1 << list(TOKENS).index(group) for tag, group in _TAG_FLAG.items()}
 _LABEL_FLAG = 1 << 20
-
-_MARK = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"(class|id|role|style|hidden|aria-label|itemprop|data-y)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+#: A name that is one telling word and nothing else; such a word may be chance in a longer name ("more-text").
+_WHOLE = 1 << len(TOKENS)
+
+# An attribute's name, and its value: quoted up to the next quote of its kind, or else up to white space or the tag's end.
+_NAMED = r"[^\s/>][^\s/>=]*+"
+_VALUE = r"\"[^\"]*\"|'[^']*'|[^\s>]*+"
+_MARK = re.compile(
+    rf"<!--.*?(?:-->|\Z)|<(?:[!?]|/(?![A-Za-z]))[^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*+)((?:[\s/]++|{_NAMED}(?:\s*+=\s*+(?:{_VALUE}))?+)*+)(?:>|\Z)", re.S
+)
+_ATTRIBUTE = re.compile(rf"({_NAMED})(?:\s*+=\s*+({_VALUE}))?+")
+_TELLING = {"class", "id", "role", "style", "aria-label", "itemprop"}
+_UNQUOTED_END = re.compile(r"=\s*[^\s\"'>][^\s>]*\Z|=\s*/\Z")
 _WORD = re.compile(r"[a-z]+")
 _RAW_END = {tag: re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I) for tag in RAW}
 _TEXT = re.compile(r"[^\s<]")
 
 
+def _closes_itself(said: str | None) -> bool:
+    """Whether a tag ends in a slash that is no part of an attribute's value."""
+    return bool(said) and said.endswith("/") and not _UNQUOTED_END.search(said)
+
+
 def _raw_end(source: str, tag: str, at: int, around: set[str]) -> int:
     """Where a raw element that begins before ``at`` ends.
 
@@ -107,7 +126,7 @@ def _raw_end(source: str, tag: str, at: int, around: set[str]) -> int:
                 misfit = m.start()
             if found in BLOCK and found not in VOID:
                 opened.append(found)
-            if found in (IN_HEAD & RAW if head else TO_END) and not (m[3] or "").endswith("/"):
+            if found in (IN_HEAD & RAW if head else TO_END) and not _closes_itself(m[3]):
                 at = _raw_end(source, found, at, around | {"head"})
 
 
@@ -168,8 +187,8 @@ def parse(source: str | None) -> Page:
             elif tag == "a":
                 depth = 0
             continue
-        if tag in RAW:
-            if not (m[3] or "").endswith("/"):
+        if tag in RAW and not (tag == "button" and page.tag[stack[-1]] == "p"):
+            if not _closes_itself(m[3]):
                 at = _raw_end(source, tag, at, {page.tag[i] for i in stack[1:]})
             continue
         if tag == "a":
@@ -207,10 +226,14 @@ def parse(source: str | None) -> Page:
                 if name == "data-y":
                     flags |= _LABEL_FLAG
                 elif name == "hidden":
-                    flags |= _FLAG["hidden"]
-                else:
-                    for word in _WORD.findall(value.lower()):
-                        flags |= _FLAG.get(word, 0)
+                    flags |= _FLAG["hidden"] | _WHOLE
+                elif name in _TELLING:
+                    for part in value.lower().strip("\"'").split():
+                        found = _WORD.findall(part)
+                        for word in found:
+                            flags |= _FLAG.get(word, 0)
+                        if len(found) == 1 and found[0] in _FLAG and found[0] not in TOKENS["main"]:
+                            flags |= _WHOLE
         made = node(tag, flags)
         if tag not in VOID:
             stack.append(made)
@@ -220,8 +243,8 @@ def parse(source: str | None) -> Page:
 
 GROUPS = len(TOKENS)
 _TAG_PLACE = {t: i for i, t in enumerate(TAGS)}
-FEATURES = len(TAGS) + 1 + 2 * GROUPS + 16
-_FLAG_BITS = (1 << np.arange(GROUPS)).astype(np.int64)
+FEATURES = len(TAGS) + 1 + 2 * (GROUPS + 1) + 16
+_FLAG_BITS = (1 << np.arange(GROUPS + 1)).astype(np.int64)
 
 
 def features(page: Page) -> np.ndarray:
@@ -263,10 +286,10 @@ def features(page: Page) -> np.ndarray:
     x = np.zeros((n, FEATURES), dtype=np.float32)
     x[np.arange(n), [_TAG_PLACE.get(t, len(TAGS)) for t in page.tag]] = 1
     at = len(TAGS) + 1
-    x[:, at : at + GROUPS] = (np.array(page.flags)[:, None] & _FLAG_BITS) > 0
-    at += GROUPS
-    x[:, at : at + GROUPS] = (np.array(above)[:, None] & _FLAG_BITS) > 0
-    at += GROUPS
+    x[:, at : at + GROUPS + 1] = (np.array(page.flags)[:, None] & _FLAG_BITS) > 0
+    at += GROUPS + 1
+    x[:, at : at + GROUPS + 1] = (np.array(above)[:, None] & _FLAG_BITS) > 0
+    at += GROUPS + 1
     one = np.maximum(c, 1)
     shown = np.column_stack([
         d, np.log1p(c), k / one, s / one, w / one, c / (e + 1), np.log1p(e), r, siblings, siblings[up], same / np.maximum(siblings[up], 1),
@@ -297,11 +320,12 @@ class Trees:
         return found
 
 
-def fit_trees(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 4, rate: float = 0.2, bins: int = 24, ridge: float = 2.0) -> Trees:
+def fit_trees(x: np.ndarray, y: np.ndarray, trees: int = 150, depth: int = 5, rate: float = 0.2, bins: int = 24, ridge: float = 2.0) -> Trees:
     """Gradient boosting of the logistic loss with second-order leaf values, over quantile bins."""
     n, d = x.shape
     edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1])) for j in range(d)]
-    coded = np.column_stack([np.searchsorted(e, x[:, j], side="left") for j, e in enumerate(edges)])
+    marks = {j: np.flatnonzero(x[:, j]) for j in range(d) if ((x[:, j] == 0) | (x[:, j] == 1)).all()}
+    coded = {j: np.searchsorted(e, x[:, j], side="left") for j, e in enumerate(edges) if j not in marks}
     base = float(np.log((y.mean() + 1e-6) / (1 - y.mean() + 1e-6)))
     odds, inner, wide = np.full(n, base), (1 << depth) - 1, bins + 1
     feature, cut, value = (np.zeros((trees, inner), dtype=np.int64), np.full((trees, inner), np.inf), np.zeros((trees, inner + 1)))
@@ -311,21 +335,24 @@ def fit_trees(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 4, rat
         at = np.zeros(n, dtype=np.int64)
         for level in range(depth):
             first, width = (1 << level) - 1, 1 << level
-            best = np.full(width, 1e-3)
+            best, base_at = np.full(width, 1e-3), at - first
+            ga, ha = np.bincount(base_at, g, width)[:, None], np.bincount(base_at, h, width)[:, None]
             for j in range(d):
-                if not len(edges[j]):
-                    continue
-                key = (at - first) * wide + coded[:, j]
-                gs = np.bincount(key, g, width * wide).reshape(width, wide).cumsum(axis=1)
-                hs = np.bincount(key, h, width * wide).reshape(width, wide).cumsum(axis=1)
-                ga, ha = gs[:, -1:], hs[:, -1:]
+                if j in marks:
+                    # A mark has one cut; the rows that have it give the right side.
+                    rows, cuts = marks[j], np.zeros(1)
+                    gs = ga - np.bincount(base_at[rows], g[rows], width)[:, None]
+                    hs = ha - np.bincount(base_at[rows], h[rows], width)[:, None]
+                else:
+                    key, cuts = base_at * wide + coded[j], edges[j]
+                    gs = np.bincount(key, g, width * wide).reshape(width, wide).cumsum(axis=1)[:, : len(cuts)]
+                    hs = np.bincount(key, h, width * wide).reshape(width, wide).cumsum(axis=1)[:, : len(cuts)]
                 gain = gs**2 / (hs + ridge) + (ga - gs) ** 2 / (ha - hs + ridge) - ga**2 / (ha + ridge)
-                gain = gain[:, : len(edges[j])]
                 top = gain.argmax(axis=1)
                 better = gain[np.arange(width), top] > best
                 best[better] = gain[np.arange(width), top][better]
                 feature[t, first : first + width][better] = j
-                cut[t, first : first + width][better] = edges[j][top[better]]
+                cut[t, first : first + width][better] = cuts[top[better]]
             at = 2 * at + 1 + (x[np.arange(n), feature[t][at]] > cut[t][at])
         leaf = at - inner
         value[t] = rate * np.bincount(leaf, g, inner + 1) / (np.bincount(leaf, h, inner + 1) + ridge)
@@ -350,10 +377,19 @@ def decode(parent: list[int], odds: np.ndarray) -> np.ndarray:
 # ---- training pages -----------------------------------------------------------------
 
 
-def generated_page(r: np.random.Generator) -> str:
-    """A page in a random layout; elements marked ``data-y`` hold only main text, or nothing below them counts."""
+LETTERS = "aeiourstnlmdk"
+
+
+def generated_page(r: np.random.Generator, silent: bool = False) -> str:
+    """A page in a random layout; elements marked ``data-y`` hold only main text, or nothing below them counts.
+
+    The names of a ``silent`` page may tell nothing or mislead, its article may have no
+    element of its own, and may hold lists of links.
+    """
     def words(n: int) -> str:
-        return " ".join("".join(r.choice(list("aeiourstnlmdk"), size=r.integers(2, 9))) for _ in range(max(1, n)))
+        sizes = r.integers(2, 9, size=max(1, n)).tolist()
+        letters = iter(r.integers(0, len(LETTERS), size=sum(sizes)).tolist())
+        return " ".join("".join(LETTERS[next(letters)] for _ in range(k)) for k in sizes)
 
     def sentence(n: int) -> str:
         text = words(n)
@@ -368,9 +404,25 @@ def generated_page(r: np.random.Generator) -> str:
     def box(group: str, tags: str, inside: str) -> str:
         tag = str(r.choice(tags.split()))
         telling = tag in TAG_FLAG and tag not in ("article", "main")
+        if silent and group in ("nav", "foot", "head") and r.random() < 0.25:
+            return f"<{tag}{neutral()}>{inside}</{tag}>"
         said = f' {r.choice(["class", "id"])}="{pick(group)}{r.choice(["", " x1", "-wrap", " col-3"])}"' if not telling or r.random() < 0.5 else ""
         return f"<{tag}{said}>{inside}</{tag}>"
 
+    def neutral() -> str:
+        """No name, or one that tells nothing."""
+        return str(r.choice(["", "", f' id="{words(1)}"', f' class="{words(1)}"', f' id="{words(1)}-{r.integers(9)}"']))
+
+    def chance() -> str:
+        """Now and then a name in which a telling word stands by chance."""
+        if not silent:
+            return ""
+        if r.random() > 0.3:
+            return neutral() if r.random() < 0.3 else ""
+        word, other = pick(str(r.choice(list(TOKENS)))), str(r.choice("text note intro lead block first x big".split()))
+        said = f"{word}-{other}" if r.random() < 0.6 else f"{other}-{word}"
+        return f' {r.choice(["class", "id"])}="{said}"'
+
     def link(n: int = 2) -> str:
         return f'<a href="/x">{words(int(r.integers(1, n + 1)))}</a>'
 
@@ -402,30 +454,42 @@ def generated_page(r: np.random.Generator) -> str:
     def main() -> str:
         parts = [f"<h1 data-y>{words(int(r.integers(2, 12)))}</h1>"] if r.random() < 0.9 else []
         for _ in range(int(r.choice([1, 2, 3, 6, 12]))):
+            if short:
+                parts.append(f"<p data-y>{sentence(int(r.integers(2, 8)))}</p>")
+                break
             kind = r.random()
-            if kind < 0.75:
+            if kind < 0.66:
                 body = paragraph()
                 body = f"<b>{body}" if r.random() < 0.1 else body
                 body = f"{body} {link(3)} {words(4)}" if r.random() < 0.15 else body
-                parts.append(f"<p data-y>{body}" + ("</p>" if r.random() < 0.85 else ""))
-            elif kind < 0.82:
+                parts.append(f"<p{chance()} data-y>{body}" + ("</p>" if r.random() < 0.85 else ""))
+            elif kind < 0.73:
                 parts.append(f"<h2 data-y>{words(4)}</h2>")
             elif kind < 0.88:
-                parts.append("<ul data-y>" + "".join(f"<li data-y>{sentence(6)}</li>" for _ in range(3)) + "</ul>")
+                tag, linked = str(r.choice(["ul", "ol"])), silent and r.random() < 0.6
+                items = [link(6) + (f" {words(3)}" if r.random() < 0.3 else "") if linked else sentence(6) for _ in range(int(r.integers(2, 7)))]
+                parts.append(f"<{tag}{chance()} data-y>" + "".join(f"<li data-y>{x}</li>" for x in items) + f"</{tag}>")
             elif kind < 0.92:
                 parts.append(f"<blockquote data-y>{paragraph()}</blockquote>")
-            elif kind < 0.94:
+            elif kind < 0.93:
+                parts.append("<dl data-y>" + "".join(f"<dt data-y>{words(2)}</dt><dd data-y>{sentence(5)}</dd>" for _ in range(3)) + "</dl>")
+            elif kind < 0.945:
                 parts.append(f"<pre data-y>{words(8)}</pre>")
             elif kind < 0.96:
                 parts.append("<table data-y>" + "".join(f"<tr data-y><td data-y>{words(2)}</td><td data-y>{words(1)}</td></tr>" for _ in range(3)) + "</table>")
             else:
-                parts.append(f"<div data-y>{paragraph()}</div>")
+                parts.append(f"<div{chance()} data-y>{paragraph()}</div>")
+        if silent and r.random() < 0.15:
+            parts = [f"<div{neutral()} data-y>{x}</div>" for x in parts]
         for _ in range(int(r.choice([0, 0, 1, 2]))):
             parts.insert(int(r.integers(1, len(parts) + 1)), furniture("ad share notice side form comment"))
-        tag = str(r.choice(["article", "article", "article", "main", "div", "section"]))
-        said = f' class="{pick("main")}"' if tag in ("div", "section") or r.random() < 0.3 else ""
+        tag = str(r.choice(["article", "article", "article", "main", "div", "section", *(["div", ""] if silent else [])]))
+        if not tag:
+            return "".join(parts)
+        said = f' class="{pick("main")}"' if r.random() < ((0.5 if silent else 1) if tag in ("div", "section") else 0.3) else chance()
         return f"<{tag}{said} data-y>" + "".join(parts) + f"</{tag}>"
 
+    short = silent and r.random() < 0.1
     before = [furniture("head nav nav ad notice form side") for _ in range(int(r.integers(0, 5)))]
     after = [furniture("comment foot foot side ad nav notice form share") for _ in range(int(r.integers(0, 5)))]
     body = main()
@@ -449,15 +513,16 @@ def labels(page: Page) -> np.ndarray:
     return np.array(y, dtype=float)
 
 
-def training(pages: int = 500, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
-    """Feature rows and labels of generated pages."""
+def training(pages: int = 1500, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
+    """Feature rows and labels of generated pages, two of three silent."""
     r = np.random.default_rng(seed)
-    found = [parse(generated_page(r)) for _ in range(pages)]
+    found = [parse(generated_page(r, silent=i % 3 > 0)) for i in range(pages)]
     return np.vstack([features(p) for p in found]), np.concatenate([labels(p) for p in found])
 
 
+@lru_cache(1)
 def train() -> Trees:
-    """The trees used by the query; the same on every run."""
+    """The trees used by the query; the same on every run, fitted once in a process."""
     return fit_trees(*training())
 
 

@@ -64,6 +64,50 @@ def test_held_out_pages(trees):
     assert wrong <= 0.005 * runs
 
 
+def test_held_out_pages_whose_names_do_not_tell(trees):
+    r, wrong, chars = np.random.default_rng(78), 0, 0
+    for _ in range(150):
+        page = html_extract.parse(html_extract.generated_page(r, silent=True))
+        kept = html_extract.decode(page.parent, trees.log_odds(html_extract.features(page)))
+        want = html_extract.labels(page)
+        chars += sum(len(t or "") for t in page.text)
+        wrong += sum(len(t) for k, w, t in zip(kept, want, page.text) if t is not None and bool(k) != bool(w))
+    assert wrong <= 0.06 * chars
+
+
+FIRST = "The committee met on Tuesday to discuss the plan, and members agreed that further study was needed before any vote."
+SECOND = "Officials said the bridge, which was closed in March, would reopen once the inspection had been completed and signed."
+
+
+@pytest.mark.parametrize(
+    ("body", "said"),
+    [
+        (f"<div id=c1><h1>Bridge to reopen</h1></div><div id=c2><p>{FIRST}</p></div><div id=c3><p>{SECOND}</p></div>", f"Bridge to reopen\n{FIRST}\n{SECOND}"),
+        (f"<article><h1>One</h1><p class='more-text'>{FIRST}</p><p id=comment-note>{SECOND}</p></article><footer>&copy; us</footer>", f"One\n{FIRST}\n{SECOND}"),
+        (f"<article><p>{FIRST}</p><p>{SECOND}</p><ol><li><a href=/1>First source of it</a></li><li><a href=/2>Second source</a></li></ol></article>", f"{FIRST}\n{SECOND}\nFirst source of it\nSecond source"),
+        (f"<article><img alt=it's><p>{FIRST}</p><p>They don't know. {SECOND}</p></article>", f"{FIRST}\nThey don't know. {SECOND}"),
+        (f'<article><p title="a>{FIRST}</p><p>{SECOND}</p></article>', f"{FIRST}\n{SECOND}"),
+        (f"<article><p>{FIRST} So <math><mi>x</mi>=<mn>2</mn></math>. <button>Press</button> it.</p><p>{SECOND}</p></article>", f"{FIRST} So x=2. Press it.\n{SECOND}"),
+        (f"<main class='content-wrap'><p>{FIRST}</p><dl><dt>Word</dt><dd>What it means.</dd></dl><pre>x = 1</pre></main>", f"{FIRST}\nWord\nWhat it means.\nx = 1"),
+        (f"<article><p>{FIRST}</p><div class=related><ul><li><a href=/1>One</a></li></ul></div><p>{SECOND}</p><p class='ad'>Buy now.</p></article><section id=comments><p>{FIRST}</p></section>", f"{FIRST}\n{SECOND}"),
+    ],
+)
+def test_whole_articles(trees, body, said):
+    page = html_extract.parse(f"<html><body><nav><a href=/a>Home</a> <a href=/b>News</a></nav>{body}</body></html>")
+    assert html_extract.main_text(page, trees.log_odds(html_extract.features(page))) == said
+
+
+@pytest.mark.parametrize(
+    ("tag", "said"),
+    [
+        ('<p title="a>b">x', "x"), ("<p title=a'b>x<p title=c'd>y", "x\ny"), ("<p a=b/>x", "x"), ("<p =a>x", "x"), ("<p a = 'b>c' d>x", "x"), ("<p a=>x", "x"),
+        ("<p a='b' / c>x</p a='>'>y", "x\ny"), ("</3 x>y", "y"), ("<script src=/a/>p</script>x", "x"), ("<svg/>x", "x"), ("<p a='b>x", "x"), ("a <3 b", "a <3 b"),
+    ],
+)
+def test_attributes(tag, said):
+    assert "\n".join(t for t in html_extract.parse(tag).text if t is not None) == said
+
+
 def test_decoding_never_contradicts():
     r = np.random.default_rng(1)
     for _ in range(60):
