@@ -10,8 +10,8 @@ that form of the text.
 
 Defined cases: a null, empty or blank text or item matches nothing; an item
 found several times in a document is reported once, at its least distance and
-then its earliest end; equal items with different ids are all reported; rows with
-repeated or null doc_id are matched like others; an empty table gives no rows.
+then its earliest end; equal items with different ids are all reported, items
+without an id with a null item_id; rows with repeated or null doc_id are matched like others; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -131,12 +131,12 @@ class Matcher:
         return found
 
 
-def _rounds(benchmark: DataFrame, limit: int) -> list[list[tuple[int, str]]]:
+def _rounds(benchmark: DataFrame, limit: int) -> list[list[tuple[int | None, str]]]:
     """The items in rounds of at most ``limit`` bytes each (or one longer item)."""
-    items = benchmark.filter("item_id is not null and text is not null").select("item_id", "text").distinct()
-    found: list[list[tuple[int, str]]] = [[]]
+    items = benchmark.filter("text is not null").select("item_id", "text").distinct()
+    found: list[list[tuple[int | None, str]]] = [[]]
     size = 0
-    for row in items.orderBy("item_id", "text").toLocalIterator():
+    for row in items.orderBy(F.asc_nulls_first("item_id"), "text").toLocalIterator():
         text = normalise(row["text"])
         if size and size + 4 * len(text) > limit:
             found.append([])

@@ -297,6 +297,14 @@ def test_leaks_against_plain_distances(spark):
         assert plain_distance(dict(items)[x.item_id], found) == x.distance
 
 
+def test_items_without_an_id(spark):
+    said = "a passage of the benchmark that nobody gave an id"
+    docs = spark.createDataFrame([(1, f"before. {said.upper()} after"), (2, "clean"), (None, said)], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(None, said), (None, said), (7, said), (None, None)], "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id, r.distance) for r in decontaminate.leaks(docs, bench).collect()}
+    assert got == {(1, None, 0), (1, 7, 0), (None, None, 0), (None, 7, 0)} and decontaminate.leaks(docs, bench).count() == 4
+
+
 def test_a_benchmark_in_several_rounds(spark, monkeypatch):
     docs, bench = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
     whole = sorted(map(tuple, decontaminate.leaks(docs, bench).collect()))
