@@ -252,7 +252,9 @@ def links(documents: DataFrame, sketched: DataFrame, percent: int) -> DataFrame:
     texts = documents.select("doc_id", "text").join(owners.select("doc_id").distinct(), "doc_id", "left_semi")
     # Classes whose documents all lack doc_id have no owner; rows without doc_id bring their sets.
     texts = texts.unionByName(documents.filter("doc_id is null").select("doc_id", "text"))
-    sets = texts.select(F.pandas_udf(_set, _SET_TYPE)("text").alias("_s")).select("_s.*").join(wanted, ["node", "check"], "left_semi")
+    # Said not to be deterministic, or the join's null filters run it over the texts a second time, in workers of their own.
+    set_of = F.pandas_udf(_set, _SET_TYPE).asNondeterministic()
+    sets = texts.select(set_of("text").alias("_s")).select("_s.*").join(wanted, ["node", "check"], "left_semi")
     sets = settle(sets.dropDuplicates(["node"]).select("node", "found"), "sets")
     # Shingles that one class alone has: too many of them rule out any link.
     alone = sets.select("node", F.explode("found").alias("s")).groupBy("s")
