@@ -206,6 +206,18 @@ def test_components(spark):
     assert got == {**{i: 0 for i in [*range(41), *range(100, 140)]}, 300: 300, 301: 300}
 
 
+def test_sets_are_taken_from_the_texts_once(odd, monkeypatch):
+    plans, usual = {}, near_dedup.settle
+
+    def settle(df, label):
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        return usual(df, label)
+
+    monkeypatch.setattr(near_dedup, "settle", settle)
+    assert near_dedup.near_duplicates(odd).count() == odd.count()
+    assert plans["sets"].count("ArrowEvalPython") == 1
+
+
 # --- tokens --------------------------------------------------------------------------
 
 
@@ -242,6 +254,32 @@ def test_words_remembered_encode_like_whole_texts():
         assert encoder.encode(text).tolist() == plainly.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_new_words_of_many_texts_are_encoded_together():
+    from tokenizers import Tokenizer
+
+    plainly = Tokenizer.from_file(byte_tokenizer())
+    encoder = token_shards.Encoder(byte_tokenizer())
+    r = random.Random(3)
+    signs = [" "] * 12 + [", ", ". ", ".\n", "\n", "., ", "!", "$$$ ", "'s ", "  ", ".\n ", ".\n\n", " ,", "\t", "×, ", "\u00a0"]
+    words = ["".join(r.choices("abcdeéß日", k=r.randint(1, 6))) for _ in range(500)] + ["7", "x1", "İ", "ª", "²", "<|endoftext|>"]
+    texts = [None, "", *["".join(r.choice(words) + r.choice(signs) for _ in range(r.randint(0, 30))) for _ in range(400)]]
+    for text, ids in zip(texts, encoder.encode_all(texts), strict=True):
+        assert ids.tolist() == plainly.encode(text or "", add_special_tokens=False).ids, repr(text)
+
+    class Counted:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.calls = tokenizer, 0
+
+        def encode_batch_fast(self, *args, **options):
+            self.calls += 1
+            return self.tokenizer.encode_batch_fast(*args, **options)
+
+    fresh = token_shards.Encoder(byte_tokenizer())
+    fresh.tokenizer, fresh.merges = Counted(fresh.tokenizer), Counted(fresh.merges)
+    prose = [f"wörd{'abcdefghij'[i % 10] * (i // 10 + 1)}, next. Last" for i in range(100)]
+    assert len(list(fresh.encode_all(prose))) == 100 and fresh.tokenizer.calls + fresh.merges.calls <= 2
+
+
 def test_wavelet_matrix():
     r = np.random.default_rng(0)
     for ids in [np.array([], dtype=np.uint32), np.array([0]), r.integers(0, 50257, 3000), r.zipf(1.5, 5000) % 300, np.array([70000, 3, 70000])]:
