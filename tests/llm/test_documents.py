@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import textwrap
 import zlib
