@@ -21,6 +21,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from collections import deque
 from collections.abc import Iterable, Iterator, Sequence
 from itertools import chain
 
@@ -35,17 +36,17 @@ from millrace.llm.common import arrow_rows
 from millrace.session import scratch_path
 
 SHARD_TOKENS = 1 << 20
-MEMO_ENTRIES = 340_000
+MEMO_ENTRIES = 700_000
 BATCH_ROWS = 1000
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 4 << 20
 MAGIC = b"WMX1"
 BLOCK_BYTES = 64
 
 _BITS_SET = np.array([bin(b).count("1") for b in range(256)], dtype=np.uint8)
 # How a byte-level vocabulary writes bytes: printable ones as they are, the others from 256 on, in order.
 _PLAIN = {*range(33, 127), *range(161, 173), *range(174, 256)}
-_SPELLED = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _PLAIN)}
-_BLANK = _SPELLED[32]
+_SPELLED = np.arange(256, dtype="<u2")
+_SPELLED[[b for b in range(256) if b not in _PLAIN]] = np.arange(256, 512 - len(_PLAIN))
 _SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _SPACE = re.compile(r"[\s\u180e\u200b-\u200f\ufeff]")
 # A space between two white-space characters is the one kind that no piece starts or ends at.
@@ -207,13 +208,13 @@ class Encoder:
     A byte-level tokenizer cuts a text before every space that a word follows and
     after every word that a space follows, so what stands between two spaces is
     encoded on its own, with the space before it. Commas and stops after a word are
-    words of their own. Arrow cuts some texts at a time and numbers their distinct
-    words; only these are looked up. Those not met before that are letters, or letters
-    and signs after them, fall into pieces that are known beforehand and go straight to
-    the tokenizer's model, all in one call. The others are encoded together, as one
-    text. Ids are told apart by the bytes they stand for. Texts with a space inside
-    other white space are encoded whole. Two generations of words are kept; the older
-    one goes when the younger is full.
+    words of their own. Arrow cuts some texts at a time and numbers their words after
+    those remembered, so only distinct words not met before are seen one by one. Those
+    that are letters, or letters and signs after them, fall into pieces that are known
+    beforehand and go straight to the tokenizer's model, all in one call. The others are
+    encoded together, as one text. Ids are told apart by the bytes they stand for. Texts
+    with a space inside other white space are encoded whole. When more words than
+    ``entries`` are remembered, the half of them that was met most often stays.
     """
 
     def __init__(self, path: str, entries: int = MEMO_ENTRIES):
@@ -229,8 +230,10 @@ class Encoder:
         self.widths = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
         for token, ident in vocabulary.items():
             self.widths[ident] = len(token)
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        #: Words remembered, their ids, and how often they were met.
+        self.words = pa.array([], pa.string())
+        self.ids = _lists(np.zeros(0, self.kind), np.zeros(0, np.int64))
+        self.uses = np.zeros(0, dtype=np.int64)
 
     def _ids(self, text: str) -> np.ndarray:
         found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
@@ -254,97 +257,104 @@ class Encoder:
 
     def _encode_some(self, texts: list[str]) -> Iterator[np.ndarray]:
         whole = ["\0" in t or bool(_SPACED.search(t) and _INNER_SPACE.search(t)) for t in texts]
-        # The first word has no space before it; the mark keeps it apart.
-        rows = pa.array(["\0" + t for t, w in zip(texts, whole) if not w], pa.string())
-        split = pc.split_pattern(pc.if_else(pc.match_substring_regex(rows, _ODD_SIGNS), rows, _signs_apart(rows)), " ")
-        coded = split.flatten().dictionary_encode()
-        found = self._words(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
-        flat = np.frombuffer(b"".join(found), self.kind)
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // flat.itemsize
-        at = coded.indices.to_numpy()
-        lengths = sizes[at]
-        stops = np.cumsum(lengths)
-        shift = (np.cumsum(sizes) - sizes)[at] - (stops - lengths)
-        ids = flat[np.repeat(shift, lengths) + np.arange(len(at) and stops[-1])]
-        ends = iter(stops[split.offsets.to_numpy()[1:] - 1].tolist())
+        flat, stops = _cut([t for t, w in zip(texts, whole) if not w])
+        ids = self._words(flat)
+        ends = iter(ids.offsets.to_numpy()[stops].tolist())
+        flat = ids.values.to_numpy()
         start = 0
         for text, alone in zip(texts, whole):
             if alone:
                 yield self._ids(text)
             else:
                 stop = next(ends)
-                yield ids[start:stop]
+                yield flat[start:stop]
                 start = stop
 
-    def _words(self, words: list[str]) -> list[bytes]:
-        """Ids of distinct words."""
-        found = list(map(self.known.get, words))
-        missing = [i for i, ids in enumerate(found) if ids is None]
-        if missing:
-            if len(self.known) + len(missing) > self.entries:
-                self.older, self.known = self.known, {}
-            self._learn([words[i] for i in missing])
-            for i in missing:
-                found[i] = self.known[words[i]]
+    def _words(self, words: pa.Array) -> pa.ListArray:
+        """Ids of every word."""
+        coded = pa.concat_arrays([self.words, words]).dictionary_encode()
+        at = coded.indices.slice(len(self.words))
+        new = coded.dictionary.slice(len(self.words))
+        if len(new):
+            self.ids = pa.concat_arrays([self.ids, self._learn(new.to_pylist())])
+            self.words = coded.dictionary
+        found = self.ids.take(at)
+        uses = np.bincount(at.to_numpy(), minlength=len(self.words))
+        uses[: len(self.uses)] += self.uses
+        self.uses = uses
+        if len(uses) > self.entries:
+            # Of words met equally often the later ones stay.
+            kept = np.sort(np.argsort(uses, kind="stable")[len(uses) - self.entries // 2 :])
+            self.words, self.ids, self.uses = self.words.take(pa.array(kept)), self.ids.take(pa.array(kept)), uses[kept] // 2
         return found
 
-    def _learn(self, new: list[str]) -> None:
-        """Put words into the younger generation."""
-        known, older = self.known, self.older
-        #: Pieces to encode, and words with their pieces. A piece without a space before it has the mark.
-        pieces: dict[str, None] = {}
-        made: list[tuple[str, str, str]] = []
-        rest: list[str] = []
-        for word in new:
-            found = older.get(word)
-            if found is not None:
-                known[word] = found
-            elif word.isalpha():
-                pieces[word] = None
-            else:
+    def _learn(self, new: list[str]) -> pa.ListArray:
+        """Ids of distinct words, from the tokenizer."""
+        #: Pieces to encode, with their numbers. A piece without a space before it has the mark.
+        pieces: dict[str, int] = {}
+        #: Numbers of the pieces of every word, and how many of them a word has; words of no pieces.
+        order: list[int] = []
+        counts = np.ones(len(new), dtype=np.int64)
+        rest: list[int] = []
+        for i, word in enumerate(new):
+            if not word.isalpha():
                 stem = word.rstrip(_SIGNS)
                 if not (stem[1:] if stem[:1] == "\0" else stem).isalpha():
-                    rest.append(word)
-                elif len(stem) == len(word):
-                    pieces[word] = None
-                else:
-                    made.append((word, stem, "\0" + word[len(stem) :]))
-        for piece in {piece for _, *both in made for piece in both}:
-            if piece not in known:
-                found = older.get(piece)
-                if found is None:
-                    pieces[piece] = None
-                else:
-                    known[piece] = found
-        if pieces:
-            self._learn_pieces(list(pieces))
-        for word, stem, signs in made:
-            known[word] = known[stem] + known[signs]
-        joint = [w for w in rest if w and w[0] != "\0" and not _SPACE.match(w)]
-        if joint:
-            self._put(joint, self._ids(" " + " ".join(joint)), [len(w.encode()) + 1 for w in joint])
-        for word in rest:
-            if word not in known:
-                known[word] = self._ids(word[1:] if word[:1] == "\0" else " " + word).tobytes()
-
-    def _learn_pieces(self, pieces: list[str]) -> None:
+                    rest.append(i)
+                    order.append(-len(rest))
+                    continue
+                if len(stem) < len(word):
+                    order.append(pieces.setdefault(stem, len(pieces)))
+                    word = "\0" + word[len(stem) :]
+                    counts[i] = 2
+            order.append(pieces.setdefault(word, len(pieces)))
+        parts = pa.concat_arrays([self._pieces(list(pieces)), self._others([new[i] for i in reversed(rest)])])
+        at = np.array(order, dtype=np.int64)
+        parts = parts.take(pa.array(np.where(at < 0, at + len(parts), at)))
+        return pa.ListArray.from_arrays(parts.offsets.take(pa.array(np.append(0, np.cumsum(counts)))), parts.values)
+
+    def _pieces(self, pieces: list[str]) -> pa.ListArray:
         """A piece's bytes, as the vocabulary writes them, go to the merges."""
-        spelled = [_BLANK + p if p.isascii() and p[0] != "\0" else _spelled(p) for p in pieces]
+        if not pieces:
+            return _lists(np.zeros(0, self.kind), np.zeros(0, np.int64))
+        spelled = _spelled(pieces)
         found = self.merges.encode_batch_fast([spelled], is_pretokenized=True, add_special_tokens=False)[0].ids
-        if not self._put(pieces, np.array(found, dtype=self.kind), [len(s) for s in spelled]):
+        ids = self._apart(np.array(found, dtype=self.kind), np.fromiter(map(len, spelled), np.int64, len(spelled)))
+        if ids is None:
             raise ValueError("the vocabulary does not spell every byte")
+        return ids
 
-    def _put(self, words: list[str], ids: np.ndarray, lengths: list[int]) -> bool:
-        """Ids of words that stand one after the other, told apart by their bytes; False if a token goes across."""
+    def _others(self, words: list[str]) -> pa.ListArray:
+        """Words that are no pieces: those that may stand behind a space as one text, the others on their own."""
+        joint = [i for i, w in enumerate(words) if w and w[0] != "\0" and not _SPACE.match(w)]
+        found: list[np.ndarray | None] = [None] * len(words)
+        if joint:
+            text = " " + " ".join(words[i] for i in joint)
+            ids = self._apart(self._ids(text), np.array([len(words[i].encode()) + 1 for i in joint]))
+            for i, x in zip(joint, [] if ids is None else np.split(ids.values.to_numpy(), ids.offsets.to_numpy()[1:-1])):
+                found[i] = x
+        for i, word in enumerate(words):
+            if found[i] is None:
+                found[i] = self._ids(word[1:] if word[:1] == "\0" else " " + word)
+        return _lists(np.concatenate([np.zeros(0, self.kind), *found]), np.array([len(x) for x in found], dtype=np.int64))
+
+    def _apart(self, ids: np.ndarray, lengths: np.ndarray) -> pa.ListArray | None:
+        """Ids of words that stand one after the other, told apart by their bytes; None if a token goes across."""
         ends, stops = np.cumsum(self.widths[ids]), np.cumsum(lengths)
         cuts = np.minimum(np.searchsorted(ends, stops), len(ends) - 1)
-        if not (ends[cuts] == stops).all():
-            return False
-        raw, at = ids.tobytes(), 0
-        for word, stop in zip(words, ((cuts + 1) * ids.itemsize).tolist()):
-            self.known[word] = raw[at:stop]
-            at = stop
-        return True
+        return _lists(ids, np.diff(cuts, prepend=-1)) if (ends[cuts] == stops).all() else None
+
+
+def _lists(flat: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
+    """Lists that stand one after the other."""
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pa.array(flat))
+
+
+def _cut(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """Words of all texts, and where each text's words end. The first has no space before it; the mark keeps it apart."""
+    rows = pa.array(["\0" + t for t in texts], pa.string())
+    split = pc.split_pattern(pc.if_else(pc.match_substring_regex(rows, _ODD_SIGNS), rows, _signs_apart(rows)), " ")
+    return split.flatten(), split.offsets.to_numpy()[1:]
 
 
 def _signs_apart(rows: pa.Array) -> pa.Array:
@@ -354,10 +364,13 @@ def _signs_apart(rows: pa.Array) -> pa.Array:
     return rows
 
 
-def _spelled(piece: str) -> str:
-    """A piece's bytes as the vocabulary writes them, with the space before it if there is no mark."""
-    text = piece[1:] if piece[0] == "\0" else " " + piece
-    return text.encode().decode("latin-1").translate(_SPELLED)
+def _spelled(pieces: list[str]) -> list[str]:
+    """The pieces' bytes as the vocabulary writes them, with the space before those that have no mark.
+
+    No piece holds a line end, so all are written as one text of lines.
+    """
+    lines = "\n".join([p[1:] if p[0] == "\0" else " " + p for p in pieces])
+    return _SPELLED[np.frombuffer(lines.encode(), np.uint8)].tobytes().decode("utf-16-le").split(chr(_SPELLED[10]))
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -379,8 +392,8 @@ def write_shards(
     """Encode every document, append ``end_id`` and write shards in ascending doc_id order.
 
     Documents are shuffled once, into ranges of doc_id; a task sorts its range
-    and closes a shard when it holds ``shard_tokens`` ids. The ids of one shard and
-    one batch of texts are all that a task holds.
+    and closes a shard when it holds ``shard_tokens`` ids. The ids of one shard, and
+    the texts that are encoded together (a batch and ``CHUNK_CHARS``), are all that a task holds.
     """
     spark = documents.sparkSession
     names = [part.split()[0] for part in SHARDS.split(", ")]
@@ -397,14 +410,20 @@ def write_shards(
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds)], names=names)
 
-        for batch in batches:
-            for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode_all(text.as_py() for text in batch.column(1))):
-                held.append(np.append(ids, ids.dtype.type(end_id)))
-                docs.append(doc)
-                size += len(held[-1])
-                if size >= shard_tokens:
-                    yield closed()
-                    held, docs, size, number = [], [], 0, number + 1
+        waiting: deque[int | None] = deque()
+
+        def texts() -> Iterator[str | None]:
+            for batch in batches:
+                waiting.extend(batch.column(0).to_pylist())
+                yield from batch.column(1).to_pylist()
+
+        for ids in encoder.encode_all(texts()):
+            held.append(np.append(ids, ids.dtype.type(end_id)))
+            docs.append(waiting.popleft())
+            size += len(held[-1])
+            if size >= shard_tokens:
+                yield closed()
+                held, docs, size, number = [], [], 0, number + 1
         if docs:
             yield closed()
 

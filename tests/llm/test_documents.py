@@ -282,6 +282,43 @@ def test_new_words_of_many_texts_are_encoded_together():
     assert len(list(fresh.encode_all(prose))) == 100 and fresh.tokenizer.calls + fresh.merges.calls == 3
 
 
+class Spied:
+    """A tokenizer that keeps the pieces it was given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.given = tokenizer, []
+
+    def encode_batch_fast(self, inputs, **options):
+        self.given.append(inputs[0])
+        return self.tokenizer.encode_batch_fast(inputs, **options)
+
+
+def test_new_words_of_three_million_characters_are_encoded_in_one_call():
+    r = random.Random(5)
+    texts = [" ".join("".join(r.choices("abcdefghij", k=9)) for _ in range(1000)) for _ in range(300)]
+    encoder = token_shards.Encoder(byte_tokenizer())
+    encoder.tokenizer, encoder.merges = Spied(encoder.tokenizer), Spied(encoder.merges)
+    assert len(list(encoder.encode_all(texts))) == 300
+    assert len(encoder.tokenizer.given) + len(encoder.merges.given) == 1
+
+
+def test_common_words_stay_remembered(monkeypatch):
+    from tokenizers import Tokenizer
+
+    plainly = Tokenizer.from_file(byte_tokenizer())
+    monkeypatch.setattr(token_shards, "CHUNK_CHARS", 200)
+    encoder = token_shards.Encoder(byte_tokenizer(), entries=60)
+    encoder.merges = Spied(encoder.merges)
+    common = ["hören", "seen", "mañana", "été"]
+    rare = ["x" + "abcdefghij"[i // 100] + "abcdefghij"[i // 10 % 10] + "abcdefghij"[i % 10] for i in range(1000)]
+    texts = [" ".join(["the", *common, *rare[i : i + 5], *common]) for i in range(0, 1000, 5)]
+    for text, ids in zip(texts, encoder.encode_all(texts), strict=True):
+        assert ids.tolist() == plainly.encode(text, add_special_tokens=False).ids, text
+    # Each word once, the first of a text without a space; no more words are kept than were asked for.
+    assert sum(map(len, encoder.merges.given)) == 1 + len(common) + len(rare)
+    assert len(encoder.words) <= 60 and set(common) <= set(encoder.words.to_pylist())
+
+
 def test_wavelet_matrix():
     r = np.random.default_rng(0)
     for ids in [np.array([], dtype=np.uint32), np.array([0]), r.integers(0, 50257, 3000), r.zipf(1.5, 5000) % 300, np.array([70000, 3, 70000])]:
