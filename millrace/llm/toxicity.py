@@ -36,6 +36,7 @@ MIN_Z = 4.0
 RIDGE = 1.0
 STARTS = (4, 5, 6)
 LONGEST_TERM = 48
+BLOCK_ROWS = 512
 
 _UPPER = bytes(range(65, 91))
 _SIGNS = bytes(b for b in range(33, 127) if not chr(b).isalnum())
@@ -64,17 +65,34 @@ def terms_of(text: str | None) -> tuple[list[float], set[bytes]]:
     return shape(raw, words, len(distinct)), terms
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE, rounds: int = 25) -> np.ndarray:
-    """Weights of a ridge logistic regression by Newton's method; the last one is the constant."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    penalty = np.full(x.shape[1], ridge)
+def fit_logistic(
+    x: np.ndarray,
+    y: np.ndarray,
+    ridge: float = RIDGE,
+    rounds: int = 25,
+    earlier: np.ndarray | None = None,
+    rows: np.ndarray | None = None,
+) -> np.ndarray:
+    """Weights of a ridge logistic regression by Newton's method; the last one is the constant.
+
+    ``earlier`` holds further columns, ``rows`` marks the rows to fit (all without it).
+    Beside ``x`` only a block of its rows is held, never a second matrix.
+    """
+    chosen = np.arange(len(x)) if rows is None else np.flatnonzero(rows)
+    earlier = np.zeros((len(x), 0)) if earlier is None else earlier
+    penalty = np.full(x.shape[1] + earlier.shape[1] + 1, ridge)
     penalty[-1] = 1e-6
-    w = np.zeros(x.shape[1])
-    w[-1] = np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5))
+    w = np.zeros(len(penalty))
+    positive = y[chosen].sum()
+    w[-1] = np.log((positive + 0.5) / (len(chosen) - positive + 0.5))
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (p - y) + penalty * w
-        curve = (x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty)
+        gradient, curve = penalty * w, np.diag(penalty)
+        for start in range(0, len(chosen), BLOCK_ROWS):
+            at = chosen[start : start + BLOCK_ROWS]
+            block = np.hstack([x[at], earlier[at], np.ones((len(at), 1))])
+            p = 1 / (1 + np.exp(-np.clip(block @ w, -30, 30)))
+            gradient += block.T @ (p - y[at])
+            curve += (block * (p * (1 - p))[:, None]).T @ block
         step = np.linalg.solve(curve, gradient)
         size = np.abs(step).max()
         w -= step * min(1.0, 5.0 / max(size, 1e-12))
@@ -136,19 +154,18 @@ def fit_chain_arrays(x: np.ndarray, labels: np.ndarray, folds: np.ndarray) -> tu
     weights, cuts = [], []
     for c in range(labels.shape[1]):
         y, seen = np.nan_to_num(labels[:, c]), ~np.isnan(labels[:, c])
-        full = np.hstack([x, earlier])
 
         def fitted(rows: np.ndarray) -> np.ndarray:
             if len(set(y[rows])) == 2:
-                return fit_logistic(full[rows], y[rows])
-            w = np.zeros(full.shape[1] + 1)
+                return fit_logistic(x, y, earlier=earlier, rows=rows)
+            w = np.zeros(x.shape[1] + earlier.shape[1] + 1)
             w[-1] = 30.0 if rows.any() and y[rows].all() else -30.0
             return w
 
         held_out = np.zeros(len(x))
         for f in np.unique(folds):
             part = folds == f
-            held_out[part] = _predict(full[part], fitted(seen & ~part))
+            held_out[part] = _predict(np.hstack([x[part], earlier[part]]), fitted(seen & ~part))
         weights.append(fitted(seen))
         order = np.argsort(-held_out[seen], kind="stable")
         p, hit = held_out[seen][order], y[seen][order]
@@ -207,19 +224,23 @@ def fit_chain(
         for row in best.orderBy(F.desc("z"), "term").limit(TERMS).collect():
             kept.setdefault(bytes(row["term"]), len(kept))
 
-    @F.pandas_udf("struct<columns:array<int>,values:array<double>>")
+    # Packed: as lists, every number would be an object in the driver.
+    @F.pandas_udf("struct<columns:binary,values:binary>")
     def counted(texts: pd.Series) -> pd.DataFrame:
         rows = [matrix_of([t], kept)[0] for t in texts]
-        return pd.DataFrame({"columns": [np.flatnonzero(r) for r in rows], "values": [r[r != 0] for r in rows]})
+        columns = [np.flatnonzero(r).astype("<i4").tobytes() for r in rows]
+        return pd.DataFrame({"columns": columns, "values": [r[r != 0].astype("<f8").tobytes() for r in rows]})
 
     picked = sample.select("doc_id", *marks, counted("text").alias("x"), F.xxhash64("doc_id", F.lit(7)).alias("fold"), "_row").collect()
     picked.sort(key=lambda r: (r["doc_id"], r["_row"]))
     x = np.zeros((len(picked), 4 + len(kept)))
     y = np.full((len(picked), len(marks)), np.nan)
     for i, r in enumerate(picked):
-        x[i, r["x"]["columns"]] = r["x"]["values"]
+        x[i, np.frombuffer(r["x"]["columns"], "<i4")] = np.frombuffer(r["x"]["values"], "<f8")
         y[i] = [np.nan if r[m] is None else r[m] for m in marks]
-    weights, cuts, _ = fit_chain_arrays(x, y, np.array([r["fold"] % folds for r in picked], dtype=int))
+    parts = np.array([r["fold"] % folds for r in picked], dtype=int)
+    del picked
+    weights, cuts, _ = fit_chain_arrays(x, y, parts)
     return Chain(list(categories), kept, weights, cuts)
 
 

@@ -207,6 +207,18 @@ def test_components(spark):
     assert got == {**{i: 0 for i in [*range(41), *range(100, 140)]}, 300: 300, 301: 300}
 
 
+def test_links_that_are_stars_take_no_round(spark, monkeypatch):
+    from millrace.llm import common
+
+    written, settle = [], common.settle
+    monkeypatch.setattr(common, "settle", lambda df, label: written.append(label) or settle(df, label))
+    pairs = [(10, i) for i in range(11, 40)] + [(2, 1), (2, 1), (3, 3)]
+    got = dict(map(tuple, components(spark.createDataFrame(pairs, "a bigint, b bigint")).collect()))
+    assert got == {**{i: 10 for i in range(10, 40)}, 1: 1, 2: 1}
+    # The links, and each node's lowest neighbour: no round of joins.
+    assert len(written) == 2
+
+
 def test_sets_are_taken_from_the_texts_once(odd, monkeypatch):
     plans, usual = {}, near_dedup.settle
 

@@ -1,6 +1,7 @@
 """Models and the remaining operators: held-out accuracy, brute force, round trips."""
 
 import hashlib
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -37,6 +38,19 @@ def test_chain_feeds_earlier_probabilities():
     assert not np.allclose(inside, out[:, 0]) and np.corrcoef(inside, out[:, 0])[0, 1] > 0.99
 
 
+def test_fit_holds_no_second_matrix():
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(6000, 300))
+    y = np.stack([x[:, 0] > 0, x[:, 1] + x[:, 2] > 1], axis=1).astype(float)
+    tracemalloc.start()
+    try:
+        toxicity.fit_chain_arrays(x, y, np.arange(6000) % 5)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < x.nbytes
+
+
 def test_chain_on_odd_rows(spark, odd, none):
     labels = spark.createDataFrame([(3, 1, 0), (5, None, 1), (None, 1, 1), (7, 0, None)], "doc_id bigint, quality int, toxic int")
     assert toxicity.classify(odd, labels).count() == odd.count()
