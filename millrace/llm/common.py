@@ -48,6 +48,24 @@ def arrow_rows(spark: SparkSession, count: int) -> Iterator[None]:
         spark.conf.set(name, usual)
 
 
+@contextmanager
+def measured_joins(spark: SparkSession) -> Iterator[None]:
+    """What is run inside broadcasts a side of a join by its size at run time alone; the settings are put back.
+
+    The planner counts a row for each that an explode is given, and takes a compressed
+    file for the size of its rows, so what it holds for small may not fit the driver.
+    """
+    planned, measured = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    before = {name: spark.conf.get(name, None) for name in (planned, measured)}
+    spark.conf.set(measured, before[measured] or spark.conf.get(planned))
+    spark.conf.set(planned, "-1")
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def task_count(spark: SparkSession, size: float, per_task: float) -> int:
     """Partitions so that each holds about ``per_task`` of ``size``, and every core has one."""
     return max(spark.sparkContext.defaultParallelism, -(-int(size) // int(per_task)), 1)
@@ -69,19 +87,20 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     meet in a task. The aggregate is written by itself: it tells whether a round
     is needed, and is the result if not.
     """
-    links = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    links = settle(links.filter("a <> b").distinct(), "links")
-    for _ in range(max_rounds):
-        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count_if(F.col("b") < F.col("a")).alias("up"), F.count("*").alias("n"))
-        low = settle(low, "lowest")
-        if not low.filter("up > 1 or up = 1 and n > 1").limit(1).count():
-            return low.select(F.col("a").alias("node"), F.col("m").alias("component"))
-        large = join_per_key(both, low.select("a", "m"), ["a"], "inner").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.filter("a <> b")
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        moved = join_per_key(large, low, ["a"], "inner")
-        # Larger node stays on the minimum; the other smaller neighbours follow it there.
-        links = moved.select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
-        links = settle(links.unionByName(low.select("a", F.col("m").alias("b"))).filter("a <> b").distinct(), "links")
+    with measured_joins(edges.sparkSession):
+        links = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        links = settle(links.filter("a <> b").distinct(), "links")
+        for _ in range(max_rounds):
+            both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count_if(F.col("b") < F.col("a")).alias("up"), F.count("*").alias("n"))
+            low = settle(low, "lowest")
+            if not low.filter("up > 1 or up = 1 and n > 1").limit(1).count():
+                return low.select(F.col("a").alias("node"), F.col("m").alias("component"))
+            large = join_per_key(both, low.select("a", "m"), ["a"], "inner").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+            large = large.filter("a <> b")
+            low = large.groupBy("a").agg(F.min("b").alias("m"))
+            moved = join_per_key(large, low, ["a"], "inner")
+            # Larger node stays on the minimum; the other smaller neighbours follow it there.
+            links = moved.select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
+            links = settle(links.unionByName(low.select("a", F.col("m").alias("b"))).filter("a <> b").distinct(), "links")
     raise RuntimeError(f"links did not settle in {max_rounds} rounds")

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import components, settle, text_batches, words_of
+from millrace.llm.common import components, measured_joins, settle, text_batches, words_of
 from millrace.operators.scale import join_per_key
 
 WORDS = 5
@@ -291,10 +291,12 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
     the two; ``component_id`` is the smallest doc_id that links lead to.
     """
     text_batches(documents.sparkSession)
-    sketched = settle(sketches(documents.select("doc_id", "text")), "sketches")
-    joined = components(links(documents, sketched, percent))
+    with measured_joins(documents.sparkSession):
+        sketched = settle(sketches(documents.select("doc_id", "text")), "sketches")
+        joined = components(links(documents, sketched, percent))
     least = sketched.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
-    least = join_per_key(least, joined, ["node"]).withColumn("component", F.coalesce("component", "node"))
+    # Joined when the caller runs it, where a file of nodes would be sized by its compressed bytes.
+    least = join_per_key(least, joined.hint("merge"), ["node"]).withColumn("component", F.coalesce("component", "node"))
     whole = least.groupBy("component").agg(F.min("least").alias("component_id"))
     named = join_per_key(least.select("node", "component"), whole, ["component"]).select("node", "component_id")
     rows = join_per_key(sketched.withColumn("node", F.when(F.col("n_shingles") > 0, F.col("node"))), named, ["node"])

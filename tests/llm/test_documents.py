@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 
 import __spark_entry__ as entry
-from millrace.llm import decontaminate, licences, mixing, near_dedup, suffix_dedup, token_shards
+from millrace.llm import common, decontaminate, licences, mixing, near_dedup, suffix_dedup, token_shards
 from millrace.llm.common import components, words_of
 from millrace.llm.queries import byte_tokenizer
 
@@ -231,6 +231,25 @@ def test_sets_are_taken_from_the_texts_once(odd, monkeypatch):
     assert plans["sets"].count("ArrowEvalPython") == 1
 
 
+def test_joins_of_near_duplicates_wait_for_measured_sizes(odd, monkeypatch):
+    """An explode is planned as if it made no rows; no join may be broadcast by such a size."""
+    plans, usual = [], near_dedup.settle
+
+    def settle(df, label):
+        plans.append((label, df._jdf.queryExecution().executedPlan().toString()))
+        return usual(df, label)
+
+    monkeypatch.setattr(near_dedup, "settle", settle)
+    monkeypatch.setattr(common, "settle", settle)
+    conf = odd.sparkSession.conf
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    before = [conf.get(n, None) for n in names]
+    found = near_dedup.near_duplicates(odd)
+    assert sum("MergeJoin" in p for _, p in plans) >= 5 and [label for label, p in plans if "BroadcastHashJoin" in p] == []
+    assert [conf.get(n, None) for n in names] == before
+    assert sorted(map(tuple, found.collect()), key=repr) == plain_components(plain(odd), 85)
+
+
 # --- tokens --------------------------------------------------------------------------
 
 
