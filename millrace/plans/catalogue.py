@@ -256,7 +256,7 @@ def refund_from_fact(spark, d):
 def stored_detail(spark, d):
     """The detail fact as its layer stores it: written as text, read with the declared schema."""
     path = scratch_path(spark, "detail-fact")
-    as_fact_text(detail_fact(spark, d)).write.text(path)
+    sinks.write_text(as_fact_text(detail_fact(spark, d)), path)
     return typed(text_files(spark, path), ORDER_DETAIL_FACT, "json")
 
 

@@ -195,3 +195,19 @@ def test_parameterised_query(spark):
     spark.createDataFrame([("1", "a"), ("2", "b")], "user_id string, full_name string").createOrReplaceTempView("people")
     df = query(spark, "select * from people where user_id = ?", ["2"], style="camel")
     assert [tuple(r) for r in df.collect()] == [("2", "b")] and df.columns == ["userId", "fullName"]
+
+
+def test_a_stored_fact_is_compressed(spark, tables, tmp_path, monkeypatch, rows):
+    import glob
+
+    from millrace.plans import catalogue
+
+    folders = []
+    monkeypatch.setattr(catalogue, "scratch_path", lambda spark, label: folders.append(str(tmp_path / label)) or folders[-1])
+    before = sorted(spark.conf.getAll.items())
+    stored = catalogue.stored_detail(spark, tables)
+    assert sorted(spark.conf.getAll.items()) == before
+    files = glob.glob(f"{folders[0]}/part-*")
+    assert files and all(f.endswith(".gz") for f in files)
+    fact = catalogue.detail_fact(spark, tables)
+    assert rows(stored, *fact.columns) == rows(fact)
