@@ -18,6 +18,9 @@ from millrace.operators.asof import as_of_join
 # Fixed value: how long join partners are kept, in seconds.
 JOIN_STATE_SECONDS = 1820
 
+#: Dictionary rows that are sent to the rows to be decoded.
+BOOK_ROWS = 10_000
+
 # Columns of the order line record that the fact is made of.
 DETAIL_COLUMNS = (
     "id", "order_id", "sku_id", "sku_name", "create_time", "source_id", "source_type",
@@ -28,15 +31,25 @@ DETAIL_COLUMNS = (
 def decode(df: DataFrame, dictionary: DataFrame, code: str, name: str) -> DataFrame:
     """Add the dictionary name of a code; rows with an unknown code are dropped.
 
-    May be applied several times, once per coded column. How the dictionary is
-    joined is left to run-time sizes; for a stream over a dictionary that the
+    May be applied several times, once per coded column. A dictionary of up to
+    ``BOOK_ROWS`` rows, counted as the query runs, goes to the rows; only for a larger
+    one are rows dealt out by their codes. For a stream over a dictionary that the
     planner cannot size, pass it through ``code_book`` first.
     """
     names = dictionary.select(F.col("dic_code").alias("_code"), F.col("dic_name").alias(name))
-    return df.join(names, df[code] == names["_code"]).drop("_code")
+
+    def named(rows: DataFrame, book: DataFrame) -> DataFrame:
+        return rows.join(book, rows[code] == book["_code"]).drop("_code")
+
+    if df.isStreaming or dictionary.isStreaming:
+        return named(df, names)
+    few = names.limit(BOOK_ROWS + 1)
+    small = few.agg((F.count("*") <= BOOK_ROWS).alias("small")).scalar()
+    # One of the two has no rows: the other way of joining takes them all.
+    return named(df.filter(small), F.broadcast(few)).unionByName(named(df.filter(~small), names))
 
 
-def code_book(dictionary: DataFrame, max_rows: int = 10_000) -> DataFrame:
+def code_book(dictionary: DataFrame, max_rows: int = BOOK_ROWS) -> DataFrame:
     """The dictionary as literals, of a size that is checked, for a job that starts.
 
     A stream joins it without a shuffle, so a handful of codes does not put all

@@ -175,3 +175,20 @@ def test_strict_refunds_are_completed_ones(spark, rows):
     )
     assert rows(changes.refund_records(df, "refund_payment", ["id"]), "id") == [("1",), ("2",), ("3",)]
     assert rows(changes.refund_records(df, "refund_payment", ["id"], strict=True), "id") == [("2",)]
+
+
+def test_a_dictionary_goes_to_the_rows_unless_it_is_large(spark, rows, monkeypatch):
+    df = spark.createDataFrame([("1", 1), ("1", 2), ("2", 3), ("9", 4), (None, 5)], "a string, i int")
+    names = spark.createDataFrame([("1", "one"), ("1", "uno"), ("2", "two"), (None, "none")], "dic_code string, dic_name string")
+    want = [("1", 1, "one"), ("1", 1, "uno"), ("1", 2, "one"), ("1", 2, "uno"), ("2", 3, "two")]
+    name, usual = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold", None)
+    spark.conf.set(name, "-1")
+    try:
+        for most in (10_000, 4, 3, 0):
+            monkeypatch.setattr(facts, "BOOK_ROWS", most)
+            found = facts.decode(df, names, "a", "a_name")
+            # However small the planner takes it for, rows are not first dealt out by a handful of codes.
+            assert "BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString()
+            assert rows(found) == want
+    finally:
+        spark.conf.unset(name) if usual is None else spark.conf.set(name, usual)
