@@ -347,3 +347,28 @@ def test_all_lines_of_cancelled_orders_join(spark, tables, rows):
     got = entry.queries()["stream_cancel_fact"](spark, tables)
     assert rows(got, *want.columns) == rows(want)
     assert want.count() > 0
+
+
+def test_keys_of_a_bucket_share_calls_and_state(feed, tmp_path, spark, rows, monkeypatch):
+    """More micro-batches than a bucket holds pieces, and far more keys than buckets."""
+    monkeypatch.setattr(stateful, "BUCKETS", 4)
+    parts = [[(f"u{i}" if i else None, f"2024-01-{day:02d} 00:00:0{i % 5}") for i in range(60) if i % day % 3 == 0] for day in range(1, 12)]
+    stream, stored = feed("in", "uid string, ts string", *parts, END)
+    pages = [at(df).select("*", F.col("uid").alias("user_id")) for df in (stream, stored)]
+    query = jobs.start(jobs.order_window(pages[0]), str(tmp_path / "state"), path=str(tmp_path / "out"))
+    query.awaitTermination()
+    want = summaries.order_window(pages[1]).filter("stt < '2024-02-01'")
+    assert rows(spark.read.parquet(str(tmp_path / "out")).drop(sinks.BATCH), *want.columns) == rows(want)
+    held = [o.numRowsTotal for p in query.recentProgress for o in p.stateOperators if "transformWithState" in o.operatorName]
+    # Without buckets a row of state stands for each of the 60 users.
+    assert 0 < max(held) <= 4 * (stateful.PIECES + 1)
+
+
+def test_revisions_of_a_bucket_over_many_batches(feed, finish, rows, monkeypatch):
+    monkeypatch.setattr(stateful, "BUCKETS", 2)
+    parts = [[(str(i) if i else None, v, 10 * i + v, f"2024-01-01 00:00:{v:02d}") for i in range(20) if i % v % 4 == 0] for v in range(1, 12)]
+    stream, stored = feed("in", "id string, v int, amount bigint, ts string", *parts)
+    got = finish(stateful.revision_changes(jobs.timed(at(stream)), "id", ["v"], ["amount"]))
+    want = versions.revision_changes(at(stored).filter("id is not null"), ["id"], ["v"], ["amount"])
+    assert rows(got.filter("id is not null"), "id", "v", "amount", "sign") == rows(want, "id", "v", "amount", "sign")
+    assert got.filter("id is null").agg(F.sum("amount")).first()[0] == 11
