@@ -153,3 +153,13 @@ def test_deleted_keys_are_left_out(spark, rows):
     newest = versions.latest_by_key(df, ["k"], ["o"], deleted=F.col("value").isNull())
     assert rows(newest) == [("b", 2, "y"), ("c", 1, "z")]
     assert newest.columns == df.columns
+
+
+def test_sums_of_newest_shuffle_a_row_once_per_key_and_group(spark):
+    df = spark.createDataFrame([(i % 50, i, i % 7, 1) for i in range(400)], "k int, o int, g int, v bigint")
+    sums = versions.sums_of_newest(df, ["k"], ["o"], ["v"], ["g"])
+    plan = sums._jdf.queryExecution().executedPlan().toString()
+    # By key, and by group: no exchange for the distinct groups before that.
+    assert plan.count("Exchange hashpartitioning") == 2
+    newest = {k: max(i for i in range(400) if i % 50 == k) % 7 for k in range(50)}
+    assert {r.g: r.v for r in sums.collect()} == {g: list(newest.values()).count(g) for g in range(7)}
