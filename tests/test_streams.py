@@ -372,3 +372,38 @@ def test_revisions_of_a_bucket_over_many_batches(feed, finish, rows, monkeypatch
     want = versions.revision_changes(at(stored).filter("id is not null"), ["id"], ["v"], ["amount"])
     assert rows(got.filter("id is not null"), "id", "v", "amount", "sign") == rows(want, "id", "v", "amount", "sign")
     assert got.filter("id is null").agg(F.sum("amount")).first()[0] == 11
+
+
+def test_rows_without_a_numeric_key_are_one_user(feed, finish, rows):
+    schema = "user_id bigint, ts string"
+    stream, stored = feed("in", schema, [(None, "2024-01-01 00:00:01"), (0, "2024-01-01 00:00:01"), (None, "2024-01-01 00:00:02")], [(None, "2024-01-02 00:00:01"), (2**62 + 1, "2024-01-02 00:00:01")], [(9, "2024-02-01 00:00:00")])
+    got = finish(jobs.order_window(at(stream)))
+    want = summaries.order_window(at(stored)).filter("stt < '2024-02-01'")
+    assert rows(got, *want.columns) == rows(want)
+
+
+def test_a_replay_makes_its_rows_once(spark, tmp_path):
+    import glob
+
+    from millrace.plans.streams import replay
+    from millrace.session import checkpoint_root
+
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    table = spark.range(1000).select(F.col("id"), F.timestamp_seconds("id").alias("ts"))
+    source = table.mapInArrow(counted, table.schema)
+    before = set(glob.glob(f"{checkpoint_root(spark).removeprefix('file:')}/millrace/repl*"))
+    stream = replay(spark, source, 3, {"id": -1})
+    assert made.value == 1000
+    # What was written on the way is gone; the replay itself is there.
+    left = set(glob.glob(f"{checkpoint_root(spark).removeprefix('file:')}/millrace/repl*")) - before
+    assert len(left) == 1
+    jobs.run(stream, str(tmp_path / "state"), path=str(tmp_path / "out"))
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert got.count() == 1001 and got.agg(F.sum("id")).first()[0] == 499500 - 1
+    assert got.select(sinks.BATCH).distinct().count() == 5
